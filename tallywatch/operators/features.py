@@ -69,8 +69,7 @@ def fit_scaler(counts: DataFrame) -> DataFrame:
         F.stddev_pop("value").alias("std"),
     )
     is_count = F.col("feature") == COUNT_FEATURE
-    rows = per_feature.filter(is_count).select("present").scalar()
-    share = F.col("present") / rows
+    share = F.col("present") / counts.agg(F.count("*")).scalar()
     return per_feature.select(
         "feature",
         F.when(is_count, F.col("mean")).otherwise(share).alias("mean"),

@@ -53,9 +53,10 @@ def draw_samples(
     a tree takes the lowest draws. Rows above a bound that leaves about 4 * per_tree of them are dropped before
     the shuffle, which then carries some 4 * per_tree * trees rows.
     """
+    # The key is hashed before the rows are repeated per tree; what is hashed per tree is two numbers.
+    hashed = counts.select(*key, COUNT_FEATURE, F.xxhash64(*key, F.lit(seed)).alias("row_hash"))
     drawn = (
-        counts.select(*key, COUNT_FEATURE, F.xxhash64(*key, F.lit(seed)).alias("row_hash"),
-                      F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id"))
+        hashed.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
         .withColumn("draw", F.xxhash64("row_hash", "tree_id"))
         .drop("row_hash")
     )

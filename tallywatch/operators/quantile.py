@@ -22,17 +22,17 @@ def value_counts(frame: DataFrame, column: str) -> DataFrame:
     return materialize(counts, new_folder(frame.sparkSession, "value-counts"))
 
 
-def quantile_of_counts(counts: DataFrame, q: float) -> float | None:
+def quantile_of_counts(counts: DataFrame, q: float, **limits: int) -> float | None:
     """Linearly interpolated quantile of the values in a (value, n) table; NULL when there are none."""
     total = counts.agg(F.sum("n")).first()[0]
     if not total:
         return None
     position = q * (total - 1)
     rank = int(position)
-    low = _value_at(counts, rank)
+    low = _value_at(counts, rank, **limits)
     if position == rank:
         return low
-    high = _value_at(counts, rank + 1)
+    high = _value_at(counts, rank + 1, **limits)
     return low + (high - low) * (position - rank)
 
 

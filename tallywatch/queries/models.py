@@ -66,7 +66,7 @@ fitted AS (
   UNION ALL SELECT 'incident_count', avg(incident_count), stddev_pop(incident_count) FROM hourly)
 SELECT feature, round(mean, 6) AS mean, round(CASE WHEN std = 0 THEN 1 ELSE std END, 6) AS std FROM fitted""")
 def scaler_fit(spark, sf_dir):
-    scaler = ops.fit_scaler(views.hourly(spark, sf_dir))
+    scaler = ops.fit_scaler(views.hourly_table(spark, sf_dir))
     return scaler.select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
