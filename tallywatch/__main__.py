@@ -30,9 +30,16 @@ def run_poll(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = stream_messages(spark, args.messages, args.path, **_options(args.option))
-    jobs.start_raw(messages, f"{args.out}/raw", f"{args.checkpoint}/raw", fmt=args.format)
-    jobs.start_hourly(messages, f"{args.out}/hourly", f"{args.checkpoint}/hourly", fmt=args.format)
-    jobs.await_all(spark)
+    trigger = jobs.ONCE if args.once else {"processingTime": args.every} if args.every else None
+    started = [
+        start(messages, f"{args.out}/{name}", f"{args.checkpoint}/{name}", fmt=args.format, trigger=trigger)
+        for name, start in (("raw", jobs.start_raw), ("hourly", jobs.start_hourly))
+    ]
+    if args.once:
+        for running in started:
+            running.awaitTermination()
+    else:
+        jobs.await_all(spark)
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -82,7 +89,10 @@ def parser() -> argparse.ArgumentParser:
     sub = command("poll", run_poll, "landing")
     sub.add_argument("--as-of", type=datetime.fromisoformat, required=True)
     messages(sub)
-    messages(command("stream", run_stream, "out", "checkpoint"))
+    sub = command("stream", run_stream, "out", "checkpoint")
+    messages(sub)
+    sub.add_argument("--once", action="store_true", help="end when the input is used up")
+    sub.add_argument("--every", metavar="INTERVAL", help="start a batch per interval, such as '1 hour'")
     command("train", run_train, "hourly", "models")
     sub = command("score", run_score, "models", "out")
     sub.add_argument("--default-model")

@@ -26,6 +26,9 @@ TREES = 100
 MAX_SAMPLES = 256
 SEED = 42
 
+OVERSAMPLING = 4
+TREES_PER_TASK = 4
+
 EULER_GAMMA = 0.5772156649
 
 NODE_SCHEMA = (
@@ -45,13 +48,13 @@ def mean_path(n: int) -> float:
 
 def draw_samples(
     counts: DataFrame, n_rows: int, trees: int, per_tree: int, seed: int,
-    key: Sequence[str] = HOURLY_KEY, prefilter: bool = True,
+    key: Sequence[str] = HOURLY_KEY, oversampling: int = OVERSAMPLING,
 ) -> DataFrame:
     """per_tree rows for every tree, drawn without replacement.
 
     A row's draw for a tree is a hash of its key, the tree and the seed, so partitioning has no say in it, and
-    a tree takes the lowest draws. Rows above a bound that leaves about 4 * per_tree of them are dropped before
-    the shuffle, which then carries some 4 * per_tree * trees rows.
+    a tree takes the lowest draws. Rows above a bound that leaves about oversampling * per_tree of them are
+    dropped before the shuffle, which then carries some oversampling * per_tree * trees rows.
     """
     # The key is hashed before the rows are repeated per tree; what is hashed per tree is two numbers.
     hashed = counts.select(*key, COUNT_FEATURE, F.xxhash64(*key, F.lit(seed)).alias("row_hash"))
@@ -60,9 +63,11 @@ def draw_samples(
         .withColumn("draw", F.xxhash64("row_hash", "tree_id"))
         .drop("row_hash")
     )
-    share = 4 * per_tree / n_rows
-    if prefilter and share < 1:
+    share = oversampling * per_tree / n_rows
+    if share < 1:
         drawn = drawn.filter(F.col("draw") < F.lit(int(-(2**63) + share * 2**64)))
+    # The rows are few, so an adaptive plan would grow all trees in one task. A number of its own prevents that.
+    drawn = drawn.repartition(math.ceil(trees / TREES_PER_TASK), "tree_id")
     order = Window.partitionBy("tree_id").orderBy("draw", *key)
     return drawn.withColumn("place_in_draw", F.row_number().over(order)).filter(F.col("place_in_draw") <= per_tree)
 
@@ -135,13 +140,16 @@ def fit_forest(
         raise ValueError("no rows to train on")
     per_tree = min(max_samples, n_rows)
     grow = tree_grower(per_tree, seed)
-    for prefilter in (True, False):
-        sample = draw_samples(counts, n_rows, trees, per_tree, seed, key, prefilter)
+    oversampling = OVERSAMPLING
+    while True:
+        sample = draw_samples(counts, n_rows, trees, per_tree, seed, key, oversampling)
         nodes = sample.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA).toPandas()
         roots = nodes[nodes["node_id"] == 0]
         # A tree that the bound left short of rows is next to impossible, but would be wrong.
-        if len(roots) == trees and (roots["n_rows"] == per_tree).all():
+        complete = len(roots) == trees and (roots["n_rows"] == per_tree).all()
+        if complete or oversampling * per_tree >= n_rows:
             break
+        oversampling *= 8
     nodes = nodes.sort_values(["tree_id", "node_id"], ignore_index=True)
     return Forest(nodes, per_tree)
 

@@ -20,7 +20,6 @@ from tallywatch.schema import SOURCE_NAMES
 from tallywatch.sources.messages import parse, parse_narrow
 
 ONCE: dict[str, Any] = {"availableNow": True}
-HOURLY_TRIGGER: dict[str, Any] = {"processingTime": "1 hour"}
 
 
 def _start(

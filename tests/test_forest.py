@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallywatch.operators import forest as forest_module
 from tallywatch.operators.forest import draw_samples, fit_forest, mean_path
 from tallywatch.operators.scoring import score_counts, score_requests
 from tallywatch.plans.training import load_latest, load_model, run_log, save_model, save_run, train, train_metrics
@@ -44,8 +45,14 @@ def test_forest_does_not_depend_on_partitioning(planted):
     assert one.equals(many)
 
 
-def test_samples_are_exact_with_and_without_the_prefilter(planted):
-    few = [draw_samples(planted, 1010, 5, 16, 42, prefilter=p).select("tree_id", "draw").collect() for p in (True, False)]
+def test_a_bound_too_low_is_raised_until_trees_are_whole(planted, monkeypatch):
+    whole = fit_forest(planted, trees=5, max_samples=64).nodes
+    monkeypatch.setattr(forest_module, "OVERSAMPLING", 1)
+    assert fit_forest(planted, trees=5, max_samples=64).nodes.equals(whole)
+
+
+def test_samples_are_exact_with_and_without_the_bound(planted):
+    few = [draw_samples(planted, 1010, 5, 16, 42, oversampling=o).select("tree_id", "draw").collect() for o in (4, 1000)]
     assert sorted(few[0]) == sorted(few[1])
     assert len(few[0]) == 5 * 16
 
