@@ -61,6 +61,10 @@ def stream_source_messages(spark, sf_dir):
     return streamed(jobs.start_messages, spark, [views.raw_messages(spark, sf_dir)])
 
 
+def _hourly(spark: SparkSession, batches: list[DataFrame]) -> DataFrame:
+    return streamed(jobs.start_hourly, spark, batches, state_partitions=spark.sparkContext.defaultParallelism)
+
+
 def _raw_sql(source: Source) -> str:
     return f"""WITH {sql.ROUTED}
 SELECT source, "timestamp", event_time, crime_type, CAST(event_id AS VARCHAR) AS id,
@@ -98,7 +102,7 @@ def stream_raw_la(spark, sf_dir):
 @query(f"WITH {sql.CLOSED} SELECT * FROM closed")
 def stream_hourly_counts(spark, sf_dir):
     """Hourly counts in append mode: only windows the watermark has closed are written."""
-    return streamed(jobs.start_hourly, spark, [views.raw_messages(spark, sf_dir)])
+    return _hourly(spark, [views.raw_messages(spark, sf_dir)])
 
 
 def _messages_where(spark, sf_dir, condition) -> DataFrame:
@@ -114,7 +118,7 @@ def stream_restart(spark, sf_dir):
     """The same table from a job that was stopped halfway and resumed: nothing lost, nothing repeated."""
     early = _happened_before(CUT)
     halves = [_messages_where(spark, sf_dir, condition) for condition in (early, ~early)]
-    return streamed(jobs.start_hourly, spark, halves)
+    return _hourly(spark, halves)
 
 
 @query(f"""WITH {sql.ROUTED}, polls AS (
@@ -134,4 +138,4 @@ def stream_late_data(spark, sf_dir):
     kind = F.coalesce("category", "primary_type", "ofns_desc", "crm_cd_desc")
     held = F.coalesce(kind == HELD_TYPE, F.lit(False))
     polls = [_messages_where(spark, sf_dir, condition) for condition in (early & ~held, early & held, ~early)]
-    return streamed(jobs.start_hourly, spark, polls)
+    return _hourly(spark, polls)

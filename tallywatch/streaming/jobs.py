@@ -19,6 +19,7 @@ from tallywatch.operators.scoring import Model, score_counts
 from tallywatch.schema import SOURCE_NAMES
 from tallywatch.sources.messages import parse, parse_narrow
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 ONCE: dict[str, Any] = {"availableNow": True}
 
 
@@ -49,10 +50,21 @@ def start_raw(
 
 
 def start_hourly(
-    messages: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict[str, Any] | None = None
+    messages: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None,
+    fmt: str = "parquet", trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Hourly counts, each window written once after the watermark has passed its end."""
-    return _start(hourly_counts(unify(parse_narrow(messages))), path, checkpoint, fmt, trigger)
+    """Hourly counts, each window written once after the watermark has passed its end.
+
+    The first start fixes the number of state partitions for the life of the checkpoint. Without
+    state_partitions it is the session's spark.sql.shuffle.partitions.
+    """
+    conf = messages.sparkSession.conf
+    usual = conf.get(SHUFFLE_PARTITIONS)
+    conf.set(SHUFFLE_PARTITIONS, str(state_partitions or usual))
+    try:
+        return _start(hourly_counts(unify(parse_narrow(messages))), path, checkpoint, fmt, trigger)
+    finally:
+        conf.set(SHUFFLE_PARTITIONS, usual)
 
 
 def start_scores(

@@ -85,6 +85,18 @@ def test_resume_neither_loses_nor_repeats(spark, tmp_path):
     assert closed(spark, out) == [(0, 2), (1, 2)]
 
 
+def test_state_partitions_are_fixed_by_the_first_start(spark, tmp_path):
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), tmp_path / "cp"
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    for i, partitions in enumerate((3, 2)):
+        land(source, f"{i}.json", message(5 + 300 * i))
+        messages = stream_messages(spark, "text", str(source))
+        jobs.start_hourly(messages, out, str(checkpoint), partitions, trigger=jobs.ONCE).awaitTermination()
+    assert len([p for p in (checkpoint / "state" / "0").iterdir() if p.name.isdigit()]) == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
+    assert closed(spark, out) == [(0, 1)]
+
+
 def test_rows_without_event_time_or_source_do_not_count(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     land(source, "1.json", message(5), message(0, timestamp=None), message(6, source="other"), "junk", message(500))
