@@ -26,6 +26,7 @@ TREES = 100
 MAX_SAMPLES = 256
 SEED = 42
 
+GROWN_FROM = ("tree_id", "place_in_draw", COUNT_FEATURE, "location_name", "crime_type")
 OVERSAMPLING = 4
 TREES_PER_TASK = 4
 
@@ -142,7 +143,8 @@ def fit_forest(
     grow = tree_grower(per_tree, seed)
     oversampling = OVERSAMPLING
     while True:
-        sample = draw_samples(counts, n_rows, trees, per_tree, seed, key, oversampling)
+        # Python gets what a tree is grown from and no more; pandas cannot hold every timestamp Spark can.
+        sample = draw_samples(counts, n_rows, trees, per_tree, seed, key, oversampling).select(*GROWN_FROM)
         nodes = sample.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA).toPandas()
         roots = nodes[nodes["node_id"] == 0]
         # A tree that the bound left short of rows is next to impossible, but would be wrong.

@@ -37,7 +37,6 @@ LA_FIELDS = (
 MAP_FIELDS = ("location", "outcome_status")
 
 TOPIC = "crime-incidents"
-MODEL_NAME = "CrimeAnomalyDetector"
 
 # Coordinates polled for the UK source, and the place each one stands for.
 CITIES = (
@@ -50,6 +49,8 @@ CITIES = (
 UNKNOWN_CITY = "Unknown"
 # --- End of fixed values ------------------------------------------------------------------------
 
+MODEL_NAME = "hourly-anomalies"
+
 
 @dataclass(frozen=True)
 class Source:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tallywatch.functions.times import epoch_seconds, newer_than, previous_month_key
 from tallywatch.operators.cities import with_city
-from tallywatch.schema import CITIES, CITY_SCHEMA, ENVELOPE, SOURCES, UK, Source
+from tallywatch.schema import CITIES, CITY_SCHEMA, ENVELOPE, SOURCES, UK, UK_FIELDS, Source
 
 LOOKBACK = timedelta(days=7)
 PAGE_LIMIT = 1000
@@ -76,7 +76,9 @@ def extract_uk(spark: SparkSession, root: str, as_of: datetime, cities: Iterable
     folder = source_folder(root, UK)
     paths = [f"{folder}/lat={lat}/lng={lng}" for lat, lng, _ in cities]
     month = read_or_empty(spark, paths, UK_LANDING, folder).filter(F.col("month") == previous_month_key(as_of))
-    placed = with_city(month.drop("location_name"), "location_name")
+    # An unreadable line has nothing but what its folder says.
+    said = [name for name in UK_FIELDS if name != "month"]
+    placed = with_city(month.dropna("all", subset=said).drop("location_name"), "location_name")
     return tagged(placed, UK, as_of).select(*ENVELOPE.fieldNames())
 
 

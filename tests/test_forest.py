@@ -119,6 +119,11 @@ def test_tiny_tables(spark, planted):
         assert score_counts(some, outcome.model).count() == n
 
 
+def test_hours_far_off_do_not_matter(planted):
+    some = planted.limit(50).withColumn("window_start", F.timestamp_seconds(F.unix_seconds("window_start") + 40_000_000_000))
+    assert train(some, trees=3).n_rows == 50
+
+
 def test_empty_table_is_refused(planted):
     with pytest.raises(ValueError, match="no rows"):
         train(planted.filter(F.lit(False)))

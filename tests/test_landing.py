@@ -13,7 +13,7 @@ AS_OF = datetime(2024, 2, 10, 12, 0, 0)
 
 def land(folder, *records):
     folder.mkdir(parents=True)
-    (folder / "part.json").write_text("".join(json.dumps(r) + "\n" for r in records))
+    (folder / "part.json").write_text("".join((r if r == "junk" else json.dumps(r)) + "\n" for r in records))
 
 
 def chicago(root, day, *records):
@@ -48,7 +48,7 @@ def test_days_out_of_range_are_not_read(spark, tmp_path):
 def test_uk_takes_last_month_at_polled_places(spark, tmp_path):
     uk = tmp_path / "source=uk_police"
     lat, lng, name = CITIES[1]
-    land(uk / f"lat={lat}" / f"lng={lng}" / "month=2024-01", {"id": "1", "location_name": "sent"})
+    land(uk / f"lat={lat}" / f"lng={lng}" / "month=2024-01", {"id": "1", "location_name": "sent"}, "junk")
     land(uk / f"lat={lat}" / f"lng={lng}" / "month=2024-02", {"id": "2"})
     land(uk / "lat=0.0000" / "lng=0.0000" / "month=2024-01", {"id": "3"})
     (row,) = extract_uk(spark, str(tmp_path), AS_OF).collect()
