@@ -39,6 +39,11 @@ def is_from(source: Source) -> Column:
     return F.col("source") == source.name
 
 
+def source_counts() -> list[Column]:
+    """Aggregates that count records in total and per known source."""
+    return [F.count("*").alias("total"), *(F.count_if(is_from(s)).alias(s.name) for s in SOURCES)]
+
+
 def map_value(column: str, key: str) -> Column:
     return F.try_element_at(F.col(column), F.lit(key))
 

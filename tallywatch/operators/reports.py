@@ -23,12 +23,13 @@ def in_range(scored: DataFrame, as_of: datetime, time_range: str) -> DataFrame:
 
 
 def flagged(scored: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """Set is_anomaly from the threshold, over any flag that came with the row."""
-    return scored.withColumn("is_anomaly", above(F.col("anomaly_score"), threshold))
+    """Set is_anomaly from the threshold, over any flag that came with the row. No score, no anomaly."""
+    return scored.withColumn("is_anomaly", F.coalesce(above(F.col("anomaly_score"), threshold), F.lit(False)))
 
 
 def anomalies(scored: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    return flagged(scored, threshold).filter("is_anomaly")
+    """The rows that flagged would mark. The test is on the score itself, so that a scan can use it."""
+    return flagged(scored.filter(above(F.col("anomaly_score"), threshold)), threshold)
 
 
 def series(scored: DataFrame) -> DataFrame:

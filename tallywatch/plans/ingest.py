@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.functions.incidents import is_from
-from tallywatch.schema import CITIES, SOURCES, UK, UNKNOWN_CITY
+from tallywatch.functions.incidents import is_from, source_counts
+from tallywatch.schema import CITIES, UK, UNKNOWN_CITY
 from tallywatch.sinks.messages import publish
 from tallywatch.sources.landing import extract_all
 
@@ -19,9 +19,8 @@ def poll(
     """Publish one poll of every agency. Returns the records sent per source, per city and in total, which
     are counted while they pass."""
     sent = Observation("poll")
-    per_source = [F.count_if(is_from(s)).alias(s.name) for s in SOURCES]
     names = [*(city for _, _, city in CITIES), UNKNOWN_CITY]
     per_city = [F.count_if(is_from(UK) & (F.col("location_name") == name)).alias(name) for name in names]
     records = extract_all(spark, landing, as_of)
-    publish(records.observe(sent, F.count("*").alias("total"), *per_source, *per_city), fmt, path, **options)
+    publish(records.observe(sent, *source_counts(), *per_city), fmt, path, **options)
     return sent.get

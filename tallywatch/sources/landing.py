@@ -55,7 +55,7 @@ def extract_recent(
     spark: SparkSession, root: str, source: Source, as_of: datetime,
     age: timedelta = LOOKBACK, limit: int = PAGE_LIMIT,
 ) -> DataFrame:
-    """Records strictly newer than as_of - age, the newest first, at most limit of them.
+    """Records strictly newer than as_of - age to the second, the newest first, at most limit of them.
 
     The order is total (date, then the agency's own id), so a limit that bites always keeps the same rows.
     """
@@ -64,7 +64,7 @@ def extract_recent(
     recent = (
         read_or_empty(spark, [folder], DAILY_LANDING, folder)
         .filter(F.col("day") >= F.lit((as_of - age).date()))
-        .filter(newer_than(happened, as_of, age))
+        .filter(newer_than(happened, as_of.replace(microsecond=0), age))
         .orderBy(happened.desc(), F.col(source.id_field))
         .limit(limit)
     )

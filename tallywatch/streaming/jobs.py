@@ -13,6 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tallywatch.functions.incidents import source_counts
 from tallywatch.operators.aggregates import hourly_counts
 from tallywatch.operators.normalize import routed, unify
 from tallywatch.operators.scoring import Model, score_counts
@@ -45,8 +46,12 @@ def start_raw(
     messages: DataFrame, path: str, checkpoint: str, sources: Iterable[str] = SOURCE_NAMES,
     fmt: str = "parquet", trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
-    """All fields of every routed record, one partition per source."""
-    return _start(routed(parse(messages), sources), path, checkpoint, fmt, trigger, "source")
+    """All fields of every routed record, one partition per source.
+
+    The progress of each batch carries its records per source as the observed metrics "ingest".
+    """
+    records = routed(parse(messages), sources).observe("ingest", *source_counts())
+    return _start(records, path, checkpoint, fmt, trigger, "source")
 
 
 def start_hourly(

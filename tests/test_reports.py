@@ -28,8 +28,9 @@ def test_ranges_are_strict(frame):
 
 
 def test_flag_is_strict_and_replaces_the_one_that_came(frame):
-    scored = frame(("p", "t", 1, 1, 0.2), ("p", "t", 2, 1, 0.25))
-    assert [r["is_anomaly"] for r in ops.flagged(scored).orderBy("anomaly_score").collect()] == [False, True]
+    scored = frame(("p", "t", 1, 1, 0.2), ("p", "t", 2, 1, 0.25), ("p", "t", 3, 1, None))
+    assert [r["is_anomaly"] for r in ops.flagged(scored).orderBy("anomaly_score").collect()] == [False, False, True]
+    assert [r["anomaly_score"] for r in ops.anomalies(scored).collect()] == [0.25]
 
 
 def test_metrics_of_nothing(frame):

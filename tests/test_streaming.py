@@ -109,7 +109,10 @@ def test_raw_table_is_one_partition_per_source(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     land(source, "1.json", message(5), message(6, source="nyc", ofns_desc="x", boro_nm="Q"), message(7, source="z"))
     messages = stream_messages(spark, "text", str(source))
-    jobs.start_raw(messages, out, str(tmp_path / "cp"), trigger=jobs.ONCE).awaitTermination()
+    query = jobs.start_raw(messages, out, str(tmp_path / "cp"), trigger=jobs.ONCE)
+    query.awaitTermination()
+    seen = query.lastProgress.observedMetrics["ingest"]
+    assert seen.asDict() == {"total": 2, "uk_police": 0, "chicago": 0, "nyc": 1, "la": 1}
     raw = spark.read.parquet(out)
     assert len(raw.columns) == 66
     assert sorted((r["source"], r["crime_type"]) for r in raw.collect()) == [("la", "t"), ("nyc", "x")]
