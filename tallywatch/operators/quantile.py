@@ -22,42 +22,26 @@ def value_counts(frame: DataFrame, column: str) -> DataFrame:
     return materialize(counts, new_folder(frame.sparkSession, "value-counts"))
 
 
-def quantile_of_counts(counts: DataFrame, q: float, **limits: int) -> float | None:
-    """Linearly interpolated quantile of the values in a (value, n) table; NULL when there are none."""
-    total = counts.agg(F.sum("n")).first()[0]
+def quantile_of_counts(counts: DataFrame, q: float, buckets: int = BUCKETS, few: int = FEW) -> float | None:
+    """Linearly interpolated quantile of the values in a (value, n) table; None when there are none.
+
+    While too many values are left to look at, a histogram of their range tells which bucket holds the rank,
+    and that bucket's own minimum and maximum are the next range. The driver sees at most `buckets` rows per
+    pass, and at the end at most `few` values.
+    """
+    value = F.col("value")
+    total, low, high, distinct = counts.agg(F.sum("n"), F.min(value), F.max(value), F.count("*")).first()
     if not total:
         return None
     position = q * (total - 1)
     rank = int(position)
-    low = _value_at(counts, rank, **limits)
-    if position == rank:
-        return low
-    high = _value_at(counts, rank + 1, **limits)
-    return low + (high - low) * (position - rank)
-
-
-def exact_quantile(frame: DataFrame, column: str, q: float) -> float | None:
-    return quantile_of_counts(value_counts(frame, column), q)
-
-
-def _value_at(counts: DataFrame, rank: int, buckets: int = BUCKETS, few: int = FEW) -> float:
-    """The value with `rank` smaller ones before it.
-
-    Each pass counts a histogram of the range that must hold the rank and goes on with one bucket's own
-    minimum and maximum. The driver sees at most `buckets` rows per pass, and at the end at most `few` values.
-    """
-    low, high, distinct = counts.agg(F.min("value"), F.max("value"), F.count("*")).first()
-    while low < high:
-        part = counts.filter(F.col("value").between(low, high))
-        if distinct <= few:
-            for value, n in part.select("value", "n").orderBy("value").collect():
-                if rank < n:
-                    return value
-                rank -= n
-        share = (F.col("value") - F.lit(low)) / F.lit(high - low)
+    part = position - rank
+    while distinct > few and low < high:
+        share = (value - F.lit(low)) / F.lit(high - low)
         histogram = (
-            part.groupBy(F.least(F.floor(share * buckets), F.lit(buckets - 1)).alias("bucket"))
-            .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"),
+            counts.filter(value.between(low, high))
+            .groupBy(F.least(F.floor(share * buckets), F.lit(buckets - 1)).alias("bucket"))
+            .agg(F.sum("n").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"),
                  F.count("*").alias("distinct"))
             .orderBy("bucket")
         )
@@ -66,4 +50,21 @@ def _value_at(counts: DataFrame, rank: int, buckets: int = BUCKETS, few: int = F
                 low, high, distinct = bucket["low"], bucket["high"], bucket["distinct"]
                 break
             rank -= bucket["n"]
-    return low
+
+    left = counts.filter(value.between(low, high)).select("value", "n").orderBy("value").collect()
+    here = 0
+    while rank >= left[here]["n"]:
+        rank -= left[here]["n"]
+        here += 1
+    found = left[here]["value"]
+    if part == 0 or rank + 1 < left[here]["n"]:
+        return found
+    if here + 1 < len(left):
+        following = left[here + 1]["value"]
+    else:
+        following = counts.filter(value > found).agg(F.min(value)).first()[0]
+    return found + (following - found) * part
+
+
+def exact_quantile(frame: DataFrame, column: str, q: float) -> float | None:
+    return quantile_of_counts(value_counts(frame, column), q)
