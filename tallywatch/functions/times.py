@@ -7,10 +7,11 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 0001-01-01 and 9999-12-31 in epoch seconds. Outside them (millisecond stamps, for one) a value is
-# no usable event time, and one such record would push a stream's watermark past everything else.
-MIN_EPOCH_SECONDS = -62_135_596_800
-MAX_EPOCH_SECONDS = 253_402_300_799
+# Epoch seconds from December 1901 to February 2106, what signed and unsigned 32 bits can hold. A value outside
+# (milliseconds, for one) is no usable event time: a single such record would push a stream's watermark so far
+# that every later record counted as late.
+MIN_EPOCH_SECONDS = -(2**31)
+MAX_EPOCH_SECONDS = 2**32 - 1
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
