@@ -39,14 +39,21 @@ def score_counts(counts: DataFrame, model: Model) -> DataFrame:
     return with_scores(counts, model, model.forest.raw_score(*columns))
 
 
+def invalid_field() -> Column:
+    """First field that keeps a request from being answered: a required one that is missing, or additional
+    features among which one has no value. NULL for a request that is in order."""
+    missing = [F.when(F.col(name).isNull(), F.lit(name)) for name in REQUIRED]
+    features = F.col("additional_features")
+    without_value = F.exists(F.map_values(features), lambda value: value.isNull())
+    return F.coalesce(*missing, F.when(without_value, F.lit("additional_features")))
+
+
 def valid_requests(requests: DataFrame) -> DataFrame:
-    return requests.dropna(subset=list(REQUIRED))
+    return requests.filter(invalid_field().isNull())
 
 
 def invalid_requests(requests: DataFrame) -> DataFrame:
-    """Requests without a required field, and the first field that is missing."""
-    missing = F.coalesce(*[F.when(F.col(name).isNull(), F.lit(name)) for name in REQUIRED])
-    return requests.withColumn("missing_field", missing).filter(F.col("missing_field").isNotNull())
+    return requests.withColumn("invalid_field", invalid_field()).filter(F.col("invalid_field").isNotNull())
 
 
 def score_requests(requests: DataFrame, model: Model) -> DataFrame:
@@ -56,7 +63,7 @@ def score_requests(requests: DataFrame, model: Model) -> DataFrame:
     """
     own = F.col("additional_features")
     one_hot = F.map_filter(
-        own, lambda name, value: (name.startswith(PLACE_PREFIX) | name.startswith(TYPE_PREFIX)) & value.isNotNull()
+        own, lambda name, _: name.startswith(PLACE_PREFIX) | name.startswith(TYPE_PREFIX)
     )
     counted = F.coalesce(F.try_element_at(own, F.lit(COUNT_FEATURE)), F.col(COUNT_FEATURE).cast("double"))
     names = F.coalesce(F.map_keys(one_hot), F.array().cast("array<string>"))

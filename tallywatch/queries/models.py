@@ -147,10 +147,10 @@ def contamination_quantile(spark, sf_dir):
 
 
 @query(f"""WITH {sql.REQUESTS}
-SELECT request_id, crime_type, incident_count, 'location_name' AS missing_field FROM requests WHERE request_id % 50 = 0""")
+SELECT request_id, crime_type, incident_count, 'location_name' AS invalid_field FROM requests WHERE request_id % 50 = 0""")
 def score_requests_invalid(spark, sf_dir):
     return invalid_requests(views.dirty_requests(spark, sf_dir)).select(
-        "request_id", "crime_type", "incident_count", "missing_field"
+        "request_id", "crime_type", "incident_count", "invalid_field"
     )
 
 

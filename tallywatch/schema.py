@@ -123,6 +123,17 @@ SCORE_REQUEST = T.StructType(
     ]
 )
 
+# Requests as they are written: a number may come as text, and what is no number must not cost the whole field.
+SCORE_REQUEST_TEXT = T.StructType(
+    [
+        T.StructField("request_id", T.LongType()),
+        T.StructField("location_name", T.StringType()),
+        T.StructField("crime_type", T.StringType()),
+        T.StructField("incident_count", T.StringType()),
+        T.StructField("additional_features", T.MapType(T.StringType(), T.StringType())),
+    ]
+)
+
 SCORED = T.StructType(
     [
         T.StructField("location_name", T.StringType()),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.functions.times import ISO_MICROS
-from tallywatch.schema import SCORE_REQUEST, SCORED
+from tallywatch.schema import SCORE_REQUEST, SCORE_REQUEST_TEXT, SCORED
 
 # For writing and reading JSON lines; Spark's default format keeps milliseconds only.
 JSON_TIMES = {"timestampNTZFormat": ISO_MICROS}
@@ -29,8 +29,15 @@ def read_table_or_empty(spark: SparkSession, path: str, schema: str, fmt: str =
 
 
 def read_score_requests(spark: SparkSession, path: str) -> DataFrame:
-    """Score requests kept as JSON lines."""
-    return spark.read.schema(SCORE_REQUEST).json(path)
+    """Score requests kept as JSON lines. Numbers may be written as text, and counts with a fraction lose it;
+    what is no number becomes NULL, for invalid_requests to find."""
+    text = spark.read.schema(SCORE_REQUEST_TEXT).json(path)
+    return text.withColumns(
+        {
+            "incident_count": F.col("incident_count").try_cast("double").try_cast("bigint"),
+            "additional_features": F.transform_values("additional_features", lambda _, v: v.try_cast("double")),
+        }
+    ).select(*SCORE_REQUEST.fieldNames())
 
 
 def read_scored(spark: SparkSession, path: str) -> DataFrame:

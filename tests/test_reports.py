@@ -10,6 +10,7 @@ from tallywatch.operators import reports as ops
 from tallywatch.operators.grid import time_grid
 from tallywatch.operators.scoring import invalid_requests, valid_requests
 from tallywatch.schema import SCORE_REQUEST, SCORED
+from tallywatch.sources.tables import read_score_requests
 
 AS_OF = datetime(2024, 3, 1, 10, 30)
 
@@ -83,9 +84,31 @@ def test_previous_month_key():
 
 def test_requests_split(spark):
     requests = spark.createDataFrame(
-        [(1, "p", "t", 1, None), (2, None, "t", 1, None), (3, "p", None, None, {"a": 1.0})], SCORE_REQUEST
+        [(1, "p", "t", 1, None), (2, None, "t", 1, None), (3, "p", None, None, {"a": 1.0}),
+         (4, "p", "t", 1, {"a": None}), (5, "p", "t", 1, {})],
+        SCORE_REQUEST,
     )
-    assert [r["request_id"] for r in valid_requests(requests).collect()] == [1]
-    assert {r["request_id"]: r["missing_field"] for r in invalid_requests(requests).collect()} == {
-        2: "location_name", 3: "crime_type"
+    assert sorted(r["request_id"] for r in valid_requests(requests).collect()) == [1, 5]
+    assert {r["request_id"]: r["invalid_field"] for r in invalid_requests(requests).collect()} == {
+        2: "location_name", 3: "crime_type", 4: "additional_features"
+    }
+
+
+def test_requests_read_leniently(spark, tmp_path):
+    (tmp_path / "requests.json").write_text(
+        '{"request_id": 1, "location_name": "p", "crime_type": 7, "incident_count": "12",'
+        ' "additional_features": {"a": "1.5", "b": 2}}\n'
+        '{"request_id": 2, "location_name": "p", "crime_type": "t", "incident_count": 12.7}\n'
+        '{"request_id": 3, "location_name": "p", "crime_type": "t", "incident_count": "many"}\n'
+        '{"request_id": 4, "location_name": "p", "crime_type": "t", "incident_count": 1,'
+        ' "additional_features": {"a": "x"}}\n'
+    )
+    requests = read_score_requests(spark, str(tmp_path))
+    assert requests.schema == SCORE_REQUEST
+    good = {r["request_id"]: r for r in valid_requests(requests).collect()}
+    assert set(good) == {1, 2}
+    assert (good[1]["crime_type"], good[1]["incident_count"], good[2]["incident_count"]) == ("7", 12, 12)
+    assert good[1]["additional_features"] == {"a": 1.5, "b": 2.0}
+    assert {r["request_id"]: r["invalid_field"] for r in invalid_requests(requests).collect()} == {
+        3: "incident_count", 4: "additional_features"
     }
