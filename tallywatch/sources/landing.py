@@ -33,17 +33,15 @@ def source_folder(root: str, source: Source) -> str:
 
 
 def read_or_empty(spark: SparkSession, paths: list[str], schema: T.StructType, base: str) -> DataFrame:
-    """JSON lines below the paths; a path that is not there yields no rows and stops nobody else."""
-    found = []
-    for path in paths:
-        try:
-            found.append(spark.read.schema(schema).option("basePath", base).json(path))
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-    if not found:
+    """JSON lines below the paths in one read; a path that is not there yields no rows and stops nobody else."""
+    try:
+        return spark.read.schema(schema).option("basePath", base).json(paths)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    if len(paths) == 1:
         return spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, [read_or_empty(spark, [path], schema, base) for path in paths])
 
 
 def tagged(records: DataFrame, source: Source, as_of: datetime) -> DataFrame:

@@ -1,13 +1,14 @@
 """Properties of the forest: what it may not depend on, and what it must find."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallywatch.operators import forest as forest_module
-from tallywatch.operators.forest import draw_samples, fit_forest, mean_path
+from tallywatch.operators.forest import draw_samples, fit_forest, mean_path, tree_grower
 from tallywatch.operators.scoring import score_counts, score_requests
 from tallywatch.plans.training import load_latest, load_model, run_log, save_model, save_run, train, train_metrics
 from tallywatch.schema import SCORE_REQUEST
@@ -67,6 +68,33 @@ def test_tree_shape(planted):
     assert (leaves.groupby("tree_id")["n_rows"].sum() == 256).all()
 
 
+def test_trees_split_the_rows_drawn_for_them(planted):
+    """Route every drawn row from the root by hand and count who passes which node."""
+    drawn = draw_samples(planted, 1010, 6, 64, 42).toPandas()
+    nodes = fit_forest(planted, trees=6, max_samples=64).nodes.set_index(["tree_id", "node_id"])
+    passed = Counter()
+    for row in drawn.itertuples():
+        own = {"incident_count": row.incident_count, f"location_{row.location_name}": 1, f"crime_{row.crime_type}": 1}
+        at = 0
+        while True:
+            passed[row.tree_id, at] += 1
+            node = nodes.loc[(row.tree_id, at)]
+            if not isinstance(node["feature"], str):
+                break
+            at = int(node["left_id"] if own.get(node["feature"], 0) <= node["threshold"] else node["right_id"])
+    assert passed == Counter(nodes["n_rows"].to_dict())
+
+
+def test_splits_choose_evenly_among_varying_features(planted):
+    rows = draw_samples(planted, 1010, 1, 256, 42).toPandas()
+    grow, chosen = tree_grower(256, 42), Counter()
+    for tree in range(400):
+        grown = grow(rows.assign(tree_id=tree))
+        chosen[grown.loc[grown["node_id"] == 0, "feature"].iloc[0]] += 1
+    assert len(chosen) == 10
+    assert all(20 <= n <= 65 for n in chosen.values())
+
+
 def test_planted_outliers_rank_first(planted, run):
     scored = score_counts(planted, run.model)
     worst = scored.orderBy("raw_score").limit(10).collect()
