@@ -16,6 +16,7 @@ from tallywatch.sinks.tables import append
 from tallywatch.sources.messages import stream_messages
 from tallywatch.sources.tables import read_score_requests, read_table
 from tallywatch.streaming import jobs
+from tallywatch.streaming.polling import start_polling
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -23,6 +24,11 @@ def _options(pairs: list[str]) -> dict[str, str]:
 
 
 def run_poll(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.every:
+        start_polling(
+            spark, args.landing, args.checkpoint, args.every, args.messages, args.path, **_options(args.option)
+        ).awaitTermination()
+        return
     counts = poll(spark, args.landing, args.as_of, args.messages, args.path, **_options(args.option))
     for name, n in counts.items():
         print(f"{name}: {n}")
@@ -87,7 +93,10 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
 
     sub = command("poll", run_poll, "landing")
-    sub.add_argument("--as-of", type=datetime.fromisoformat, required=True)
+    when = sub.add_mutually_exclusive_group(required=True)
+    when.add_argument("--as-of", type=datetime.fromisoformat, help="poll once, as if it were then")
+    when.add_argument("--every", metavar="INTERVAL", help="poll at once and then per interval, such as '1 hour'")
+    sub.add_argument("--checkpoint", help="folder that --every keeps its progress in")
     messages(sub)
     sub = command("stream", run_stream, "out", "checkpoint")
     messages(sub)
@@ -107,7 +116,10 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    arguments = parser()
+    args = arguments.parse_args(argv)
+    if args.command == "poll" and args.every and not args.checkpoint:
+        arguments.error("--every needs --checkpoint")
     args.run(build_session(f"tallywatch {args.command}", args.master), args)
 
 

@@ -1,9 +1,11 @@
 """Extracts from landing folders."""
 
 import json
-from datetime import datetime
+import time
+from datetime import datetime, timedelta
 
 from tallywatch.plans.ingest import poll
+from tallywatch.streaming.polling import start_polling
 from tallywatch.schema import CHICAGO, CITIES, NYC
 from tallywatch.sources.landing import extract_recent, extract_uk
 from tallywatch.sources.messages import parse, read_messages
@@ -70,3 +72,23 @@ def test_poll_publishes_and_counts(spark, tmp_path):
     assert sorted((r["source"], r["case_number"] or r["id"]) for r in sent) == [
         ("chicago", "a"), ("uk_police", "1"), ("uk_police", "2")
     ]
+
+
+def test_polls_repeat_with_the_clock(spark, tmp_path):
+    landing, topic = tmp_path / "landing", tmp_path / "topic"
+    chicago(landing, "2024-02-09", {"case_number": "a", "date": "2024-02-09T00:00:00"})
+    hours = iter(range(10**6))
+    query = start_polling(
+        spark, str(landing), str(tmp_path / "cp"), "2 seconds", "text", str(topic),
+        clock=lambda: AS_OF + timedelta(hours=next(hours)),
+    )
+    try:
+        deadline = time.time() + 60
+        while next(iter(query.recentProgress[2:]), None) is None and time.time() < deadline:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    sent = parse(read_messages(spark, "text", str(topic))).collect()
+    stamps = sorted(r["timestamp"] for r in sent)
+    assert {r["case_number"] for r in sent} == {"a"} and len(stamps) >= 2
+    assert stamps[:2] == [1707566400, 1707566400 + 3600]
