@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Folder per local application whose session names none.
+_local_folders: dict[str, str] = {}
+
 SESSION_DEFAULTS = {
     # Hourly windows are cut in UTC whatever zone the cluster runs in.
     "spark.sql.session.timeZone": "UTC",
@@ -48,9 +51,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tallywatch-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="tallywatch-")
+    return _local_folders[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -1,6 +1,7 @@
 """Shapes of the physical plans that scale depends on."""
 
 import re
+from types import SimpleNamespace
 
 import pytest
 
@@ -67,3 +68,15 @@ def test_grid_sums_before_joining(spark, sf_dir):
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "a") != new_folder(spark, "a")
+
+
+def test_only_a_local_session_has_a_folder_of_its_own():
+    def session(master):
+        unset = SimpleNamespace(get=lambda *_: None)
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}", getConf=lambda: unset)
+        return SimpleNamespace(conf=unset, sparkContext=context)
+
+    local = session("local[2]")
+    assert shared_folder(local) == shared_folder(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077"))
