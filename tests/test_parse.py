@@ -5,6 +5,7 @@ import json
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallywatch.functions.incidents import nested_value
 from tallywatch.operators.normalize import quarantine, routed, unify, unify_by_branch
@@ -64,6 +65,28 @@ def test_unreadable_document_is_one_row_of_nulls(spark, parser, value):
     assert set(row.asDict().values()) == {None}
 
 
+def test_narrow_parse_of_cut_documents(spark):
+    """A document cut off inside a nested value is unreadable to the narrow parse, while the full one may keep the
+    fields before it. Everything else parses alike."""
+    whole = json.dumps(
+        {"source": "chicago", "timestamp": 1700000000, "location": {"latitude": "1", "street": {"id": 1}},
+         "vict_age": [1, {"a": "b"}], "district": "7", "unheard": None, "primary_type": "T\u00e9 \"x\""}
+    )
+    nested = {i for name, end in (("location", "}}"), ("vict_age", "}]"))
+              for i in range(whole.index(name), whole.index(end, whole.index(name)) + 2)}
+    values = {i: whole[:i] for i in range(len(whole) + 1)}
+    values |= {-1: whole + whole, -2: whole + "x", -3: whole.replace("1700000000", "1e400"),
+               -4: whole.replace('"7"', "[7]"), -5: whole.replace('"7"', '{"a": 1}')}
+    frame = spark.createDataFrame(list(values.items()), "i int, value string")
+    names = NARROW_ENVELOPE.fieldNames()
+    full, narrow = (F.from_json("value", schema) for schema in (ENVELOPE, NARROW_ENVELOPE))
+    for row in frame.select("i", full.alias("full"), narrow.alias("narrow")).collect():
+        from_full = [row["full"] and row["full"][n] for n in names]
+        from_narrow = [row["narrow"] and row["narrow"][n] for n in names]
+        if from_full != from_narrow:
+            assert row["i"] in nested and set(from_narrow) == {None}
+
+
 def test_binary_values(spark):
     frame = spark.createDataFrame([(bytearray(b'{"source":"la"}'),)], "value binary")
     assert parse_narrow(frame).first()["source"] == "la"
