@@ -29,6 +29,7 @@ SEED = 42
 GROWN_FROM = ("tree_id", "place_in_draw", COUNT_FEATURE, "location_name", "crime_type")
 OVERSAMPLING = 4
 TREES_PER_TASK = 4
+REMEMBERED = 100_000
 
 EULER_GAMMA = 0.5772156649
 
@@ -159,8 +160,9 @@ def fit_forest(
 def forest_scorer(forest: Forest) -> Callable:
     """Pandas function for Forest.raw_score.
 
-    It closes over plain arrays only, and walks the forest once per distinct combination in a batch:
-    counts between the same two thresholds, and values no split asks for, are the same combination.
+    It closes over plain arrays only, and walks the forest once per distinct combination a task meets: counts
+    between the same two thresholds, and values no split asks for, are the same combination. What a task
+    remembers is bounded; beyond that it starts anew.
     """
     nodes = forest.nodes
     split = nodes["feature"].notna().to_numpy()
@@ -182,6 +184,7 @@ def forest_scorer(forest: Forest) -> Callable:
     roots = np.flatnonzero((nodes["node_id"] == 0).to_numpy())
     depth = int(nodes["depth"].max())
     block_rows = max(1, 1_000_000 // len(features))
+    remembered = REMEMBERED
     scale = mean_path(forest.per_tree)
     cuts = np.unique(threshold[split & (feature == 0)])
 
@@ -203,13 +206,17 @@ def forest_scorer(forest: Forest) -> Callable:
             return np.full(n, -0.5)
         return -(2.0 ** (-total / len(roots) / scale))
 
-    def score_rows(count: np.ndarray, place: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    def score_rows(known: pd.Series, count: np.ndarray, place: np.ndarray, kind: np.ndarray):
+        """Scores of the rows, and the scores per combination known by then."""
         width = len(features) + 1
         cell = (np.searchsorted(cuts, count, side="left") * width + place + 1) * width + kind + 1
-        _, first, back = np.unique(cell, return_index=True, return_inverse=True)
-        c, p, k = count[first], place[first], kind[first]
-        once = walk(lambda f: np.where(f == 0, c, (f == p) | (f == k)), len(first))
-        return once[back]
+        missing = np.flatnonzero(known.index.get_indexer(cell) < 0)
+        if len(missing):
+            new, first = np.unique(cell[missing], return_index=True)
+            c, p, k = (values[missing][first] for values in (count, place, kind))
+            once = walk(lambda f: np.where(f == 0, c, (f == p) | (f == k)), len(new))
+            known = pd.concat([known, pd.Series(once, index=new)])
+        return known.to_numpy()[known.index.get_indexer(cell)], known
 
     def score_overridden(count, place, kind, names, values) -> np.ndarray:
         """Scores of rows whose own one-hot values replace the derived ones, a block at a time."""
@@ -229,11 +236,12 @@ def forest_scorer(forest: Forest) -> Callable:
 
     def score(batches: Iterator[Tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         place_index, type_index = pd.Index(places, dtype=object), pd.Index(types, dtype=object)
+        nothing = known = pd.Series(dtype=float, index=pd.Index([], dtype="int64"))
         for count, place, kind, *extras in batches:
             c = count.fillna(0).to_numpy(float)
             p = place_number[place_index.get_indexer(place)]
             k = type_number[type_index.get_indexer(kind)]
-            scores = score_rows(c, p, k)
+            scores, known = score_rows(known if len(known) <= remembered else nothing, c, p, k)
             if extras:
                 names, values = (column.to_numpy() for column in extras)
                 own = np.flatnonzero([len(n) > 0 for n in names])

@@ -122,6 +122,16 @@ def test_scores_equal_a_plain_walk(spark, planted, run):
         assert row["s"] == pytest.approx(plain_score(run.model.forest.nodes, 256, features), abs=1e-12)
 
 
+def test_scores_do_not_depend_on_what_a_task_remembers(spark, planted, run, rows, monkeypatch):
+    usual = rows(score_counts(planted, run.model))
+    monkeypatch.setattr(forest_module, "REMEMBERED", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        assert rows(score_counts(planted, run.model)) == usual
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_request_features_replace_the_model_s(spark, run):
     cases = [
         (1, "P1", "T3", 9, None),
