@@ -65,7 +65,7 @@ def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_report(spark: SparkSession, args: argparse.Namespace) -> None:
-    scored = read_table(spark, args.scored, args.format)
+    scored = reports.series_of(read_table(spark, args.scored, args.format))
     picked = reports.for_place_and_type(scored, args.location, args.type)
     picked = reports.in_range(picked, args.as_of, args.range)
     reports.anomaly_metrics(picked, args.threshold).show()

@@ -77,15 +77,21 @@ def fit_scaler(counts: DataFrame) -> DataFrame:
     ).withColumn("std", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")))
 
 
-def scaled(features: DataFrame, scaler: DataFrame, names: list[str]) -> DataFrame:
-    """(x - mean) / std for the named columns. The scaler is read for those names only."""
-    fitted = {
-        row["feature"]: (row["mean"], row["std"])
-        for row in scaler.filter(F.col("feature").isin(names)).collect()
-    }
-    return features.withColumns(
-        {name: (F.col(name) - F.lit(fitted[name][0])) / F.lit(fitted[name][1]) for name in names}
-    )
+def scaled(counts: DataFrame, scaler: DataFrame, names: list[str]) -> DataFrame:
+    """The columns of one_hot, the count included, as (x - mean) / std.
+
+    The scaler is read for those columns only. They are built from the values and not looked up by their names,
+    which are data: a name may hold dots, or differ from another in case alone.
+    """
+    columns = [COUNT_FEATURE, *names]
+    fitted = {row["feature"]: row for row in scaler.filter(F.col("feature").isin(columns)).collect()}
+
+    def scaled_column(name: str) -> Column:
+        value = F.col(COUNT_FEATURE) if name == COUNT_FEATURE else _indicator(name)
+        return ((value - F.lit(fitted[name]["mean"])) / F.lit(fitted[name]["std"])).alias(name)
+
+    others = [name for name in counts.columns if name != COUNT_FEATURE]
+    return filled(counts).select(*others, *map(scaled_column, columns))
 
 
 def aligned(requests: DataFrame, model_features: DataFrame) -> DataFrame:

@@ -14,6 +14,14 @@ HISTOGRAM_BINS = 20
 RECENT = 5
 
 
+def series_of(hourly_scores: DataFrame) -> DataFrame:
+    """A scored hourly table in the shape that reports take; an hour is named by its start."""
+    return hourly_scores.select(
+        "location_name", "crime_type", F.col("window_start").alias("timestamp"),
+        "incident_count", "anomaly_score", "is_anomaly",
+    )
+
+
 def for_place_and_type(scored: DataFrame, place: str, crime_type: str) -> DataFrame:
     return scored.filter((F.col("location_name") == place) & (F.col("crime_type") == crime_type))
 

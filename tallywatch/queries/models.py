@@ -54,7 +54,7 @@ def features_scaled(spark, sf_dir):
     hourly = views.hourly_table(spark, sf_dir)
     names = ops.column_names(hourly)
     columns = [COUNT_FEATURE, *names]
-    scaled = ops.scaled(ops.one_hot(hourly, names), ops.fit_scaler(hourly), columns)
+    scaled = ops.scaled(hourly, ops.fit_scaler(hourly), names)
     return scaled.select(*HOURLY_KEY, *[(F.round(name, 6) + F.lit(0.0)).alias(name) for name in columns])
 
 

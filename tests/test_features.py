@@ -45,16 +45,28 @@ def test_scaler_equals_dense_statistics(counts):
 def test_constant_feature_scales_to_zero(spark):
     same = spark.createDataFrame([(3, "A", "x")] * 4, "incident_count long, location_name string, crime_type string")
     names = ops.column_names(same)
-    scaled = ops.scaled(ops.one_hot(same, names), ops.fit_scaler(same), ["incident_count", *names])
+    scaled = ops.scaled(same, ops.fit_scaler(same), names)
     assert (as_matrix(scaled, names) == 0).all()
 
 
 def test_scaled_columns(counts):
-    scaled = ops.scaled(ops.one_hot(counts, NAMES), ops.fit_scaler(counts), ["incident_count", *NAMES])
+    scaled = ops.scaled(counts, ops.fit_scaler(counts), NAMES)
     want = (MATRIX - MATRIX.mean(axis=0)) / MATRIX.std(axis=0)
     assert np.allclose(as_matrix(scaled, NAMES), want)
 
 
+def test_names_are_data(spark):
+    odd = [(1, "OFF. `A` & B", "theft"), (2, "location_x", "THEFT"), (3, "", "crime_")]
+    frame = spark.createDataFrame(odd, "incident_count long, location_name string, crime_type string")
+    names = ops.column_names(frame)
+    assert len(names) == 6
+    for wide in (ops.one_hot(frame, names), ops.scaled(frame, ops.fit_scaler(frame), names)):
+        pandas = wide.toPandas()
+        assert list(pandas.columns)[-6:] == names
+        for name in names:
+            assert (pandas[name] == pandas[name].max()).sum() == 1
+
+
 def test_sparse_rows_sum_to_the_dense_matrix(counts):
     totals = {r["feature"]: r["t"] for r in ops.sparse_features(counts).groupBy("feature").agg(F.sum("value").alias("t")).collect()}
     assert totals == dict(zip(["incident_count", *NAMES], MATRIX.sum(axis=0)))

@@ -35,7 +35,6 @@ def test_stream_train_score_report(spark, tmp_path, capsys):
     assert [r["request_id"] for r in spark.read.parquet(f"{out}/replies/answers").collect()] == [1]
     assert [r["request_id"] for r in spark.read.parquet(f"{out}/replies/invalid").collect()] == [2]
 
-    scored.withColumnRenamed("window_start", "timestamp").write.parquet(f"{out}/series")
     capsys.readouterr()
-    main(["report", "--scored", f"{out}/series", "--location", "A1", "--type", "t", "--as-of", "2024-01-05"])
+    main(["report", "--scored", f"{out}/scored", "--location", "A1", "--type", "t", "--as-of", "2024-01-05"])
     assert "total_incidents" in capsys.readouterr().out
