@@ -101,8 +101,13 @@ def load_model(spark: SparkSession, path: str, fmt: str = "parquet") -> Model:
     return Model(Forest(nodes, state["per_tree"]), state["offset"], state["contamination"], state["seed"])
 
 
-def load_latest(spark: SparkSession, root: str, default_path: str, name: str = MODEL_NAME, fmt: str = "parquet") -> Model:
+def load_latest(
+    spark: SparkSession, root: str, default_path: str | None = None, name: str = MODEL_NAME, fmt: str = "parquet"
+) -> Model:
     """The latest registered version, or the model at default_path when none is registered."""
     registry = read_table_or_empty(spark, f"{root}/registry", REGISTRY_SCHEMA, fmt).filter(F.col("name") == name)
     latest = latest_versions(registry, default_path).first()
-    return load_model(spark, latest["path"] if latest else default_path, fmt)
+    path = latest["path"] if latest else default_path
+    if path is None:
+        raise ValueError(f"no model {name} is registered below {root}, and no default was given")
+    return load_model(spark, path, fmt)

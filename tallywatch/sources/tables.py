@@ -45,7 +45,7 @@ def read_scored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCORED).options(**JSON_TIMES).json(path)
 
 
-def latest_versions(registry: DataFrame, default_path: str) -> DataFrame:
+def latest_versions(registry: DataFrame, default_path: str | None) -> DataFrame:
     """Path of the highest version per model name, or the default where the registry has no path."""
     path: Column = F.coalesce(F.max_by("path", "version"), F.lit(default_path))
     return registry.groupBy("name").agg(F.max("version").alias("version"), path.alias("path"))

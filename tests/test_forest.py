@@ -178,6 +178,8 @@ def test_save_load_and_latest(spark, planted, run, rows):
     assert rows(score_counts(planted, loaded)) == rows(score_counts(planted, run.model))
     fallback = load_latest(spark, new_folder(spark, "empty"), first)
     assert fallback.offset == run.model.offset
+    with pytest.raises(ValueError, match="no model"):
+        load_latest(spark, new_folder(spark, "empty"))
     other = load_latest(spark, root, first, name="unregistered")
     assert other.offset == run.model.offset
 
