@@ -2,17 +2,20 @@
 
 import json
 import os
-from datetime import datetime, timezone
+import random
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from tallywatch.operators.aggregates import hourly_counts
+from tallywatch.operators.normalize import unify
 from tallywatch.operators.scoring import score_counts
 from tallywatch.plans.training import train
 from tallywatch.schema import HOURLY
 from tallywatch.session import new_folder
-from tallywatch.sources.messages import stream_messages
+from tallywatch.sources.messages import parse_narrow, stream_messages
 from tallywatch.streaming import jobs
 
 BASE = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp())
@@ -70,6 +73,24 @@ def test_late_rows_of_polls_that_wait_for_each_other(spark, tmp_path):
     assert dropped == 2
 
 
+def test_rows_late_by_less_than_an_hour_all_count(spark, tmp_path, rows):
+    """Out of order by up to 50 minutes over seven batches: closed windows hold what a batch counts."""
+    chance, source, out = random.Random(5), tmp_path / "in", str(tmp_path / "out")
+    lines = [message(now - chance.randrange(50), area_name=chance.choice("aab")) for now in range(60, 700, 2)]
+    for i in range(7):
+        land(source, f"{i}.json", *lines[i * len(lines) // 7:(i + 1) * len(lines) // 7])
+        os.utime(source / f"{i}.json", (BASE + i, BASE + i))
+    messages = stream_messages(spark, "text", str(source), maxFilesPerTrigger="1")
+    query = jobs.start_hourly(messages, out, str(tmp_path / "cp"), trigger=jobs.ONCE)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 7
+    assert dropped_rows(query) == 0
+    unified = unify(parse_narrow(spark.read.text(str(source))))
+    watermark = unified.agg(F.max("event_time")).first()[0] - timedelta(hours=1)
+    batch = hourly_counts(unified).filter(F.col("window_end") <= F.lit(watermark))
+    assert rows(spark.read.parquet(out), *batch.columns) == rows(batch)
+
+
 def test_resume_neither_loses_nor_repeats(spark, tmp_path):
     source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
 
