@@ -45,6 +45,5 @@ def two_decimals(value: Column) -> Column:
 
 def merged_features(base: Column, extras: Column) -> Column:
     """base with the request's own features put over it."""
-    extras = F.coalesce(extras, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>")))
     kept = F.map_filter(base, lambda name, _: ~F.map_contains_key(extras, name))
-    return F.map_concat(kept, extras)
+    return F.when(extras.isNull(), base).otherwise(F.map_concat(kept, extras))
