@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywatch.llm import pieces, rules
 from tallywatch.llm.registry import ORACLES, QUERIES, query, read
 from tallywatch.llm.token_counts import count_tokens
 from tallywatch.llm.token_files import read_documents, write_token_files
@@ -19,6 +20,28 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op4_rule_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics of every document, the scores of the forests and the verdict."""
+    folder = new_folder(spark, "rules")
+    rules.rule_statistics(read(spark, sf_dir, "documents")).write.parquet(folder)
+    statistics = spark.read.parquet(folder)
+    forests = rules.fit(statistics, read(spark, sf_dir, "labels"))
+    return rules.judged(statistics, forests).withColumnRenamed("key", "doc_id")
+
+
+@query()
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether decoding them gives the text back."""
+    path = vocabulary("piece_bpe_32k.model")
+    coded = pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    again = pieces.decode(coded, path, into="decoded")
+    return again.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 @query()
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they exceed MAX_TOKENS."""
