@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import pieces, rules
+from tallywatch.llm import near, pieces, rules
 from tallywatch.llm.registry import ORACLES, QUERIES, query, read
 from tallywatch.llm.token_counts import count_tokens
 from tallywatch.llm.token_files import read_documents, write_token_files
@@ -42,6 +42,13 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document, by the smallest doc_id in it."""
+    found = near.near_duplicates(spark, read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("class").alias("class_id"))
+
+
 @query()
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they exceed MAX_TOKENS."""
