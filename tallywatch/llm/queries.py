@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import near, pieces, rules
+from tallywatch.llm import near, pieces, repeats, rules
 from tallywatch.llm.registry import ORACLES, QUERIES, query, read
 from tallywatch.llm.token_counts import count_tokens
 from tallywatch.llm.token_files import read_documents, write_token_files
@@ -20,6 +20,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op2_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a passage of 50 words in an earlier document has too, and a hash of the rest."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    left = repeats.without_repeats(spark, docs, tidy=True)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query()
 def op4_rule_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics of every document, the scores of the forests and the verdict."""
