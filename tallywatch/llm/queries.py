@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.llm import near, pieces, repeats, rules
+from tallywatch.llm.decontaminate import leaks
 from tallywatch.llm.registry import ORACLES, QUERIES, query, read
 from tallywatch.llm.token_counts import count_tokens
 from tallywatch.llm.token_files import read_documents, write_token_files
@@ -20,6 +21,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, each with the item and the overlap."""
+    found = leaks(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"doc_key": "doc_id", "item_key": "item_id"})
+
+
 @query()
 def op2_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that a passage of 50 words in an earlier document has too, and a hash of the rest."""
