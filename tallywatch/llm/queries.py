@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import near, pieces, repeats, rules
+from tallywatch.llm import chat, near, pages, pieces, repeats, rules
 from tallywatch.llm.decontaminate import leaks
+from tallywatch.llm.licenses import find_licenses
 from tallywatch.llm.registry import ORACLES, QUERIES, query, read
 from tallywatch.llm.token_counts import count_tokens
 from tallywatch.llm.token_files import read_documents, write_token_files
@@ -36,6 +37,12 @@ def op2_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op3_repaired_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in legal order of turns, rendered in pieces."""
+    return chat.repair(spark, read(spark, sf_dir, "conversations")).withColumnRenamed("key", "conv_id")
+
+
 @query()
 def op4_rule_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics of every document, the scores of the forests and the verdict."""
@@ -65,6 +72,13 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("class").alias("class_id"))
 
 
+@query()
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    found = pages.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query()
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they exceed MAX_TOKENS."""
@@ -79,4 +93,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_token_files(docs, vocabulary("word_bpe_49k.json"), folder, end_id=2)
     return read_documents(spark, folder, docs.schema["doc_id"].dataType).withColumnRenamed("key", "doc_id")
 
+
+@query()
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named or quoted in documents."""
+    return find_licenses(read(spark, sf_dir, "documents"))
+
 __all__ = ["ORACLES", "QUERIES"]
