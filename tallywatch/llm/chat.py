@@ -36,7 +36,7 @@ ALIASES = {
 UNKNOWN = 3
 
 # Costs. Giving a turn without a known role any role is cheap.
-MERGE, INSERT, RELABEL, NAME = 1, 2, 3, 1
+MERGE, INSERT, RELABEL, NAME = 1, 2, 4, 1
 
 START, SYSTEM, USER, ASSISTANT = range(4)
 LEGAL = {(START, 0): SYSTEM, (START, 1): USER, (SYSTEM, 1): USER, (USER, 2): ASSISTANT, (ASSISTANT, 1): USER}

@@ -149,11 +149,11 @@ def leaks(
     """One row per document and benchmark item that overlap: doc_key, item_key and the best overlap.
 
     The overlap is given by `begin` and `item_begin` (words before it), n_words and n_equal. Rows with equal keys are one
-    document or item. NULL texts and texts without letters or digits overlap with nothing; NULL keys are kept as they
-    are. A benchmark of more than `sent_bytes` is joined by hash instead of being sent to every task.
+    document or item. NULL texts and texts without letters or digits overlap with nothing; rows without a key are left
+    out. A benchmark of more than `sent_bytes` is joined by hash instead of being sent to every task.
     """
-    items = _lower(benchmark, item_key, item_text).dropna(subset=["text"])
-    docs = _lower(docs, key, text).dropna(subset=["text"])
+    items = _lower(benchmark, item_key, item_text).dropna()
+    docs = _lower(docs, key, text).dropna()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     found = _sent(docs, items) if size <= sent_bytes else _joined(spark, docs, items)
     best = F.max(F.struct("n_equal", (-F.col("begin")).alias("b"), (-F.col("item_begin")).alias("i"), "n_words")).alias("o")

@@ -5,8 +5,8 @@ The element whose children's densities have the greatest sum is where the articl
 from it up to the body is the threshold, and every other branch that reaches it gives its own element of greatest sum.
 
 Before that, elements go that say by tag, role, class or id that they are no part of the article: menus, headers,
-footers, sidebars, notices, adverts, forms, reader comments. A class or id removes no element that holds an article
-tag or first heading, nor, on a page without those, half of the text.
+footers, sidebars, notices, adverts, forms, reader comments. A class or id removes no element that holds the main
+element or the first heading (or, on a page without these, an article), nor, on a page without any, half of the text.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ TEXT_ONLY = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr hr ul ol dl table figure".split()
 )
-ARTICLE_TAGS = frozenset("article main h1".split())
+ARTICLE_TAGS = frozenset("main h1".split())
 NEVER_OUTSIDE = frozenset("html body main h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"<!--|<!|<\?|<(/?)([a-zA-Z][^\s/>]*)")
@@ -185,7 +185,8 @@ def main_text(page: str | None) -> str:
 
     outside = [False] * n
     held = _subtree_sums(tree, runs, sizes, [kind == 2 for kind in tree.outside])
-    marked = [not kind and tag in ARTICLE_TAGS for tag, kind in zip(tree.tag, tree.outside)]
+    some = ARTICLE_TAGS if ARTICLE_TAGS & set(tree.tag) else {"article"}
+    marked = [not kind and tag in some for tag, kind in zip(tree.tag, tree.outside)]
     for node in range(n - 1, 0, -1):
         marked[tree.parent[node]] |= marked[node] and tree.outside[node] < 2
     for node in range(1, n):

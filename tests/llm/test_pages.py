@@ -1,0 +1,70 @@
+import html
+import re
+
+import pyarrow.parquet as pq
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from tallywatch.llm.pages import extract, main_text
+from tallywatch.llm.queries import QUERIES
+
+LONG = "A sentence of the article that goes on for a while and says something of use to its reader."
+
+
+def article(page):
+    inside = re.search(r"<article>(.*?)</article>", page, re.S).group(1)
+    blocks = (re.sub(r"<[^>]*>", " ", b) for b in re.split(r"</?(?:p|h1)>", inside))
+    return "\n\n".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
+
+
+def test_whole_table(spark, sf_dir):
+    rows = {r["page_id"]: r for r in pq.read_table(f"{sf_dir}/pages.parquet").to_pylist()}
+    got = {r.page_id: r for r in QUERIES["op7_main_text"](spark, sf_dir).collect()}
+    assert {i: (r.url, r.text, r.n_chars) for i, r in got.items()} == {
+        i: (r["url"], article(r["html"]), len(article(r["html"]))) for i, r in rows.items()}
+
+
+@pytest.mark.parametrize("around", [
+    "<nav><a href=/>Home</a> <a href=/x>More</a></nav>", "<header><p>The name of the site</p></header>",
+    "<footer>&copy; someone</footer>", "<aside><p>Something on the side.</p></aside>",
+    "<div class='ad-box'>Buy this now.</div>", "<div id=cookieNotice>We use cookies.</div>",
+    "<form><label>Mail</label><input></form>", "<script>var x = '<p>no</p>';</script>", "<style>p{}</style>",
+    f"<section class=comments><h2>Comments</h2><article><p>{LONG} {LONG}</p></article></section>",
+    f"<ol id='comment-list'><li>{LONG}</li><li>{LONG}</li></ol>", "<!-- <p>no</p> -->",
+    "<div role=navigation>Up Down</div>", "<div style='display: none'>hidden words</div>", "<div hidden>no</div>",
+    "<ul><li><a href=a>One link</a></li><li><a href=b>Another link</a></li></ul>",
+])
+@pytest.mark.parametrize("tag", ["article", "div class=content", "main", "div class='with-sidebar'"])
+def test_what_stands_around_the_article_goes(around, tag):
+    inner = f"<h1>Title</h1><p>{LONG}</p><p>{LONG} <a href=x>link</a> &lt;end&gt;</p>"
+    want = f"Title\n\n{LONG}\n\n{LONG} link <end>"
+    for page in (f"{around}<{tag}>{inner}</{tag.split()[0]}>", f"<{tag}>{inner}</{tag.split()[0]}>{around}"):
+        assert main_text(f"<!DOCTYPE html><html><head><title>T</title></head><body>{page}</body></html>") == want
+
+
+@pytest.mark.parametrize("page, text", [
+    (None, ""), ("", ""), ("   ", ""), ("no tags", "no tags"), ("<p>a<p>b", "a\n\nb"), ("a<br>b", "a b"),
+    ("<p>a <b>b<i> c</b></i>\n d</p>", "a b c d"), ("<p>x &amp; y &#233;&nbsp;z &copy 1</p>", "x & y é z © 1"),
+    ("<p>1 < 2 > 0</p>", "1 < 2 > 0"), ("<p title='a>b'>t</p>", "t"), ("<p title='open>t</p>", "t"),
+    ("<script>only</script>", ""), ("<script>never closed", ""), ("<p>t<!-- never closed", "t"), ("<P>T</P>", "T"),
+    ("<a href=x>link</a>", "link"), ("<ul><li>one<li>two</ul>", "one\n\ntwo"), ("</p></div>x", "x"),
+    ("<p>" * 3000 + "deep", "deep"), ("<div>" * 3000 + "deep", "deep"),
+])
+def test_odd_markup(page, text):
+    assert main_text(page) == text
+
+
+@given(st.text(st.sampled_from("<>/pab! -'\"=&;divscript\n"), max_size=80))
+def test_any_text_parses(page):
+    assert isinstance(main_text(page), str)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "u"), (1, "", None), (1, f"<p>{LONG}</p>", "u"), (1, f"<p>{LONG}</p>", "u"), (None, "<p>x" * 20_000, "u")]
+    pages = spark.createDataFrame(rows, "page_id bigint, html string, text string").withColumnRenamed("page_id", "c0")
+    got = extract(pages, into="text")
+    assert got.columns == ["c0", "text"]
+    assert sorted(((r.c0, len(r.text)) for r in got.collect()), key=repr) == sorted(
+        [(1, 0), (1, 0), (1, len(LONG)), (1, len(LONG)), (None, 20_000 * 3 - 2)], key=repr)
+    assert extract(pages.limit(0)).count() == 0
