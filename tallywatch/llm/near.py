@@ -8,9 +8,14 @@ names its own candidates, and a second pass counts those.
 
 Improved consistent weighted sampling draws per hash one (shingle, level) of each document, such that two documents draw
 the same with a probability equal to their weighted Jaccard similarity. Bands of draws put documents into buckets.
-Documents with the same words are one node from the start. In each bucket one node is compared with all others, then
-nodes that are not yet in its class with all others, until every two nodes of a bucket are in one class or were compared.
-Comparing means agreement of the draws first, exact weighted Jaccard similarity on the texts after that.
+Documents with the same words are one node from the start.
+
+In each bucket all nodes are compared by the agreement of their draws, in the memory of one task, and what leaves it are
+the pairs that can matter for classes: a spanning tree of greatest agreement, and each node's NEAREST partners. In a
+bucket of up to NEAREST + 1 nodes these are all pairs. Their number follows that of the nodes, not its square, and the
+tree joins whatever any pair above the same agreement would join. The exact weighted Jaccard similarity of the texts
+decides on each pair. A bucket of more than TOGETHER nodes is sorted by a longer key and taken in that many at a time, and
+each of its nodes is also compared with the bucket's first.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallywatch.llm.links import classes, stored
 from tallywatch.llm.words import mix, rows_of, signed, slices, span_hashes, text_buffer, whole_windows, window_hashes, word_bounds
@@ -34,8 +40,10 @@ DRAWS_PER_BAND = 3
 # Share of equal draws below which two documents are not compared any further: with 42 draws a pair of similarity 0.8
 # falls short of it with a probability below one in a hundred thousand.
 AGREEMENT = 0.5
-# Nodes per bucket that are compared with the others grow by this factor from round to round.
-WIDENING = 8
+NEAREST = 4
+TOGETHER = 2048
+# Draws in the longer key.
+FINER = 6
 
 COUNTERS = 1 << 18
 BLOCK = 1 << 15
@@ -175,11 +183,13 @@ def common_shingles(docs: DataFrame, common: float = COMMON) -> Weights:
 
 
 def sketches(docs: DataFrame, weights: Weights, bands: int = BANDS, per_band: int = DRAWS_PER_BAND) -> DataFrame:
-    """Per document with words: id, two hashes of its words, its buckets and its draws (two bytes each)."""
+    """Per document with words: id, two hashes of its words, its draws (two bytes each), and per band the bucket and a
+    longer key that starts with the same draws."""
     draws = bands * per_band
     schema = T.StructType([
         docs.schema["id"], T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
-        T.StructField("buckets", T.ArrayType(T.LongType(), False)), T.StructField("draws", T.BinaryType()),
+        T.StructField("draws", T.BinaryType()), T.StructField("buckets", T.ArrayType(T.LongType(), False)),
+        T.StructField("finer", T.ArrayType(T.LongType(), False)),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,36 +201,84 @@ def sketches(docs: DataFrame, weights: Weights, bands: int = BANDS, per_band: in
                 if not len(some):
                     continue
                 drawn = drawn[some]
-                buckets = np.zeros((len(some), bands), np.uint64)
+                buckets, finer = (np.zeros((len(some), bands), np.uint64) for _ in range(2))
                 for b in range(bands):
-                    for j in range(b * per_band, (b + 1) * per_band):
-                        buckets[:, b] = mix(buckets[:, b] ^ drawn[:, j], b + 1)
+                    for step in range(FINER):
+                        finer[:, b] = mix(finer[:, b] ^ drawn[:, (b * per_band + step) % draws], b + 1)
+                        if step == per_band - 1:
+                            buckets[:, b] = finer[:, b]
                 ends = pa.array(np.arange(len(some) + 1) * bands, pa.int32())
                 short = np.ascontiguousarray((drawn & np.uint64(0xFFFF)).astype("<u2")).tobytes()
                 yield pa.RecordBatch.from_arrays([
                     part["id"].take(pa.array(some)), pa.array(signed(k1[some])), pa.array(signed(k2[some])),
-                    pa.ListArray.from_arrays(ends, pa.array(signed(buckets.ravel()))),
                     pa.array([short[i: i + 2 * draws] for i in range(0, len(short), 2 * draws)], pa.binary()),
-                ], names=["id", "k1", "k2", "buckets", "draws"])
+                    pa.ListArray.from_arrays(ends, pa.array(signed(buckets.ravel()))),
+                    pa.ListArray.from_arrays(ends, pa.array(signed(finer.ravel()))),
+                ], names=["id", "k1", "k2", "draws", "buckets", "finer"])
 
     return docs.mapInArrow(run, schema)
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame, agreement: float) -> DataFrame:
-    """The pairs (a, b) whose draws agree often enough."""
-    for side in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("id").alias(side), F.col("draws").alias(f"d{side}")), side)
+def partners(draws: np.ndarray, least: int, nearest: int = NEAREST) -> list[tuple[int, int]]:
+    """Pairs of rows with `least` equal draws or more: a spanning tree of greatest agreement, and each row's nearest."""
+    n = len(draws)
+    equal = np.zeros((n, n), np.int16)
+    for column in draws.T:
+        equal += column[:, None] == column[None, :]
+    np.fill_diagonal(equal, -1)
+    found = set()
+    if n <= nearest + 1:
+        close = np.argwhere(np.triu(equal >= least, 1))
+        return [(a, b) for a, b in close.tolist()]
+    near = np.argpartition(-equal, nearest, axis=1)[:, :nearest]
+    for a, row in enumerate(near.tolist()):
+        found.update((min(a, b), max(a, b)) for b in row if equal[a, b] >= least)
+    outside = np.ones(n, dtype=bool)
+    outside[0], reach, via = False, equal[0].copy(), np.zeros(n, np.int64)
+    for _ in range(n - 1):
+        b = int(np.argmax(np.where(outside, reach, -2)))
+        a = int(via[b])
+        if reach[b] >= least:
+            found.add((min(a, b), max(a, b)))
+        outside[b] = False
+        closer = outside & (equal[b] > reach)
+        reach[closer], via[closer] = equal[b][closer], b
+    return list(found)
+
+
+def _candidates(members: DataFrame, agreement: float, nearest: int) -> DataFrame:
+    """Pairs (a, b) of nodes from `members` (bucket, finer, id, draws, centre); centre only in very large buckets."""
+    pair = T.StructType([T.StructField(side, members.schema["id"].dataType) for side in ("a", "b")])
+    ordered = members.repartitionByRange("bucket", "finer", "id").sortWithinPartitions("bucket", "finer", "id")
+
+    def compare(rows: pa.RecordBatch, out: list[tuple]) -> None:
+        ids = rows["id"].to_pylist()
+        if len(ids) > 1:
+            draws = np.frombuffer(b"".join(rows["draws"].to_pylist()), "<u2").reshape(len(ids), -1)
+            least = int(np.ceil(agreement * draws.shape[1]))
+            out += [(min(ids[a], ids[b]), max(ids[a], ids[b])) for a, b in partners(draws, least, nearest)]
+        out += [(c, i) for c, i in zip(rows["centre"].to_pylist(), ids) if c is not None and c != i]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, out = None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch[d].to_pylist()), "<u2").reshape(batch.num_rows, -1) for d in ("da", "db"))
-            yield batch.select(["a", "b"]).filter(pa.array((left == right).mean(axis=1) >= agreement))
-
-    pairs = pairs.select("a", "b", "da", "db")
-    return pairs.mapInArrow(run, T.StructType(pairs.schema.fields[:2])).distinct()
+            held = batch if held is None else pa.concat_batches([held, batch])
+            bucket = held["bucket"].to_numpy()
+            edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist()]
+            cuts = [c for a, b in zip(edges, [*edges[1:], len(bucket)]) for c in range(a, b, TOGETHER)]
+            for a, b in zip(cuts, cuts[1:]):  # all but the last, which may go on
+                compare(held.slice(a, b - a), out)
+            held = held.slice(cuts[-1]) if cuts else None
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["a", "b"])
+                out = []
+        if held is not None:
+            compare(held, out)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["a", "b"])
+
+    kinds = [to_arrow_type(f.dataType) for f in pair.fields]
+    return ordered.mapInArrow(run, pair).distinct()
 
 
 def similarities(left: pa.Array, right: pa.Array, weights: Weights) -> np.ndarray:
@@ -251,12 +309,12 @@ def _similar(pairs: DataFrame, docs: DataFrame, weights: Weights, similarity: fl
                     close = similarities(some["ta"], some["tb"], weights) >= similarity - 1e-9
                     yield some.select(["a", "b"]).filter(pa.array(close))
 
-    return pairs.mapInArrow(run, T.StructType(pairs.schema.fields[:2])).distinct()
+    return pairs.mapInArrow(run, T.StructType(pairs.schema.fields[:2]))
 
 
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
-    similarity: float = SIMILARITY, common: float = COMMON, agreement: float = AGREEMENT,
+    similarity: float = SIMILARITY, common: float = COMMON, agreement: float = AGREEMENT, nearest: int = NEAREST,
 ) -> DataFrame:
     """One row per row of `docs`: its key as `id` and `class`, the smallest key of its group.
 
@@ -267,47 +325,17 @@ def near_duplicates(
     docs = _plain(docs, key, text)
     weights = common_shingles(docs, common)
     sketch = stored(spark, sketches(docs.dropna(subset=["id"]), weights), "sketches")
-    nodes = stored(spark, sketch.groupBy("k1", "k2").agg(
-        F.min("id").alias("id"), F.first("buckets").alias("buckets"), F.first("draws").alias("draws")), "nodes")
-    members = nodes.select("id", F.explode("buckets").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    members = stored(spark, members.join(shared, "bucket"), "members")
-
-    links = _links(spark, docs, nodes.select("id", "draws"), members, weights, similarity, agreement)
+    nodes = sketch.groupBy("k1", "k2").agg(
+        F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("draws", "buckets", "finer")))
+    nodes = stored(spark, nodes, "nodes")
+    members = nodes.select("id", "draws", F.inline(F.arrays_zip("buckets", "finer")).alias("bucket", "finer"))
+    shared = nodes.select("id", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min("id").alias("first")).filter("size > 1")
+    centre = F.when(F.col("size") > TOGETHER, F.col("first"))
+    members = members.join(shared, "bucket").select("bucket", "finer", "id", "draws", centre.alias("centre"))
+    pairs = stored(spark, _candidates(stored(spark, members, "members"), agreement, nearest), "pairs")
+    links = _similar(pairs, docs, weights, similarity)
     same = sketch.join(nodes.select("k1", "k2", F.col("id").alias("node")), ["k1", "k2"]).select("id", "node")
     versions = same.filter("id != node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     found = classes(spark, links.union(versions))
     return docs.select("id").join(found, "id", "left").select("id", F.coalesce("class", "id").alias("class"))
-
-
-def _links(spark, docs, nodes, members, weights, similarity, agreement) -> DataFrame:
-    """Links (a, b) enough to connect every two nodes of a bucket that are similar."""
-    degrees = members.groupBy("id").agg(F.sum("size").alias("degree"))
-    centres = members.join(degrees, "id").groupBy("bucket").agg(
-        F.max_by("id", F.struct("degree", F.xxhash64("id"))).alias("centre"))
-    members = stored(spark, members.join(centres, "bucket").select("bucket", "id", "centre"), "members")
-    pairs = members.filter("id != centre").select(
-        F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-    links = stored(spark, _similar(_agreeing(pairs, nodes, agreement), docs, weights, similarity), "pairs")
-    asked, width = None, WIDENING
-    while True:
-        found = classes(spark, links)
-        of = members.join(found, "id", "left").withColumn("class", F.coalesce("class", "id"))
-        of_centre = found.select(F.col("id").alias("centre"), F.col("class").alias("main"))
-        of = of.join(of_centre, "centre", "left").withColumn("main", F.coalesce("main", "centre"))
-        of = of.select("bucket", "id", "class", (F.col("class") != F.col("main")).alias("apart"))
-        left = of.filter("apart").select("bucket", "id", "class")
-        if asked is not None:
-            left = left.join(asked, ["bucket", "id"], "left_anti")
-        turn = F.pmod(F.xxhash64("id"), F.lit(width))
-        askers = left.groupBy("bucket", turn.alias("turn")).agg(F.min_by(F.struct("id", "class"), "id").alias("p"))
-        askers = stored(spark, askers.select("bucket", F.col("p.id").alias("p"), F.col("p.class").alias("p_class")), "askers")
-        if askers.isEmpty():
-            return links
-        pairs = of.join(askers, "bucket").filter("class != p_class").select(
-            F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
-        more = _similar(_agreeing(pairs, nodes, agreement), docs, weights, similarity)
-        links = links.union(stored(spark, more, "pairs"))
-        now = askers.select("bucket", F.col("p").alias("id"))
-        asked = now if asked is None else asked.union(now)
-        width *= WIDENING
