@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallywatch.functions.times import on_report_days
 from tallywatch.operators import reports
 from tallywatch.operators.scoring import invalid_requests, score_counts, score_requests
 from tallywatch.plans.ingest import poll
 from tallywatch.plans.training import load_latest, save_model, save_run, train
 from tallywatch.session import build_session
-from tallywatch.sinks.tables import append
+from tallywatch.sinks.tables import append, replace_days
 from tallywatch.sources.messages import stream_messages
 from tallywatch.sources.tables import read_score_requests, read_table
 from tallywatch.streaming import jobs
@@ -23,15 +25,23 @@ def _options(pairs: list[str]) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in pairs)
 
 
+def days_of(counts: DataFrame, since: date | None) -> DataFrame:
+    """Counts from a day on; the filter is on the partitions, so older days are not opened."""
+    return counts.filter(F.col("day") >= F.lit(since)) if since else counts
+
+
 def run_poll(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.every:
         start_polling(
-            spark, args.landing, args.checkpoint, args.every, args.messages, args.path, **_options(args.option)
+            spark, args.landing, args.checkpoint, args.every, args.messages, args.path, limit=args.limit,
+            **_options(args.option),
         ).awaitTermination()
         return
-    counts = poll(spark, args.landing, args.as_of, args.messages, args.path, **_options(args.option))
-    for name, n in counts.items():
+    polled = poll(spark, args.landing, args.as_of, args.messages, args.path, args.limit, **_options(args.option))
+    for name, n in polled.counts.items():
         print(f"{name}: {n}")
+    for name, problem in polled.failed.items():
+        print(f"{name} failed: {problem}")
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -39,7 +49,8 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     trigger = jobs.ONCE if args.once else {"processingTime": args.every} if args.every else None
     started = [
         start(messages, f"{args.out}/{name}", f"{args.checkpoint}/{name}", fmt=args.format, trigger=trigger)
-        for name, start in (("raw", jobs.start_raw), ("hourly", jobs.start_hourly))
+        for name, start in (
+            ("raw", jobs.start_raw), ("hourly", jobs.start_hourly), ("quarantine", jobs.start_quarantine))
     ]
     if args.once:
         for running in started:
@@ -49,7 +60,7 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
-    run = train(read_table(spark, args.hourly, args.format))
+    run = train(days_of(read_table(spark, args.hourly, args.format), args.since))
     save_run(spark, run, f"{args.models}/runs", args.format)
     print(save_model(spark, run, args.models, fmt=args.format))
 
@@ -61,12 +72,15 @@ def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
         append(score_requests(requests, model), f"{args.out}/answers", args.format)
         append(invalid_requests(requests), f"{args.out}/invalid", args.format)
     else:
-        append(score_counts(read_table(spark, args.hourly, args.format), model), args.out, args.format)
+        counts = days_of(read_table(spark, args.hourly, args.format), args.since)
+        replace_days(score_counts(counts, model), args.out, args.format)
 
 
 def run_report(spark: SparkSession, args: argparse.Namespace) -> None:
-    scored = reports.series_of(read_table(spark, args.scored, args.format))
-    picked = reports.for_place_and_type(scored, args.location, args.type)
+    table = read_table(spark, args.scored, args.format)
+    scored = reports.series_of(table)
+    recent = reports.series_of(table.filter(on_report_days(F.col("day"), args.as_of, args.range)))
+    picked = reports.for_place_and_type(recent, args.location, args.type)
     picked = reports.in_range(picked, args.as_of, args.range)
     reports.anomaly_metrics(picked, args.threshold).show()
     reports.type_distribution(scored, args.location).show()
@@ -97,13 +111,16 @@ def parser() -> argparse.ArgumentParser:
     when.add_argument("--as-of", type=datetime.fromisoformat, help="poll once, as if it were then")
     when.add_argument("--every", metavar="INTERVAL", help="poll at once and then per interval, such as '1 hour'")
     sub.add_argument("--checkpoint", help="folder that --every keeps its progress in")
+    sub.add_argument("--limit", type=int, help="send only so many of the newest records of an agency polled by day")
     messages(sub)
     sub = command("stream", run_stream, "out", "checkpoint")
     messages(sub)
     sub.add_argument("--once", action="store_true", help="end when the input is used up")
     sub.add_argument("--every", metavar="INTERVAL", help="start a batch per interval, such as '1 hour'")
-    command("train", run_train, "hourly", "models")
+    sub = command("train", run_train, "hourly", "models")
+    sub.add_argument("--since", type=date.fromisoformat, help="leave out the days before")
     sub = command("score", run_score, "models", "out")
+    sub.add_argument("--since", type=date.fromisoformat, help="score the hours from this day on; they replace those of the table")
     sub.add_argument("--default-model")
     given = sub.add_mutually_exclusive_group(required=True)
     given.add_argument("--requests")

@@ -42,6 +42,16 @@ def newer_than(column: Column, as_of: datetime, age: timedelta) -> Column:
     return column > instant(as_of - age)
 
 
+def day_of(column: Column) -> Column:
+    """The day by which tables of the streams are partitioned."""
+    return column.cast("date")
+
+
+def on_report_days(day: Column, as_of: datetime, time_range: str) -> Column:
+    """Days that in_report_range can touch; a filter on the partitions, beside the one on the time itself."""
+    return day >= F.lit((as_of - RANGES.get(time_range, DEFAULT_RANGE)).date())
+
+
 def in_report_range(column: Column, as_of: datetime, time_range: str) -> Column:
     """24h and 3d as named; every other name means seven days."""
     return newer_than(column, as_of, RANGES.get(time_range, DEFAULT_RANGE))

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.schema import CITIES, CITY_SCHEMA, UNKNOWN_CITY
 
 
-def with_city(points: DataFrame, name: str) -> DataFrame:
+def with_city(points: DataFrame, name: str, cities: Iterable[tuple] = CITIES) -> DataFrame:
     """Add the place polled at exactly (lat, lng), or Unknown; both columns are DECIMAL(9,4).
 
-    The city list is the fixed one of the schema, so broadcasting it is safe at any size of points.
+    The cities are those a poll asks for one by one, a list in the driver's hands, so broadcasting it is safe at any
+    size of points.
     """
-    cities = points.sparkSession.createDataFrame(CITIES, CITY_SCHEMA)
+    known = points.sparkSession.createDataFrame(list(cities), CITY_SCHEMA)
     return (
-        points.join(F.broadcast(cities), ["lat", "lng"], "left")
+        points.join(F.broadcast(known), ["lat", "lng"], "left")
         .withColumn(name, F.coalesce("city", F.lit(UNKNOWN_CITY)))
         .drop("city")
     )

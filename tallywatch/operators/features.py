@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.scores import COUNT_FEATURE, PLACE_PREFIX, TYPE_PREFIX, place_feature, type_feature
-
-MAX_COLUMNS = 1000
-
+from tallywatch.functions.scores import COUNT_FEATURE, place_feature, type_feature
 
 def filled(counts: DataFrame) -> DataFrame:
     """A missing count is 0."""
     return counts.na.fill(0, [COUNT_FEATURE])
 
 
-def sparse_features(counts: DataFrame) -> DataFrame:
-    """The non-zero features of each row as (feature, value); the count is always present.
+def sparse_features(counts: DataFrame, *key: str) -> DataFrame:
+    """The non-zero features of each row as (key, feature, value); the count is always present.
 
-    This form needs no vocabulary and so holds at any number of places and types.
+    This is the one-hot form without its zeros: it needs no vocabulary and holds at any number of places and types.
     """
     features = F.array(
         F.struct(F.lit(COUNT_FEATURE).alias("feature"),
@@ -26,7 +23,7 @@ def sparse_features(counts: DataFrame) -> DataFrame:
         F.struct(place_feature(F.col("location_name")).alias("feature"), F.lit(1.0).alias("value")),
         F.struct(type_feature(F.col("crime_type")).alias("feature"), F.lit(1.0).alias("value")),
     )
-    return counts.select(F.inline(features)).filter(F.col("feature").isNotNull())
+    return counts.select(*key, F.inline(features)).filter(F.col("feature").isNotNull())
 
 
 def vocabulary(counts: DataFrame) -> DataFrame:
@@ -35,33 +32,13 @@ def vocabulary(counts: DataFrame) -> DataFrame:
     return counts.select(F.explode(names).alias("feature")).filter(F.col("feature").isNotNull()).distinct()
 
 
-def column_names(counts: DataFrame, max_columns: int = MAX_COLUMNS) -> list[str]:
-    """The vocabulary as column names, places first, each part in order. Only for small vocabularies;
-    sparse_features and fit_scaler work without columns."""
-    found = [row["feature"] for row in vocabulary(counts).limit(max_columns + 1).collect()]
-    if len(found) > max_columns:
-        raise ValueError(f"more than {max_columns} one-hot features: use sparse_features")
-    return sorted(found, key=lambda name: (not name.startswith(PLACE_PREFIX), name))
-
-
-def _indicator(name: str) -> Column:
-    if name.startswith(PLACE_PREFIX):
-        hit = F.col("location_name") == name.removeprefix(PLACE_PREFIX)
-    else:
-        hit = F.col("crime_type") == name.removeprefix(TYPE_PREFIX)
-    return F.when(hit, F.lit(1.0)).otherwise(F.lit(0.0))
-
-
-def one_hot(counts: DataFrame, names: list[str]) -> DataFrame:
-    """Append one 0/1 column per name. Values outside the names, and NULL, are 0 in all of them."""
-    return filled(counts).select("*", *[_indicator(name).alias(name) for name in names])
-
-
 def fit_scaler(counts: DataFrame) -> DataFrame:
-    """Mean and population deviation per feature, the zeros of one-hot features included.
+    """Mean and population deviation per feature, the zeros of one-hot features included, and `absent`, the scaled
+    value of the feature in rows that do not have it.
 
-    A one-hot feature with share p has mean p and deviation sqrt(p(1-p)), so counting its rows is enough.
-    A deviation of 0 is stored as 1, which leaves a constant feature at 0 after scaling.
+    A one-hot feature with share p has mean p and deviation sqrt(p(1-p)), so counting its rows is enough; how many rows
+    there are, the count feature says, which all of them have. A deviation of 0 is stored as 1, which leaves a constant
+    feature at 0 after scaling.
     """
     per_feature = sparse_features(counts).groupBy("feature").agg(
         F.count("*").alias("present"),
@@ -69,29 +46,24 @@ def fit_scaler(counts: DataFrame) -> DataFrame:
         F.stddev_pop("value").alias("std"),
     )
     is_count = F.col("feature") == COUNT_FEATURE
-    share = F.col("present") / counts.agg(F.count("*")).scalar()
-    return per_feature.select(
+    share = F.col("present") / per_feature.filter(is_count).select("present").scalar()
+    fitted = per_feature.select(
         "feature",
         F.when(is_count, F.col("mean")).otherwise(share).alias("mean"),
         F.when(is_count, F.col("std")).otherwise(F.sqrt(share * (1 - share))).alias("std"),
     ).withColumn("std", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")))
+    return fitted.withColumn("absent", -F.col("mean") / F.col("std"))
 
 
-def scaled(counts: DataFrame, scaler: DataFrame, names: list[str]) -> DataFrame:
-    """The columns of one_hot, the count included, as (x - mean) / std.
+def scaled_features(counts: DataFrame, scaler: DataFrame, *key: str) -> DataFrame:
+    """sparse_features after (x - mean) / std. A feature that a row lacks has the scaler's `absent` there.
 
-    The scaler is read for those columns only. They are built from the values and not looked up by their names,
-    which are data: a name may hold dots, or differ from another in case alone.
+    Features that the scaler does not know are left out. The join is on the feature, which nearly all rows share for the
+    count; Spark broadcasts a scaler that is small enough, and splits the hot feature otherwise.
     """
-    columns = [COUNT_FEATURE, *names]
-    fitted = {row["feature"]: row for row in scaler.filter(F.col("feature").isin(columns)).collect()}
-
-    def scaled_column(name: str) -> Column:
-        value = F.col(COUNT_FEATURE) if name == COUNT_FEATURE else _indicator(name)
-        return ((value - F.lit(fitted[name]["mean"])) / F.lit(fitted[name]["std"])).alias(name)
-
-    others = [name for name in counts.columns if name != COUNT_FEATURE]
-    return filled(counts).select(*others, *map(scaled_column, columns))
+    fitted = scaler.select("feature", "mean", "std")
+    scaled = (F.col("value") - F.col("mean")) / F.col("std")
+    return sparse_features(counts, *key).join(fitted, "feature").select(*key, "feature", scaled.alias("value"))
 
 
 def aligned(requests: DataFrame, model_features: DataFrame) -> DataFrame:

@@ -16,28 +16,29 @@ STEPS = 28
 def time_grid(scored: DataFrame, as_of: datetime, step: timedelta = STEP, steps: int = STEPS) -> DataFrame:
     """incident_count per place, type and step over the steps before as_of, with 0 where nothing was seen.
 
-    Every place meets every type, as in the option lists of a report. The types, a code list, are read
-    as one array and exploded beside the distinct places, so no join produces pairs.
+    Places meet the types that they were ever seen with. The input is read once: it is summed per step, rows outside the
+    steps as one more, and the sums of a pair, at most one per step, are looked up for each step.
     """
     start = as_of - step * steps
     length = int(step.total_seconds())
-    known = scored.filter(F.col("crime_type").isNotNull())
-    types = known.select(F.sort_array(F.collect_set("crime_type"))).scalar()
     instants = F.sequence(instant(start), instant(as_of - step), F.make_dt_interval(secs=F.lit(length)))
-    spine = (
-        scored.filter(F.col("location_name").isNotNull())
-        .select("location_name")
-        .distinct()
-        .withColumn("crime_type", F.explode(types))
-        .withColumn("timestamp", F.explode(instants))
-    )
     # Whole steps since the start, counted in seconds so that any as_of works.
     moment = F.col("timestamp").cast("timestamp_ntz")
     offset = F.timestamp_diff("SECOND", instant(start), moment)
     step_start = F.timestamp_add("SECOND", (F.floor(offset / length) * length).cast("long"), instant(start))
+    inside = (moment >= instant(start)) & (moment < instant(as_of))
     sums = (
-        scored.filter((moment >= instant(start)) & (moment < instant(as_of)))
-        .groupBy("location_name", "crime_type", step_start.alias("timestamp"))
-        .agg(F.sum("incident_count").alias("incident_count"))
+        scored.filter(F.col("location_name").isNotNull() & F.col("crime_type").isNotNull())
+        .groupBy("location_name", "crime_type", F.when(inside, step_start).alias("timestamp"))
+        .agg(F.sum(F.when(inside, F.col("incident_count"))).alias("n"))
+    )
+    seen = F.collect_list(F.when(F.col("timestamp").isNotNull(), F.struct("timestamp", "n")))
+    return (
+        sums.groupBy("location_name", "crime_type")
+        .agg(F.map_from_entries(seen).alias("seen"))
+        .withColumn("timestamp", F.explode(instants))
+        .select(
+            "location_name", "crime_type", "timestamp",
+            F.coalesce(F.try_element_at("seen", F.col("timestamp")), F.lit(0)).alias("incident_count"),
+        )
     )
-    return spine.join(sums, ["location_name", "crime_type", "timestamp"], "left").na.fill(0, ["incident_count"])

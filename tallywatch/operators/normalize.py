@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.incidents import crime_type, is_from, known_source, place_name, unknown_source
+from tallywatch.functions.incidents import crime_type, known_source, place_name, unknown_source
 from tallywatch.functions.times import event_time
-from tallywatch.schema import SOURCE_NAMES, SOURCES
+from tallywatch.schema import SOURCE_NAMES
 
 UNIFIED_COLUMNS = ("source", "timestamp", "event_time", "crime_type", "location_name")
 
@@ -25,24 +24,12 @@ def routed(envelopes: DataFrame, names: Iterable[str] = SOURCE_NAMES) -> DataFra
 
 
 def quarantine(envelopes: DataFrame) -> DataFrame:
-    """What routing leaves out: unreadable documents and sources nobody knows."""
-    return envelopes.filter(unknown_source())
+    """What the hourly counts leave out, with the reason: unreadable documents and sources nobody knows, which routing
+    drops, and records without a usable event time, which no window takes."""
+    reason = F.when(unknown_source(), F.lit("source")).when(event_time(F.col("timestamp")).isNull(), F.lit("event time"))
+    return envelopes.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def unify(envelopes: DataFrame) -> DataFrame:
     """The five common columns of every known source, in one pass over the input."""
     return routed(envelopes).withColumn("location_name", place_name()).select(*UNIFIED_COLUMNS)
-
-
-def unify_by_branch(envelopes: DataFrame) -> DataFrame:
-    """The same rows as a union of one branch per source. It reads the input once per branch: unify is the
-    one to use, and this states what it must equal."""
-    timed = with_event_time(envelopes)
-    branches = [
-        timed.filter(is_from(s)).select(
-            "source", "timestamp", "event_time",
-            F.col(s.type_field).alias("crime_type"), F.col(s.place_field).alias("location_name"),
-        )
-        for s in SOURCES
-    ]
-    return reduce(DataFrame.unionByName, branches)

@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.session import new_folder
+from tallywatch.session import new_folder, remove_folder
 from tallywatch.sinks.tables import materialize
 
 BUCKETS = 1024
 FEW = 10_000
 
 
-def value_counts(frame: DataFrame, column: str) -> DataFrame:
-    """Table of (value, n) for the values that are not NULL."""
-    counts = (
-        frame.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
-    return materialize(counts, new_folder(frame.sparkSession, "value-counts"))
+@contextmanager
+def value_counts(frame: DataFrame, column: str) -> Iterator[DataFrame]:
+    """Table of (value, n) for the finite values; it is removed at the end of the block.
+
+    NULL, NaN and the infinities have no place in a rank and are set aside.
+    """
+    value = F.col(column).cast("double")
+    finite = frame.filter(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))))
+    counts = finite.groupBy(value.alias("value")).agg(F.count("*").alias("n"))
+    folder = new_folder(frame.sparkSession, "value-counts")
+    try:
+        yield materialize(counts, folder)
+    finally:
+        remove_folder(frame.sparkSession, folder)
 
 
 def quantile_of_counts(counts: DataFrame, q: float, buckets: int = BUCKETS, few: int = FEW) -> float | None:
@@ -37,7 +46,9 @@ def quantile_of_counts(counts: DataFrame, q: float, buckets: int = BUCKETS, few:
     rank = int(position)
     part = position - rank
     while distinct > few and low < high:
-        share = (value - F.lit(low)) / F.lit(high - low)
+        # Halves, as the difference of two doubles may be none.
+        share = (value / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
+        before = distinct
         histogram = (
             counts.filter(value.between(low, high))
             .groupBy(F.least(F.floor(share * buckets), F.lit(buckets - 1)).alias("bucket"))
@@ -50,6 +61,8 @@ def quantile_of_counts(counts: DataFrame, q: float, buckets: int = BUCKETS, few:
                 low, high, distinct = bucket["low"], bucket["high"], bucket["distinct"]
                 break
             rank -= bucket["n"]
+        if distinct == before:
+            raise ValueError(f"values from {low} to {high} cannot be told apart by ranges")
 
     left = counts.filter(value.between(low, high)).select("value", "n").orderBy("value").collect()
     here = 0
@@ -67,4 +80,5 @@ def quantile_of_counts(counts: DataFrame, q: float, buckets: int = BUCKETS, few:
 
 
 def exact_quantile(frame: DataFrame, column: str, q: float) -> float | None:
-    return quantile_of_counts(value_counts(frame, column), q)
+    with value_counts(frame, column) as counts:
+        return quantile_of_counts(counts, q)

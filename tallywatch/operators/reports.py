@@ -15,10 +15,14 @@ RECENT = 5
 
 
 def series_of(hourly_scores: DataFrame) -> DataFrame:
-    """A scored hourly table in the shape that reports take; an hour is named by its start."""
+    """A scored hourly table in the shape that reports take; an hour is named by its start.
+
+    The anomaly score of a report is continuous, from 0 to 1: the raw score of the forest with its sign turned, so that
+    thresholds and histograms tell more than the label does.
+    """
     return hourly_scores.select(
         "location_name", "crime_type", F.col("window_start").alias("timestamp"),
-        "incident_count", "anomaly_score", "is_anomaly",
+        "incident_count", (-F.col("raw_score")).alias("anomaly_score"), "is_anomaly",
     )
 
 
@@ -41,7 +45,7 @@ def anomalies(scored: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFr
 
 
 def series(scored: DataFrame) -> DataFrame:
-    return scored.select("timestamp", "incident_count").orderBy("timestamp")
+    return scored.select("timestamp", "incident_count").orderBy("timestamp", "incident_count")
 
 
 def type_distribution(scored: DataFrame, place: str) -> DataFrame:

@@ -39,18 +39,19 @@ class Training:
 
 
 def train(hourly: DataFrame, contamination: float = CONTAMINATION, trees: int = TREES, seed: int = SEED) -> Training:
-    """Fit on a table of hourly counts, which is read once to count and draw, and once to score.
+    """Fit on a table of hourly counts. It is read to count, to draw, to score and, when the scaler is used, for that; a
+    frame that is no stored table should be written first, or its lineage is paid for each time.
 
-    Scores are kept as a table of distinct values with their number of rows; the offset and the number of
-    outliers both come from it.
+    Scores are kept as a table of distinct values with their number of rows, as long as the offset and the number of
+    outliers are not known; both come from it.
     """
     counts = filled(hourly)
     forest = fit_forest(counts, trees=trees, seed=seed)
     raw_score = forest.raw_score(F.col("incident_count"), F.col("location_name"), F.col("crime_type"))
-    scores = value_counts(counts.select(raw_score.alias("raw_score")), "raw_score")
-    offset = quantile_of_counts(scores, contamination)
-    below = F.when(F.col("value") - F.lit(offset) < 0, F.col("n")).otherwise(F.lit(0))
-    n_rows, n_anomalies = scores.agg(F.sum("n"), F.sum(below)).first()
+    with value_counts(counts.select(raw_score.alias("raw_score")), "raw_score") as scores:
+        offset = quantile_of_counts(scores, contamination)
+        below = F.when(F.col("value") - F.lit(offset) < 0, F.col("n")).otherwise(F.lit(0))
+        n_rows, n_anomalies = scores.agg(F.sum("n"), F.sum(below)).first()
     model = Model(forest, offset, contamination, seed)
     return Training(uuid.uuid4().hex, model, fit_scaler(counts), n_rows, n_anomalies)
 

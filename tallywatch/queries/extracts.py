@@ -18,17 +18,20 @@ from tallywatch.sources import landing, tables
 POLLED_AT = f"CAST(epoch({sql.AS_OF}) AS BIGINT)"
 
 
-def _recent_sql(source: Source) -> str:
+LIMIT = 100
+
+
+def _recent_sql(source: Source, limit: int | None = None) -> str:
+    newest = f"ORDER BY date_trunc('millisecond', ts) DESC, record_id LIMIT {limit}" if limit else ""
     return f"""WITH {sql.ROUTED}
 SELECT CAST(event_id AS VARCHAR) AS record_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') AS happened,
        source, {POLLED_AT} AS "timestamp", crime_type, location_name
 FROM routed
-WHERE source = '{source.name}' AND date_trunc('millisecond', ts) > {sql.AS_OF} - INTERVAL 7 DAY
-ORDER BY date_trunc('millisecond', ts) DESC, record_id LIMIT {landing.PAGE_LIMIT}"""
+WHERE source = '{source.name}' AND date_trunc('millisecond', ts) > {sql.AS_OF} - INTERVAL 7 DAY {newest}"""
 
 
-def _recent(spark, sf_dir, source: Source) -> DataFrame:
-    found = landing.extract_recent(spark, views.landing(spark, sf_dir), source, views.AS_OF)
+def _recent(spark, sf_dir, source: Source, limit: int | None = None) -> DataFrame:
+    found = landing.extract_recent(spark, views.landing(spark, sf_dir), source, views.AS_OF, limit=limit)
     return found.select(
         F.col(source.id_field).alias("record_id"), F.col(source.date_field).alias("happened"), "source", "timestamp",
         F.col(source.type_field).alias("crime_type"), F.col(source.place_field).alias("location_name"),
@@ -50,6 +53,12 @@ def extract_la(spark, sf_dir):
     return _recent(spark, sf_dir, LA)
 
 
+@query(_recent_sql(CHICAGO, LIMIT))
+def extract_limited(spark, sf_dir):
+    """The newest records of one agency, as many as the caller asks for."""
+    return _recent(spark, sf_dir, CHICAGO, LIMIT)
+
+
 @query(f"""WITH {sql.CITIES}, polled AS (
   SELECT *, {sql.point('o_custkey', 'lat')} AS lat, {sql.point('o_custkey', 'lng')} AS lng FROM orders)
 SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS category, '1998-02' AS month, city AS location_name,

@@ -21,41 +21,31 @@ from tallywatch.session import new_folder
 from tallywatch.sinks.tables import materialize
 from tallywatch.streaming import jobs
 
-# What the places and types of the test tables give: places D4 and D9 belong to no known source.
-PLACES = [f"location_D{i}" for i in (0, 1, 2, 3, 5, 6, 7, 8)]
-TYPES = [f"crime_{t}" for t in ("click", "error", "purchase", "signup", "view")]
 KEY = ", ".join(HOURLY_KEY)
 
+SPARSE = f"""{sql.HOURLY}, sparse AS (
+  SELECT {KEY}, '{COUNT_FEATURE}' AS feature, incident_count::DOUBLE AS value FROM hourly
+  UNION ALL SELECT {KEY}, 'location_' || location_name, 1.0 FROM hourly
+  UNION ALL SELECT {KEY}, 'crime_' || crime_type, 1.0 FROM hourly)"""
 
-def _indicator(name: str) -> str:
-    column, prefix = ("location_name", "location_") if name.startswith("location_") else ("crime_type", "crime_")
-    return f"CASE WHEN {column} = '{name.removeprefix(prefix)}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
 
-
-WIDE = f"""{sql.HOURLY}, wide AS (
-  SELECT {KEY}, incident_count, {', '.join(f'{_indicator(n)} AS {n}' for n in PLACES + TYPES)} FROM hourly)"""
-
-
-@query(f"WITH {WIDE} SELECT * FROM wide")
+@query(f"WITH {SPARSE} SELECT * FROM sparse")
 def features_onehot(spark, sf_dir):
-    """Count, one 0/1 column per place and one per type."""
-    hourly = views.hourly_table(spark, sf_dir)
-    return ops.one_hot(hourly, ops.column_names(hourly)).drop("window_end")
+    """Count, place and type of every row as features with their values; what is not there is 0."""
+    return ops.sparse_features(views.hourly_table(spark, sf_dir), *HOURLY_KEY)
 
 
-@query(f"""WITH {WIDE}
-SELECT {KEY}, {', '.join(
-    f'round((w.{n} - s.m_{n}) / CASE WHEN s.d_{n} = 0 THEN 1 ELSE s.d_{n} END, 6) + 0.0 AS {n}'
-    for n in [COUNT_FEATURE, *PLACES, *TYPES])}
-FROM wide w, (SELECT {', '.join(
-    f'avg({n}) AS m_{n}, stddev_pop({n}) AS d_{n}' for n in [COUNT_FEATURE, *PLACES, *TYPES])} FROM wide) s""")
+@query(f"""WITH {SPARSE}, n AS (SELECT count(*) AS n FROM hourly), fitted AS (
+  SELECT feature, sum(value) / any_value(n) AS mean,
+         sqrt(greatest(sum(value * value) / any_value(n) - (sum(value) / any_value(n)) ** 2, 0)) AS std
+  FROM sparse, n GROUP BY feature)
+SELECT {KEY}, feature, round((value - mean) / CASE WHEN std = 0 THEN 1 ELSE std END, 6) + 0.0 AS value
+FROM sparse JOIN fitted USING (feature)""")
 def features_scaled(spark, sf_dir):
-    """The same columns after (x - mean) / deviation."""
+    """The same features after (x - mean) / deviation, mean and deviation taken over all rows."""
     hourly = views.hourly_table(spark, sf_dir)
-    names = ops.column_names(hourly)
-    columns = [COUNT_FEATURE, *names]
-    scaled = ops.scaled(hourly, ops.fit_scaler(hourly), names)
-    return scaled.select(*HOURLY_KEY, *[(F.round(name, 6) + F.lit(0.0)).alias(name) for name in columns])
+    scaled = ops.scaled_features(hourly, ops.fit_scaler(hourly), *HOURLY_KEY)
+    return scaled.withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
 @query(f"""WITH {sql.HOURLY}, n AS (SELECT count(*) AS n FROM hourly), shares AS (

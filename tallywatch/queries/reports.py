@@ -103,7 +103,7 @@ def distinct_crime_types(spark, sf_dir):
 
 @query(f"""WITH {sql.SCORED}, spine AS (
   SELECT location_name, crime_type, "timestamp"
-  FROM (SELECT DISTINCT location_name FROM scored), (SELECT DISTINCT crime_type FROM scored),
+  FROM (SELECT DISTINCT location_name, crime_type FROM scored),
        (SELECT unnest(generate_series({sql.AS_OF} - INTERVAL 7 DAY, {sql.AS_OF} - INTERVAL 6 HOUR, INTERVAL 6 HOUR))
           AS "timestamp")),
 sums AS (

@@ -37,7 +37,7 @@ def streamed(start, spark: SparkSession, batches: list[DataFrame], **settings) -
     for batch in batches:
         batch.write.mode("append").text(landing)
         run_once(start, spark, landing, out, checkpoint, **settings)
-    return read_table(spark, out)
+    return read_table(spark, out).drop("day")
 
 
 @query(f"""WITH {sql.MESSAGES}, fields AS (

@@ -22,7 +22,6 @@ from tallywatch.operators.cities import with_city
 from tallywatch.schema import CITIES, CITY_SCHEMA, ENVELOPE, SOURCES, UK, UK_FIELDS, Source
 
 LOOKBACK = timedelta(days=7)
-PAGE_LIMIT = 1000
 
 DAILY_LANDING = T.StructType([*ENVELOPE.fields, T.StructField("day", T.DateType())])
 UK_LANDING = T.StructType([*ENVELOPE.fields, *CITY_SCHEMA.fields[:2]])
@@ -49,44 +48,54 @@ def tagged(records: DataFrame, source: Source, as_of: datetime) -> DataFrame:
     return records.withColumns({"source": F.lit(source.name), "timestamp": epoch_seconds(as_of)})
 
 
+def day_folders(folder: str, as_of: datetime, age: timedelta) -> list[str]:
+    """Folders of the days from as_of - age to the day after as_of, which clocks ahead of ours may have begun."""
+    first, last = (as_of - age).date(), as_of.date() + timedelta(days=1)
+    return [f"{folder}/day={first + timedelta(days=n)}" for n in range((last - first).days + 1)]
+
+
 def extract_recent(
     spark: SparkSession, root: str, source: Source, as_of: datetime,
-    age: timedelta = LOOKBACK, limit: int = PAGE_LIMIT,
+    age: timedelta = LOOKBACK, limit: int | None = None,
 ) -> DataFrame:
-    """Records strictly newer than as_of - age to the second, the newest first, at most limit of them.
+    """Records strictly newer than as_of - age to the second; with a limit the newest of them, newest first.
 
-    The order is total (date, then the agency's own id), so a limit that bites always keeps the same rows.
+    The order is total (date, then the agency's own id), so a limit that bites always keeps the same rows. Only the
+    folders of the days asked for are listed.
     """
     folder = source_folder(root, source)
     happened = F.col(source.date_field).try_cast("timestamp_ntz")
-    recent = (
-        read_or_empty(spark, [folder], DAILY_LANDING, folder)
-        .filter(F.col("day") >= F.lit((as_of - age).date()))
-        .filter(newer_than(happened, as_of.replace(microsecond=0), age))
-        .orderBy(happened.desc(), F.col(source.id_field))
-        .limit(limit)
+    recent = read_or_empty(spark, day_folders(folder, as_of, age), DAILY_LANDING, folder).filter(
+        newer_than(happened, as_of.replace(microsecond=0), age)
     )
+    if limit is not None:
+        recent = recent.orderBy(happened.desc(), F.col(source.id_field)).limit(limit)
     return tagged(recent.drop("day"), source, as_of)
 
 
 def extract_uk(spark: SparkSession, root: str, as_of: datetime, cities: Iterable[tuple] = CITIES) -> DataFrame:
-    """Last month's records of the polled cities; the folders of other places are not opened."""
-    folder = source_folder(root, UK)
+    """Last month's records of the polled cities, under their names; the folders of other places are not opened."""
+    folder, cities = source_folder(root, UK), list(cities)
     paths = [f"{folder}/lat={lat}/lng={lng}" for lat, lng, _ in cities]
     month = read_or_empty(spark, paths, UK_LANDING, folder).filter(F.col("month") == previous_month_key(as_of))
     # An unreadable line has nothing but what its folder says.
     said = [name for name in UK_FIELDS if name != "month"]
-    placed = with_city(month.dropna("all", subset=said).drop("location_name"), "location_name")
+    placed = with_city(month.dropna("all", subset=said).drop("location_name"), "location_name", cities)
     return tagged(placed, UK, as_of).select(*ENVELOPE.fieldNames())
 
 
+def extract(
+    spark: SparkSession, root: str, source: Source, as_of: datetime, age: timedelta = LOOKBACK,
+    limit: int | None = None, cities: Iterable[tuple] = CITIES,
+) -> DataFrame:
+    """One poll of an agency."""
+    if source == UK:
+        return extract_uk(spark, root, as_of, cities)
+    return extract_recent(spark, root, source, as_of, age, limit).select(*ENVELOPE.fieldNames())
+
+
 def extract_all(
-    spark: SparkSession, root: str, as_of: datetime, age: timedelta = LOOKBACK, limit: int = PAGE_LIMIT
+    spark: SparkSession, root: str, as_of: datetime, age: timedelta = LOOKBACK, limit: int | None = None
 ) -> DataFrame:
     """One poll of every agency."""
-    recent = [
-        extract_recent(spark, root, source, as_of, age, limit).select(*ENVELOPE.fieldNames())
-        for source in SOURCES
-        if source != UK
-    ]
-    return reduce(DataFrame.unionByName, recent, extract_uk(spark, root, as_of))
+    return reduce(DataFrame.unionByName, [extract(spark, root, source, as_of, age, limit) for source in SOURCES])

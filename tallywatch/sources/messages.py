@@ -27,16 +27,16 @@ def read_messages(spark: SparkSession, fmt: str = "text", path: str | None = Non
     return (reader.load(path) if path else reader.load()).select("value")
 
 
-def parse(messages: DataFrame, schema: T.StructType = ENVELOPE) -> DataFrame:
-    """JSON to columns. A bad document gives NULLs and a bad field gives one NULL; neither fails the job.
+def parse(messages: DataFrame, schema: T.StructType = ENVELOPE, *kept: str) -> DataFrame:
+    """JSON to columns, beside the columns of the message named in `kept`. A bad document gives NULLs and a bad field gives one NULL; neither fails the job.
 
     The document goes through a one-element explode: filters on its fields then stay above it, where pushed
     below a plain projection each of them would parse the text once more.
     """
     document = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(F.explode(F.array(document)).alias("data")).select("data.*")
+    return messages.select(*kept, F.explode(F.array(document)).alias("data")).select(*kept, "data.*")
 
 
-def parse_narrow(messages: DataFrame) -> DataFrame:
+def parse_narrow(messages: DataFrame, *kept: str) -> DataFrame:
     """Only what unified records need."""
-    return parse(messages, NARROW_ENVELOPE)
+    return parse(messages, NARROW_ENVELOPE, *kept)

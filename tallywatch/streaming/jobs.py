@@ -1,8 +1,9 @@
-"""The two ingest queries and the scoring query.
+"""The ingest queries and the scoring query.
 
-Raw records and hourly counts each read the source on their own: one narrow parse for the counts, one full
-parse for the raw tables, which are a single table partitioned by source. Every start function returns the
-running query; pass trigger={"availableNow": True} for a run that ends when the input is used up.
+Raw records, hourly counts and the quarantine each read the source on their own: one full parse for the raw tables,
+which are a single table partitioned by source and day, and narrow parses for the other two. Counts are partitioned
+by the day their window begins on. Every start function returns the running query; pass
+trigger={"availableNow": True} for a run that ends when the input is used up.
 """
 
 from __future__ import annotations
@@ -11,11 +12,13 @@ from collections.abc import Iterable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallywatch.functions.incidents import source_counts
+from tallywatch.functions.times import day_of
 from tallywatch.operators.aggregates import hourly_counts
-from tallywatch.operators.normalize import routed, unify
+from tallywatch.operators.normalize import quarantine, routed, unify
 from tallywatch.operators.scoring import Model, score_counts
 from tallywatch.schema import SOURCE_NAMES
 from tallywatch.sources.messages import parse, parse_narrow
@@ -25,11 +28,11 @@ ONCE: dict[str, Any] = {"availableNow": True}
 
 
 def _start(
-    frame: DataFrame, path: str, checkpoint: str, fmt: str, trigger: dict[str, Any] | None, partition: str | None = None
+    frame: DataFrame, path: str, checkpoint: str, fmt: str, trigger: dict[str, Any] | None, *partitions: str
 ) -> StreamingQuery:
     writer = frame.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-    if partition:
-        writer = writer.partitionBy(partition)
+    if partitions:
+        writer = writer.partitionBy(*partitions)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start(path)
@@ -46,12 +49,27 @@ def start_raw(
     messages: DataFrame, path: str, checkpoint: str, sources: Iterable[str] = SOURCE_NAMES,
     fmt: str = "parquet", trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
-    """All fields of every routed record, one partition per source.
+    """All fields of every routed record, one partition per source and day of its event time.
 
     The progress of each batch carries its records per source as the observed metrics "ingest".
     """
     records = routed(parse(messages), sources).observe("ingest", *source_counts())
-    return _start(records, path, checkpoint, fmt, trigger, "source")
+    records = records.withColumn("day", day_of(F.col("event_time")))
+    return _start(records, path, checkpoint, fmt, trigger, "source", "day")
+
+
+def start_quarantine(
+    messages: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict[str, Any] | None = None
+) -> StreamingQuery:
+    """The messages that do not count, as they came, with the reason.
+
+    The progress of each batch carries their number as the observed metric "quarantine".
+    """
+    aside = quarantine(parse_narrow(messages, "value")).select(
+        F.col("value").cast("string").alias("message"), "source", "timestamp", "reason"
+    )
+    aside = aside.observe("quarantine", F.count("*").alias("n"))
+    return _start(aside, path, checkpoint, fmt, trigger, "reason")
 
 
 def start_hourly(
@@ -61,13 +79,15 @@ def start_hourly(
     """Hourly counts, each window written once after the watermark has passed its end.
 
     The first start fixes the number of state partitions for the life of the checkpoint. Without
-    state_partitions it is the session's spark.sql.shuffle.partitions.
+    state_partitions it is the session's spark.sql.shuffle.partitions. The number is a setting of the session while the
+    query starts, so start one query at a time in a session.
     """
     conf = messages.sparkSession.conf
     usual = conf.get(SHUFFLE_PARTITIONS)
     conf.set(SHUFFLE_PARTITIONS, str(state_partitions or usual))
     try:
-        return _start(hourly_counts(unify(parse_narrow(messages))), path, checkpoint, fmt, trigger)
+        counts = hourly_counts(unify(parse_narrow(messages))).withColumn("day", day_of(F.col("window_start")))
+        return _start(counts, path, checkpoint, fmt, trigger, "day")
     finally:
         conf.set(SHUFFLE_PARTITIONS, usual)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -12,6 +13,8 @@ from tallywatch.plans.ingest import poll
 
 EVERY = "1 hour"
 
+log = logging.getLogger(__name__)
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
@@ -19,16 +22,18 @@ def utc_now() -> datetime:
 
 def start_polling(
     spark: SparkSession, landing: str, checkpoint: str, every: str = EVERY, fmt: str = "kafka", path: str | None = None,
-    clock: Callable[[], datetime] = utc_now, **options: str,
+    clock: Callable[[], datetime] = utc_now, limit: int | None = None, **options: str,
 ) -> StreamingQuery:
     """Poll every agency at once and then once per interval, until stopped.
 
     The ticks of a rate source set the pace. Each poll takes the last days again, so a record is sent as often as it is
-    polled.
+    polled, and a batch that Spark repeats after a failure polls once more, at the time of the repetition. What goes
+    wrong with one agency is logged and does not end the polling.
     """
 
     def one_poll(ticks: DataFrame, _: int) -> None:
-        poll(ticks.sparkSession, landing, clock(), fmt, path, **options)
+        for name, problem in poll(ticks.sparkSession, landing, clock(), fmt, path, limit, **options).failed.items():
+            log.warning("%s was not polled: %s", name, problem)
 
     ticks = spark.readStream.format("rate").load()
     writer = ticks.writeStream.foreachBatch(one_poll).option("checkpointLocation", checkpoint)

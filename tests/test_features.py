@@ -21,19 +21,23 @@ MATRIX = np.array(
 )
 
 
-def as_matrix(frame, names):
-    return np.array([[float(r[n]) for n in ["incident_count", *names]] for r in frame.collect()])
+def as_matrix(frame, names, rows=len(COUNTS), absent=None):
+    """Rows of a sparse frame (id, feature, value) as dense ones."""
+    matrix = np.tile([0.0 if absent is None else absent[n] for n in names], (rows, 1))
+    for r in frame.collect():
+        matrix[r["id"], names.index(r["feature"])] = r["value"]
+    return matrix
 
 
-def test_one_hot(counts):
-    names = ops.column_names(counts)
-    assert names == NAMES
-    assert (as_matrix(ops.one_hot(counts, names), names) == MATRIX).all()
+def numbered(frame):
+    return frame.coalesce(1).withColumn("id", F.monotonically_increasing_id())
+
+
+ALL = ["incident_count", *NAMES]
 
 
-def test_unseen_values_are_zero(spark, counts):
-    new = spark.createDataFrame([(1, "Z", "x")], counts.schema)
-    assert as_matrix(ops.one_hot(new, NAMES), NAMES).tolist() == [[1, 0, 0, 1, 0]]
+def test_one_hot(counts):
+    assert (as_matrix(ops.sparse_features(numbered(counts), "id"), ALL) == MATRIX).all()
 
 
 def test_scaler_equals_dense_statistics(counts):
@@ -44,27 +48,40 @@ def test_scaler_equals_dense_statistics(counts):
 
 def test_constant_feature_scales_to_zero(spark):
     same = spark.createDataFrame([(3, "A", "x")] * 4, "incident_count long, location_name string, crime_type string")
-    names = ops.column_names(same)
-    scaled = ops.scaled(same, ops.fit_scaler(same), names)
-    assert (as_matrix(scaled, names) == 0).all()
+    values = ops.scaled_features(numbered(same), ops.fit_scaler(same), "id").collect()
+    assert len(values) == 12 and all(r["value"] == 0 for r in values)
 
 
-def test_scaled_columns(counts):
-    scaled = ops.scaled(counts, ops.fit_scaler(counts), NAMES)
+def test_scaled_values_and_those_of_absent_features(counts):
+    scaler = ops.fit_scaler(counts)
+    absent = {r["feature"]: r["absent"] for r in scaler.collect()}
     want = (MATRIX - MATRIX.mean(axis=0)) / MATRIX.std(axis=0)
-    assert np.allclose(as_matrix(scaled, NAMES), want)
+    assert np.allclose(as_matrix(ops.scaled_features(numbered(counts), scaler, "id"), ALL, absent=absent), want)
+
+
+def test_unseen_values_have_no_scaled_feature(spark, counts):
+    new = numbered(spark.createDataFrame([(1, "Z", "x")], counts.schema))
+    found = ops.scaled_features(new, ops.fit_scaler(counts), "id").collect()
+    assert sorted(r["feature"] for r in found) == ["crime_x", "incident_count"]
 
 
 def test_names_are_data(spark):
     odd = [(1, "OFF. `A` & B", "theft"), (2, "location_x", "THEFT"), (3, "", "crime_")]
     frame = spark.createDataFrame(odd, "incident_count long, location_name string, crime_type string")
-    names = ops.column_names(frame)
-    assert len(names) == 6
-    for wide in (ops.one_hot(frame, names), ops.scaled(frame, ops.fit_scaler(frame), names)):
-        pandas = wide.toPandas()
-        assert list(pandas.columns)[-6:] == names
-        for name in names:
-            assert (pandas[name] == pandas[name].max()).sum() == 1
+    for found in (ops.sparse_features(frame), ops.scaled_features(frame, ops.fit_scaler(frame))):
+        names = [r["feature"] for r in found.collect()]
+        assert len(names) == 9 and names.count("incident_count") == 3 and len(set(names)) == 7
+
+
+def test_many_places(spark):
+    frame = spark.range(1500).select(
+        F.lit(1).alias("incident_count"), F.concat(F.lit("P"), "id").alias("location_name"), F.lit("t").alias("crime_type"))
+    assert ops.scaled_features(frame, ops.fit_scaler(frame)).select("feature").distinct().count() == 1502
+
+
+def test_the_scaler_counts_its_rows_once(counts):
+    text = ops.fit_scaler(counts)._jdf.queryExecution().executedPlan().toString()
+    assert "count(1)" in text and "SinglePartition" not in text
 
 
 def test_sparse_rows_sum_to_the_dense_matrix(counts):
@@ -72,11 +89,6 @@ def test_sparse_rows_sum_to_the_dense_matrix(counts):
     assert totals == dict(zip(["incident_count", *NAMES], MATRIX.sum(axis=0)))
 
 
-def test_wide_form_refuses_a_large_vocabulary(counts):
-    with pytest.raises(ValueError, match="sparse_features"):
-        ops.column_names(counts, max_columns=3)
-
-
 def test_alignment_of_unseen_values(spark, counts):
     requests = spark.createDataFrame(
         [(1, "A", "y"), (2, "Z", "x"), (3, None, "q")], "request_id long, location_name string, crime_type string"

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_module
+from tallywatch.queries.catalog import ORACLES, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -39,7 +40,7 @@ def as_rows(frame):
     )
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, sf_dir, database, name):
     result = entry_module.queries()[name](spark, sf_dir)
     expected = database.sql(entry_module.oracle_sql()[name])
@@ -48,18 +49,19 @@ def test_same_rows_as_sql(spark, sf_dir, database, name):
     assert as_rows(result.toPandas()) == as_rows(expected.df())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.queries()) - set(entry_module.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_rows_without_sql(spark, sf_dir, name):
     assert entry_module.queries()[name](spark, sf_dir).count() > 0
 
 
 def test_only_model_results_have_no_sql():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 def test_oracles_do_not_cut_the_tables_down():
-    limited = {name for name, text in entry_module.oracle_sql().items() if re.search(r"\bLIMIT\b|\bSAMPLE\b", text)}
-    assert limited == {"extract_chicago", "extract_nyc", "extract_la", "recent_anomalies"}
+    limited = {name for name, text in ORACLES.items() if re.search(r"\bLIMIT\b|\bSAMPLE\b", text)}
+    assert limited == {"extract_limited", "recent_anomalies"}
 
 
 def test_entry(spark):

@@ -1,6 +1,7 @@
 """Documents that are odd, dirty or no documents at all."""
 
 import json
+from functools import reduce
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallywatch.functions.incidents import nested_value
-from tallywatch.operators.normalize import quarantine, routed, unify, unify_by_branch
+from tallywatch.operators.normalize import UNIFIED_COLUMNS, quarantine, routed, unify, with_event_time
 from tallywatch.schema import ENVELOPE, NARROW_ENVELOPE, SOURCES
 from tallywatch.sinks.messages import to_messages
 from tallywatch.sources.messages import parse, parse_narrow
@@ -102,10 +103,24 @@ def test_seconds_after_2038_and_unusable_stamps(spark):
 
 def test_routing_and_quarantine_split_the_input(spark):
     envelopes = parse(
-        messages(spark, {"source": "la", "id": "1"}, {"source": "paris", "id": "2"}, {"id": "3"}, "x", None)
+        messages(spark, {"source": "la", "id": "1", "timestamp": 5}, {"source": "paris", "id": "2", "timestamp": 5}, {"id": "3"},
+                 "x", None, {"source": "la", "id": "4"}, {"source": "la", "id": "5", "timestamp": 10**12})
     )
-    assert [r["id"] for r in routed(envelopes).collect()] == ["1"]
-    assert sorted(str(r["id"]) for r in quarantine(envelopes).collect()) == ["2", "3", "None", "None"]
+    assert [r["id"] for r in routed(envelopes).collect()] == ["1", "4", "5"]
+    assert sorted((str(r["id"]), r["reason"]) for r in quarantine(envelopes).collect()) == [
+        ("2", "source"), ("3", "source"), ("4", "event time"), ("5", "event time"), ("None", "source"), ("None", "source")]
+
+
+def unify_by_branch(envelopes):
+    """A union of one branch per source."""
+    timed = with_event_time(envelopes)
+    branches = [
+        timed.filter(F.col("source") == s.name).withColumns(
+            {"crime_type": F.col(s.type_field), "location_name": F.col(s.place_field)}
+        ).select(*UNIFIED_COLUMNS)
+        for s in SOURCES
+    ]
+    return reduce(lambda a, b: a.unionByName(b), branches)
 
 
 texts = st.none() | st.text(alphabet="abz{}\"\\'\n\té ", max_size=6)
