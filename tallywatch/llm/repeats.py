@@ -59,10 +59,14 @@ def _among(rows: np.ndarray, keys: np.ndarray, lists: pa.Array) -> np.ndarray:
     return np.isin(keys ^ mix(rows.astype(np.uint64), 4), wanted ^ mix(of.astype(np.uint64), 4))
 
 
-def _shared(windows: DataFrame) -> DataFrame:
-    """Hashes that occur in two documents or more, with the smallest id."""
+def _shared(spark: SparkSession, windows: DataFrame) -> DataFrame:
+    """Hashes that occur in two documents or more, with the smallest id.
+
+    A table of its own: joined from there, both sides of the join are plain exchanges, and the adaptive plan can split
+    the partitions of passages that very many documents share.
+    """
     spread = windows.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    return spread.filter("low < high").select("h", "low")
+    return stored(spark, spread.filter("low < high").select("h", "low"), "shared")
 
 
 def _by_document(windows: DataFrame) -> DataFrame:
@@ -107,9 +111,9 @@ def _extended(packed: DataFrame, parts: DataFrame, length: int, anchored: bool)
 def shared_windows(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(id, h, low) of every window of `length` words that two documents or more have, from `docs` (id, text)."""
     anchors = stored(spark, _anchors(docs, length), "anchors")
-    parts = _by_document(anchors.join(_shared(anchors).select("h"), "h", "left_semi"))
+    parts = _by_document(anchors.join(_shared(spark, anchors).select("h"), "h", "left_semi"))
     windows = stored(spark, _extended(pack(docs, "text"), parts, length, True), "windows")
-    return windows.join(_shared(windows), "h").select("id", "h", "low")
+    return windows.join(_shared(spark, windows), "h").select("id", "h", "low")
 
 
 def longer_windows(spark: SparkSession, docs: DataFrame, windows: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -123,7 +127,7 @@ def longer_windows(spark: SparkSession, docs: DataFrame, windows: DataFrame, len
         levels.append(windows.select("id", F.lit(length).cast("bigint").alias("longest")).distinct())
         length *= 2
         wider = stored(spark, _extended(packed, _by_document(windows), length, False), "windows")
-        windows = stored(spark, wider.join(_shared(wider).select("h"), "h", "left_semi").distinct(), "windows")
+        windows = stored(spark, wider.join(_shared(spark, wider).select("h"), "h", "left_semi").distinct(), "windows")
     if not levels:
         return spark.createDataFrame([], T.StructType([docs.schema["id"], T.StructField("longest", T.LongType())]))
     found = levels[0]
