@@ -8,6 +8,7 @@ per tree whatever the size of the input.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -29,6 +30,12 @@ SEED = 42
 GROWN_FROM = ("tree_id", "place_in_draw", COUNT_FEATURE, "location_name", "crime_type")
 OVERSAMPLING = 4
 TREES_PER_TASK = 4
+# A prime, and a primitive root of it; both halves of a draw are below the first.
+DRAWS = 2**31 - 1
+MIXER = 48271
+ROOT = 1
+# Decimals of a score, so that the order in which a mean is summed cannot show.
+SCORE_DECIMALS = 12
 REMEMBERED = 100_000
 
 EULER_GAMMA = 0.5772156649
@@ -48,52 +55,85 @@ def mean_path(n: int) -> float:
     return 2.0 * (math.log(n - 1) + EULER_GAMMA) - 2.0 * (n - 1) / n
 
 
+def _hashed(text: Column, part: int) -> Column:
+    """The part-th eight hex digits of the text's MD5 hash as a number below DRAWS."""
+    digits = F.substring(F.md5(text.cast("binary")), 8 * part + 1, 8)
+    return F.conv(digits, 16, 10).cast("long") % F.lit(DRAWS)
+
+
+def row_text(counts: DataFrame, key: Sequence[str], seed: int) -> Column:
+    """What is hashed of a row: the seed and its key, times as microseconds and NULL as nothing."""
+    parts = [
+        F.unix_micros(name) if counts.schema[name].dataType.typeName() == "timestamp" else F.col(name) for name in key
+    ]
+    return F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(p.cast("string"), F.lit("")) for p in parts))
+
+
+def multipliers(tree: int) -> tuple[int, int, int, int]:
+    """Factor and summand of a tree for the upper and the lower half of its draws."""
+    first = (MIXER * (tree + 1)) % DRAWS
+    return first, (MIXER * first + 1) % DRAWS, (first * first + 7) % DRAWS, (MIXER * (first + tree)) % DRAWS
+
+
+def depth_limit(per_tree: int) -> int:
+    return math.ceil(math.log2(max(per_tree, 2)))
+
+
 def draw_samples(
     counts: DataFrame, n_rows: int, trees: int, per_tree: int, seed: int,
     key: Sequence[str] = HOURLY_KEY, oversampling: int = OVERSAMPLING,
 ) -> DataFrame:
     """per_tree rows for every tree, drawn without replacement.
 
-    A row's draw for a tree is a hash of its key, the tree and the seed, so partitioning has no say in it, and
-    a tree takes the lowest draws. Rows above a bound that leaves about oversampling * per_tree of them are
-    dropped before the shuffle, which then carries some oversampling * per_tree * trees rows.
+    A row's key and the seed give two numbers, by one MD5 hash per row, and its draw for a tree is a linear function of
+    them modulo a prime, so partitioning has no say in it; a tree takes the lowest draws. Trees for which a row's draw is
+    above a bound that leaves about oversampling * per_tree rows are dropped before the row is repeated for the others,
+    and the shuffle carries some oversampling * per_tree * trees rows.
     """
-    # The key is hashed before the rows are repeated per tree; what is hashed per tree is two numbers.
-    hashed = counts.select(*key, COUNT_FEATURE, F.xxhash64(*key, F.lit(seed)).alias("row_hash"))
-    drawn = (
-        hashed.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("draw", F.xxhash64("row_hash", "tree_id"))
-        .drop("row_hash")
-    )
+    text = row_text(counts, key, seed)
+    hashed = counts.select(*key, COUNT_FEATURE, _hashed(text, 0).alias("u"), _hashed(text, 1).alias("v"))
+    numbers = [multipliers(t) for t in range(trees)]
+    factor, summand, low_factor, low_summand = (F.array(*map(F.lit, n)) for n in zip(*numbers))
+
+    def upper(tree: Column) -> Column:
+        return (F.col("u") * F.get(factor, tree) + F.get(summand, tree)) % F.lit(DRAWS)
+
+    wanted = F.sequence(F.lit(0), F.lit(trees - 1))
     share = oversampling * per_tree / n_rows
     if share < 1:
-        drawn = drawn.filter(F.col("draw") < F.lit(int(-(2**63) + share * 2**64)))
+        wanted = F.filter(wanted, lambda tree: upper(tree) <= F.lit(int(share * DRAWS)))
+    tree = F.col("tree_id")
+    lower = (F.col("v") * F.get(low_factor, tree) + F.get(low_summand, tree)) % F.lit(DRAWS)
+    drawn = hashed.withColumn("tree_id", F.explode(wanted)).withColumn("draw", upper(tree) * F.lit(DRAWS) + lower)
     # The rows are few, so an adaptive plan would grow all trees in one task. A number of its own prevents that.
-    drawn = drawn.repartition(math.ceil(trees / TREES_PER_TASK), "tree_id")
+    drawn = drawn.drop("u", "v").repartition(math.ceil(trees / TREES_PER_TASK), "tree_id")
     order = Window.partitionBy("tree_id").orderBy("draw", *key)
     return drawn.withColumn("place_in_draw", F.row_number().over(order)).filter(F.col("place_in_draw") <= per_tree)
 
 
+def node_chance(seed: int, tree: int, node: int) -> tuple[int, float]:
+    """Two random numbers of a node, by a hash: which feature to split by, and where between its bounds."""
+    digits = hashlib.md5(f"{seed}|{tree}|{node}".encode()).hexdigest()
+    return int(digits[:8], 16), (int(digits[8:16], 16) + 0.5) / 2**32
+
+
 def tree_grower(per_tree: int, seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Function that grows one tree from the rows drawn for it."""
-    limit = math.ceil(math.log2(max(per_tree, 2)))
+    """Function that grows one tree from the rows drawn for it. The root is node 1, the children of n are 2n and 2n + 1."""
+    limit = depth_limit(per_tree)
     columns = ["tree_id", "node_id", "depth", "feature", "threshold", "left_id", "right_id", "n_rows"]
     count_feature, prefixes = COUNT_FEATURE, {"location_name": PLACE_PREFIX, "crime_type": TYPE_PREFIX}
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("place_in_draw")
         tree = int(rows["tree_id"].iloc[0])
-        chance = np.random.default_rng([seed, tree])
-        names, values = [count_feature], [rows["incident_count"].fillna(0).to_numpy(float)]
+        features = {count_feature: rows["incident_count"].fillna(0).to_numpy(float)}
         for column, prefix in prefixes.items():
-            for category in sorted(rows[column].dropna().unique()):
-                names.append(prefix + category)
-                values.append((rows[column] == category).to_numpy(float))
-        matrix = np.column_stack(values)
+            for category in rows[column].dropna().unique():
+                features[prefix + category] = (rows[column] == category).to_numpy(float)
+        names = sorted(features)
+        matrix = np.column_stack([features[name] for name in names])
 
         nodes = []
-        pending = [(0, np.arange(len(matrix)), 0)]
-        created = 1
+        pending = [(1, np.arange(len(matrix)), 0)]
         while pending:
             node, members, depth = pending.pop()
             block = matrix[members]
@@ -102,12 +142,12 @@ def tree_grower(per_tree: int, seed: int) -> Callable[[pd.DataFrame], pd.DataFra
             if depth >= limit or not len(varying):
                 nodes.append((tree, node, depth, None, None, None, None, len(members)))
                 continue
-            split = chance.choice(varying)
-            threshold = chance.uniform(low[split], high[split])
+            which, where = node_chance(seed, tree, node)
+            split = varying[which % len(varying)]
+            threshold = low[split] + where * (high[split] - low[split])
             goes_left = block[:, split] <= threshold
-            nodes.append((tree, node, depth, names[split], threshold, created, created + 1, len(members)))
-            pending += [(created, members[goes_left], depth + 1), (created + 1, members[~goes_left], depth + 1)]
-            created += 2
+            nodes.append((tree, node, depth, names[split], threshold, 2 * node, 2 * node + 1, len(members)))
+            pending += [(2 * node, members[goes_left], depth + 1), (2 * node + 1, members[~goes_left], depth + 1)]
         return pd.DataFrame(nodes, columns=columns).astype({"left_id": "Int32", "right_id": "Int32"})
 
     return grow
@@ -147,7 +187,7 @@ def fit_forest(
         # Python gets what a tree is grown from and no more; pandas cannot hold every timestamp Spark can.
         sample = draw_samples(counts, n_rows, trees, per_tree, seed, key, oversampling).select(*GROWN_FROM)
         nodes = sample.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA).toPandas()
-        roots = nodes[nodes["node_id"] == 0]
+        roots = nodes[nodes["node_id"] == ROOT]
         # A tree that the bound left short of rows is next to impossible, but would be wrong.
         complete = len(roots) == trees and (roots["n_rows"] == per_tree).all()
         if complete or oversampling * per_tree >= n_rows:
@@ -181,10 +221,10 @@ def forest_scorer(forest: Forest) -> Callable:
     threshold = nodes["threshold"].astype(float).fillna(np.inf).to_numpy()
     left, right = child("left_id"), child("right_id")
     length = (nodes["depth"] + nodes["n_rows"].map(mean_path)).to_numpy(float)
-    roots = np.flatnonzero((nodes["node_id"] == 0).to_numpy())
+    roots = np.flatnonzero((nodes["node_id"] == ROOT).to_numpy())
     depth = int(nodes["depth"].max())
     block_rows = max(1, 1_000_000 // len(features))
-    remembered = REMEMBERED
+    remembered, decimals = REMEMBERED, SCORE_DECIMALS
     scale = mean_path(forest.per_tree)
     cuts = np.unique(threshold[split & (feature == 0)])
 
@@ -204,7 +244,7 @@ def forest_scorer(forest: Forest) -> Callable:
             total += length[at]
         if scale == 0:
             return np.full(n, -0.5)
-        return -(2.0 ** (-total / len(roots) / scale))
+        return np.round(-(2.0 ** (-total / len(roots) / scale)), decimals)
 
     def score_rows(known: pd.Series, count: np.ndarray, place: np.ndarray, kind: np.ndarray):
         """Scores of the rows, and the scores per combination known by then."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.scores import COUNT_FEATURE, PLACE_PREFIX, TYPE_PREFIX, is_outlier, label, rescaled
-from tallywatch.operators.forest import Forest
+from tallywatch.operators.forest import SCORE_DECIMALS, Forest
 
 REQUIRED = ("location_name", "crime_type", "incident_count")
 
@@ -26,7 +26,7 @@ class Model:
 def with_scores(frame: DataFrame, model: Model, raw_score: Column) -> DataFrame:
     return (
         frame.withColumn("raw_score", raw_score)
-        .withColumn("decision", F.col("raw_score") - F.lit(model.offset))
+        .withColumn("decision", F.round(F.col("raw_score") - F.lit(model.offset), SCORE_DECIMALS))
         .withColumn("label", label(F.col("decision")))
         .withColumn("anomaly_score", rescaled(F.col("label")))
         .withColumn("is_anomaly", is_outlier(F.col("label")))

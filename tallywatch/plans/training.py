@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.operators.features import filled, fit_scaler
-from tallywatch.operators.forest import SEED, TREES, Forest, fit_forest
+from tallywatch.operators.forest import SCORE_DECIMALS, SEED, TREES, Forest, fit_forest
 from tallywatch.operators.quantile import quantile_of_counts, value_counts
 from tallywatch.operators.scoring import Model
 from tallywatch.schema import MODEL_NAME
@@ -50,6 +50,7 @@ def train(hourly: DataFrame, contamination: float = CONTAMINATION, trees: int =
     raw_score = forest.raw_score(F.col("incident_count"), F.col("location_name"), F.col("crime_type"))
     with value_counts(counts.select(raw_score.alias("raw_score")), "raw_score") as scores:
         offset = quantile_of_counts(scores, contamination)
+        offset = offset if offset is None else round(offset, SCORE_DECIMALS)
         below = F.when(F.col("value") - F.lit(offset) < 0, F.col("n")).otherwise(F.lit(0))
         n_rows, n_anomalies = scores.agg(F.sum("n"), F.sum(below)).first()
     model = Model(forest, offset, contamination, seed)

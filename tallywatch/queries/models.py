@@ -9,12 +9,12 @@ from tallywatch.functions.scores import (
     COUNT_FEATURE, is_outlier, label, merged_features, place_feature, rescaled, type_feature,
 )
 from tallywatch.operators import features as ops
-from tallywatch.operators.forest import fit_forest
+from tallywatch.operators.forest import TREES, fit_forest
 from tallywatch.operators.quantile import exact_quantile
 from tallywatch.operators.scoring import invalid_requests, score_counts
 from tallywatch.operators.scoring import score_requests as answer
 from tallywatch.plans import training
-from tallywatch.queries import sql, views
+from tallywatch.queries import forest_sql, sql, views
 from tallywatch.queries.registry import query
 from tallywatch.schema import HOURLY, HOURLY_KEY
 from tallywatch.session import new_folder
@@ -144,7 +144,11 @@ def score_requests_invalid(spark, sf_dir):
     )
 
 
-@query()
+@query(f"""WITH {forest_sql.NODES}
+SELECT tree_id::INTEGER AS tree_id, node_id::INTEGER AS node_id, depth::INTEGER AS depth, feature, threshold,
+       CASE WHEN feature IS NOT NULL THEN 2 * node_id END::INTEGER AS left_id,
+       CASE WHEN feature IS NOT NULL THEN 2 * node_id + 1 END::INTEGER AS right_id, n_rows
+FROM nodes""")
 def iforest_fit(spark, sf_dir):
     """Node table of a forest grown on the hourly counts."""
     return fit_forest(ops.filled(views.hourly_table(spark, sf_dir))).table(spark)
@@ -155,37 +159,43 @@ def _trained(spark, sf_dir) -> tuple[DataFrame, training.Training]:
     return hourly, training.train(hourly)
 
 
-@query()
+@query(f"""WITH {forest_sql.SCORED_HOURLY}
+SELECT {KEY}, incident_count, raw_score, decision FROM scored_hourly""")
 def iforest_decision(spark, sf_dir):
     hourly, run = _trained(spark, sf_dir)
     return score_counts(hourly, run.model).select(*HOURLY_KEY, "incident_count", "raw_score", "decision")
 
 
-@query()
+@query(f"WITH {forest_sql.SCORED_HOURLY} SELECT {KEY}, incident_count, label FROM scored_hourly")
 def iforest_predict(spark, sf_dir):
     hourly, run = _trained(spark, sf_dir)
     return score_counts(hourly, run.model).select(*HOURLY_KEY, "incident_count", "label")
 
 
-@query()
+@query(f"WITH {forest_sql.SCORED_HOURLY} SELECT * FROM scored_hourly")
 def score_hourly(spark, sf_dir):
     """The hourly table with all its scores."""
     hourly, run = _trained(spark, sf_dir)
     return score_counts(hourly, run.model)
 
 
-@query()
+@query(f"WITH {forest_sql.METRICS} SELECT * FROM metrics")
 def train_metrics(spark, sf_dir):
     return training.train_metrics(spark, _trained(spark, sf_dir)[1])
 
 
-@query()
+@query(f"""WITH {forest_sql.METRICS}
+SELECT 'param' AS kind, 'model_type' AS key, 'IsolationForest' AS value
+UNION ALL SELECT 'param', 'n_estimators', '{TREES}'
+UNION ALL SELECT 'param', 'contamination', '{training.CONTAMINATION}'
+UNION ALL SELECT 'metric', 'n_anomalies', CAST(n_anomalies AS VARCHAR) FROM metrics
+UNION ALL SELECT 'metric', 'anomaly_ratio', CAST(anomaly_ratio AS VARCHAR) FROM metrics""")
 def run_log(spark, sf_dir):
-    """Parameters and metrics of a run, appended to the run log and read back."""
+    """Parameters and metrics of a run, appended to the run log and read back; the run's random id is left out."""
     _, run = _trained(spark, sf_dir)
     folder = new_folder(spark, "runs")
     training.save_run(spark, run, folder)
-    return spark.read.parquet(folder)
+    return spark.read.parquet(folder).drop("run_id")
 
 
 @query(f"""WITH {sql.HOURLY}
@@ -202,14 +212,15 @@ def model_save_load_roundtrip(spark, sf_dir):
     return both.select(*HOURLY_KEY, "incident_count", same.alias("same_scores"))
 
 
-@query()
+@query(f"""WITH {forest_sql.ANSWERS}
+SELECT request_id, location_name, crime_type, anomaly_score, is_anomaly, raw_score, decision FROM answers""")
 def score_batch(spark, sf_dir):
     """An answer for every valid request."""
     _, run = _trained(spark, sf_dir)
     return answer(views.dirty_requests(spark, sf_dir), run.model)
 
 
-@query()
+@query(f"WITH {forest_sql.SCORED_HOURLY} SELECT * FROM scored_hourly")
 def stream_score(spark, sf_dir):
     """The hourly table scored as a stream."""
     folder, out, checkpoint = (new_folder(spark, label) for label in ("hourly", "scores", "checkpoint"))

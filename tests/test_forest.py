@@ -27,7 +27,7 @@ def plain_score(nodes, per_tree, features):
     lengths = []
     for _, tree in nodes.groupby("tree_id"):
         tree = tree.set_index("node_id")
-        node = tree.loc[0]
+        node = tree.loc[1]
         while isinstance(node["feature"], str):
             left = features.get(node["feature"], 0.0) <= node["threshold"]
             node = tree.loc[int(node["left_id"] if left else node["right_id"])]
@@ -75,7 +75,7 @@ def test_trees_split_the_rows_drawn_for_them(planted):
     passed = Counter()
     for row in drawn.itertuples():
         own = {"incident_count": row.incident_count, f"location_{row.location_name}": 1, f"crime_{row.crime_type}": 1}
-        at = 0
+        at = 1
         while True:
             passed[row.tree_id, at] += 1
             node = nodes.loc[(row.tree_id, at)]
@@ -90,7 +90,7 @@ def test_splits_choose_evenly_among_varying_features(planted):
     grow, chosen = tree_grower(256, 42), Counter()
     for tree in range(400):
         grown = grow(rows.assign(tree_id=tree))
-        chosen[grown.loc[grown["node_id"] == 0, "feature"].iloc[0]] += 1
+        chosen[grown.loc[grown["node_id"] == 1, "feature"].iloc[0]] += 1
     assert len(chosen) == 10
     assert all(20 <= n <= 65 for n in chosen.values())
 

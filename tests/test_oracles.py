@@ -19,12 +19,6 @@ TYPES = {
     "timestamp_ntz": "TIMESTAMP",
 }
 
-WITHOUT_SQL = {
-    "iforest_fit", "iforest_predict", "iforest_decision", "score_hourly", "score_batch", "stream_score",
-    "train_metrics", "run_log",
-}
-
-
 @pytest.fixture(scope="module")
 def database(sf_dir):
     connection = duckdb.connect()
@@ -49,13 +43,8 @@ def test_same_rows_as_sql(spark, sf_dir, database, name):
     assert as_rows(result.toPandas()) == as_rows(expected.df())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_rows_without_sql(spark, sf_dir, name):
-    assert entry_module.queries()[name](spark, sf_dir).count() > 0
-
-
-def test_only_model_results_have_no_sql():
-    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+def test_all_queries_have_sql():
+    assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
