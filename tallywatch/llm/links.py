@@ -16,24 +16,34 @@ def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
 
 
 def classes(spark: SparkSession, links: DataFrame) -> DataFrame:
-    """(id, class) of all ids in `links` (a, b); the class is the smallest id that links lead to.
+    """(id, class) of all ids that `links` (a, b) connect with others; the class is the smallest id of the group.
 
-    Every round hands each id the smallest class among its neighbours and then the class of that class, so the number of
-    rounds follows the logarithm of the longest path. Ids with many links meet in partial aggregates. A round that
-    leaves the sum of hashes of all rows as it was has changed nothing.
+    Every round points each id to its smallest neighbour, follows these pointers to their ends, and goes on with the
+    links between different ends only. Pointers go down and are followed two steps at a time, so both loops take a number of
+    turns that follows a logarithm, and the links left shrink from round to round. Ids with many links meet in partial
+    aggregates.
     """
-    ends = links.select(F.explode(F.array(
-        F.struct(F.col("a").alias("id"), F.col("b").alias("other")), F.struct(F.col("b").alias("id"), F.col("a").alias("other")),
-        F.struct(F.col("a").alias("id"), F.col("a").alias("other")), F.struct(F.col("b").alias("id"), F.col("b").alias("other")),
-    )).alias("e")).select("e.*")
-    both = stored(spark, ends.distinct(), "links")
-    now, before = stored(spark, both.groupBy("id").agg(F.min("other").alias("class")), "classes"), None
-    while True:
-        near = both.join(now.withColumnRenamed("id", "other"), "other").groupBy("id").agg(F.min("class").alias("class"))
-        far = near.select(F.col("id").alias("class"), F.col("class").alias("far"))
-        step = near.join(far, "class").select("id", F.col("far").alias("class"))
-        seen = Observation()
-        now = stored(spark, step.observe(seen, F.sum(F.xxhash64("id", "class").cast("decimal(38,0)")).alias("sum")), "classes")
-        if before is not None and seen.get["sum"] == before or seen.get["sum"] is None:
-            return now
-        before = seen.get["sum"]
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    links = stored(spark, links.filter("a != b").select(low, high).distinct(), "links")
+    found = None
+    while found is None or not links.isEmpty():
+        ends = links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+        ends = ends.groupBy(F.col("e.a").alias("id")).agg(F.min("e.b").alias("near"))
+        points = stored(spark, ends.select("id", F.least("id", "near").alias("class")), "points")
+        while True:
+            on = points.select(F.col("id").alias("class"), F.col("class").alias("end"))
+            moved = Observation()
+            step = points.join(on, "class").observe(moved, F.count_if(F.col("end") < F.col("class")).alias("n"))
+            points = stored(spark, step.select("id", F.col("end").alias("class")), "points")
+            if not moved.get["n"]:
+                break
+        further = points.select(F.col("id").alias("class"), F.col("class").alias("end"))
+        found = points if found is None else found.join(further, "class", "left").select(
+            "id", F.coalesce("end", "class").alias("class"))
+        for side in ("a", "b"):
+            end = points.select(F.col("id").alias(side), F.col("class").alias(f"{side}_end"))
+            links = links.join(end, side)
+        links = links.filter("a_end != b_end").select(
+            F.least("a_end", "b_end").alias("a"), F.greatest("a_end", "b_end").alias("b")).distinct()
+        links = stored(spark, links, "links")
+    return found
