@@ -16,6 +16,8 @@ from typing import Tuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -167,9 +169,9 @@ class Forest:
     def raw_score(self, *columns: Column) -> Column:
         """Score of (incident_count, location_name, crime_type), from -1 (outlier) up to 0.
 
-        Two more columns, arrays of names and values, put a request's own features over the row's.
+        Two more columns, arrays of names and values, are all the features of rows in which they are not empty.
         """
-        return F.pandas_udf(forest_scorer(self), "double")(*columns)
+        return F.arrow_udf(forest_scorer(self), "double")(*columns)
 
 
 def fit_forest(
@@ -198,7 +200,7 @@ def fit_forest(
 
 
 def forest_scorer(forest: Forest) -> Callable:
-    """Pandas function for Forest.raw_score.
+    """Arrow function for Forest.raw_score.
 
     It closes over plain arrays only, and walks the forest once per distinct combination a task meets: counts
     between the same two thresholds, and values no split asks for, are the same combination. What a task
@@ -223,7 +225,6 @@ def forest_scorer(forest: Forest) -> Callable:
     length = (nodes["depth"] + nodes["n_rows"].map(mean_path)).to_numpy(float)
     roots = np.flatnonzero((nodes["node_id"] == ROOT).to_numpy())
     depth = int(nodes["depth"].max())
-    block_rows = max(1, 1_000_000 // len(features))
     remembered, decimals = REMEMBERED, SCORE_DECIMALS
     scale = mean_path(forest.per_tree)
     cuts = np.unique(threshold[split & (feature == 0)])
@@ -258,34 +259,46 @@ def forest_scorer(forest: Forest) -> Callable:
             known = pd.concat([known, pd.Series(once, index=new)])
         return known.to_numpy()[known.index.get_indexer(cell)], known
 
-    def score_overridden(count, place, kind, names, values) -> np.ndarray:
-        """Scores of rows whose own one-hot values replace the derived ones, a block at a time."""
-        scores = np.empty(len(count))
-        for start in range(0, len(count), block_rows):
-            block = slice(start, start + block_rows)
-            vectors = np.zeros((len(count[block]), len(features)))
-            vectors[:, 0] = count[block]
-            for row, (f, g, own) in enumerate(zip(place[block], kind[block], zip(names[block], values[block]))):
-                vectors[row, [i for i in (f, g) if i >= 0]] = 1.0
-                for name, value in zip(*own):
-                    if name in number:
-                        vectors[row, number[name]] = value
-            every = np.arange(len(vectors))
-            scores[block] = walk(lambda f: vectors[every, f], len(vectors))
-        return scores
-
-    def score(batches: Iterator[Tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        place_index, type_index = pd.Index(places, dtype=object), pd.Index(types, dtype=object)
+    def score_given(rows: np.ndarray, which: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Scores of rows that name all their features: (row, feature, value) entries, others are 0."""
+        every, row = np.unique(rows, return_inverse=True)
+        code = row * (len(features) + 1) + which
+        order = np.argsort(code)
+        code, values = code[order], values[order]
+        number_of_row = np.arange(len(every))
+
+        def value_of(wanted: np.ndarray) -> np.ndarray:
+            wanted = number_of_row * (len(features) + 1) + wanted
+            at = np.minimum(np.searchsorted(code, wanted), len(code) - 1)
+            return np.where(code[at] == wanted, values[at], 0.0)
+
+        return walk(value_of, len(every))
+
+    def indices(values: pa.Array, names: list[str]) -> np.ndarray:
+        """Place of each value in the names, -1 for none."""
+        found = pc.index_in(values, value_set=pa.array(names, pa.string()))
+        return found.fill_null(-1).to_numpy(zero_copy_only=False)
+
+    def score(batches: Iterator[Tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         nothing = known = pd.Series(dtype=float, index=pd.Index([], dtype="int64"))
-        for count, place, kind, *extras in batches:
-            c = count.fillna(0).to_numpy(float)
-            p = place_number[place_index.get_indexer(place)]
-            k = type_number[type_index.get_indexer(kind)]
+        for count, place, kind, *given in batches:
+            c = pc.fill_null(count.cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
+            p = place_number[indices(place, places)]
+            k = type_number[indices(kind, types)]
             scores, known = score_rows(known if len(known) <= remembered else nothing, c, p, k)
-            if extras:
-                names, values = (column.to_numpy() for column in extras)
-                own = np.flatnonzero([len(n) > 0 for n in names])
-                scores[own] = score_overridden(c[own], p[own], k[own], names[own], values[own])
-            yield pd.Series(scores)
+            if given:
+                names, values = given
+                sizes = names.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                rows = np.repeat(np.arange(len(sizes)), sizes)
+                own = np.flatnonzero(sizes)
+                if len(own):
+                    which = indices(names.flatten(), features)
+                    used = which >= 0
+                    # A row whose names the forest does not know has no feature; one entry of 0 keeps it in.
+                    entries = (np.append(rows[used], own), np.append(which[used], np.full(len(own), len(features))),
+                               np.append(values.flatten().to_numpy(zero_copy_only=False)[used], np.zeros(len(own))))
+                    scores = scores.copy()
+                    scores[own] = score_given(*entries)
+            yield pa.array(scores)
 
     return score

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.scores import COUNT_FEATURE, PLACE_PREFIX, TYPE_PREFIX, is_outlier, label, rescaled
+from tallywatch.functions.scores import (
+    COUNT_FEATURE, is_outlier, label, merged_features, place_feature, rescaled, type_feature,
+)
 from tallywatch.operators.forest import SCORE_DECIMALS, Forest
 
 REQUIRED = ("location_name", "crime_type", "incident_count")
@@ -56,19 +58,22 @@ def invalid_requests(requests: DataFrame) -> DataFrame:
     return requests.withColumn("invalid_field", invalid_field()).filter(F.col("invalid_field").isNotNull())
 
 
+def own_features(requests: DataFrame) -> Column:
+    """All features of a request that brings features of its own, which replace those of its fields; else NULL."""
+    own = F.col("additional_features")
+    place, kind = place_feature(F.col("location_name")), type_feature(F.col("crime_type"))
+    count = F.col(COUNT_FEATURE).cast("double")
+    fields = F.create_map(F.lit(COUNT_FEATURE), count, place, F.lit(1.0), kind, F.lit(1.0))
+    return F.when(F.size(own) > 0, merged_features(fields, own))
+
+
 def score_requests(requests: DataFrame, model: Model) -> DataFrame:
     """One answer per valid request, told apart by request_id.
 
     A request's additional features replace features of the model by name; other names do not matter to it.
     """
-    own = F.col("additional_features")
-    one_hot = F.map_filter(
-        own, lambda name, _: name.startswith(PLACE_PREFIX) | name.startswith(TYPE_PREFIX)
-    )
-    counted = F.coalesce(F.try_element_at(own, F.lit(COUNT_FEATURE)), F.col(COUNT_FEATURE).cast("double"))
-    names = F.coalesce(F.map_keys(one_hot), F.array().cast("array<string>"))
-    values = F.coalesce(F.map_values(one_hot), F.array().cast("array<double>"))
-    columns = (counted, F.col("location_name"), F.col("crime_type"), names, values)
+    own = own_features(requests)
+    columns = (F.col(COUNT_FEATURE), F.col("location_name"), F.col("crime_type"), F.map_keys(own), F.map_values(own))
     answered = with_scores(valid_requests(requests), model, model.forest.raw_score(*columns))
     return answered.select(
         "request_id", "location_name", "crime_type", "anomaly_score", "is_anomaly", "raw_score", "decision"

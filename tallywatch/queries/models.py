@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.scores import (
-    COUNT_FEATURE, is_outlier, label, merged_features, place_feature, rescaled, type_feature,
+    COUNT_FEATURE, is_outlier, label, place_feature, rescaled, type_feature,
 )
 from tallywatch.operators import features as ops
 from tallywatch.operators.forest import TREES, fit_forest
 from tallywatch.operators.quantile import exact_quantile
-from tallywatch.operators.scoring import invalid_requests, score_counts
+from tallywatch.operators.scoring import invalid_requests, own_features, score_counts
 from tallywatch.operators.scoring import score_requests as answer
 from tallywatch.plans import training
 from tallywatch.queries import forest_sql, sql, views
@@ -99,12 +99,12 @@ def feature_map_merge(spark, sf_dir):
     """A request's own features over the derived ones: one new name, and one that replaces its type's value."""
     requests = views.requests(spark, sf_dir)
     place, kind = place_feature(F.col("location_name")), type_feature(F.col("crime_type"))
-    base = F.create_map(
-        F.lit(COUNT_FEATURE), F.col("incident_count").cast("double"), place, F.lit(1.0), kind, F.lit(1.0)
-    )
     extra = F.try_element_at("additional_features", F.lit("extra"))
-    extras = F.when(extra.isNotNull(), F.create_map(F.lit("extra"), extra, kind, extra))
-    merged = requests.withColumn("features", merged_features(base, extras))
+    own = F.when(extra.isNotNull(), F.create_map(F.lit("extra"), extra, kind, extra))
+    requests = requests.withColumn("additional_features", own)
+    merged = requests.withColumn("features", own_features(requests))
+    plain = F.create_map(F.lit(COUNT_FEATURE), F.col("incident_count").cast("double"), place, F.lit(1.0), kind, F.lit(1.0))
+    merged = merged.withColumn("features", F.coalesce("features", plain))
 
     def value(name):
         return F.try_element_at("features", name)
