@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import chat, near, pages, pieces, repeats, rules
+from tallywatch.llm import chat, near, oracles, pages, pieces, repeats, rules
 from tallywatch.llm.decontaminate import leaks
 from tallywatch.llm.licenses import find_licenses
 from tallywatch.llm.registry import ORACLES, QUERIES, query, read
@@ -29,7 +29,7 @@ def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"doc_key": "doc_id", "item_key": "item_id"})
 
 
-@query()
+@query(oracles.SHARED_PASSAGES)
 def op2_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that a passage of 50 words in an earlier document has too, and a hash of the rest."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,7 +65,7 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(oracles.NEAR_DUPLICATES)
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document, by the smallest doc_id in it."""
     found = near.near_duplicates(spark, read(spark, sf_dir, "documents"))
