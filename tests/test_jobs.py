@@ -4,6 +4,7 @@ import json
 from datetime import datetime, timezone
 
 from tallywatch.__main__ import main
+from tallywatch.operators import reports
 from tallywatch.schema import SCORE_REQUEST
 
 START = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp())
@@ -16,6 +17,14 @@ def test_stream_train_score_report(spark, tmp_path, capsys):
         json.dumps({"source": "la", "timestamp": START + 600 * i, "area_name": f"A{i % 3}", "crm_cd_desc": "t"})
         for i in range(600)
     ]
+    odd = tmp_path / "odd"
+    odd.mkdir()
+    (odd / "1.json").write_text("\n".join(["junk", json.dumps({"source": "la"}), json.dumps({"source": "x", "timestamp": 1}), lines[0]]) + "\n")
+    main(["stream", "--messages", "text", "--path", str(odd), "--out", f"{tmp_path}/odd-out", "--checkpoint", f"{tmp_path}/odd-cp",
+          "--once"])
+    aside = spark.read.parquet(f"{tmp_path}/odd-out/quarantine")
+    assert {(r["reason"], r["message"]) for r in aside.collect()} == {
+        ("event time", '{"source": "la"}'), ("source", "junk"), ("source", '{"source": "x", "timestamp": 1}')}
     (landing / "1.json").write_text("\n".join(lines) + "\n")
     out, models = tmp_path / "out", tmp_path / "models"
     main(["stream", "--messages", "text", "--path", str(landing), "--out", str(out),
@@ -25,9 +34,18 @@ def test_stream_train_score_report(spark, tmp_path, capsys):
     assert hourly.groupBy().sum("incident_count").first()[0] == 6 * 98
 
     main(["train", "--hourly", f"{out}/hourly", "--models", str(models)])
-    main(["score", "--models", str(models), "--hourly", f"{out}/hourly", "--out", f"{out}/scored"])
-    scored = spark.read.parquet(f"{out}/scored")
-    assert scored.count() == hourly.count()
+    assert spark.read.parquet(f"{out}/quarantine").collect() == []
+    for _ in range(2):  # scoring again replaces the rows
+        main(["score", "--models", str(models), "--hourly", f"{out}/hourly", "--out", f"{out}/scored"])
+        scored = spark.read.parquet(f"{out}/scored")
+        assert scored.count() == hourly.count()
+    main(["score", "--models", str(models), "--hourly", f"{out}/hourly", "--out", f"{out}/scored", "--since", "2024-01-03"])
+    assert spark.read.parquet(f"{out}/scored").count() == hourly.count()
+
+    series = reports.series_of(spark.read.parquet(f"{out}/scored"))
+    flags = [reports.flagged(series, t).filter("is_anomaly").count() for t in (0.3, 0.6)]
+    assert flags[0] > flags[1]
+    assert reports.score_histogram(series).count() > 2 or flags[0] == hourly.count()
 
     requests = spark.createDataFrame([(1, "A1", "t", 2, None), (2, None, "t", 2, {"a": 1.0})], SCORE_REQUEST)
     requests.write.json(f"{out}/requests")

@@ -1,10 +1,14 @@
 """Shapes of the physical plans that scale depends on."""
 
 import re
+from datetime import date, datetime
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallywatch.__main__ import days_of
+from tallywatch.functions.times import day_of, on_report_days
 from tallywatch.operators.aggregates import hourly_counts
 from tallywatch.operators.forest import draw_samples
 from tallywatch.operators.grid import time_grid
@@ -15,6 +19,7 @@ from tallywatch.plans.training import train
 from tallywatch.queries import views
 from tallywatch.queries.catalog import QUERIES
 from tallywatch.session import new_folder, shared_folder
+from tallywatch.sinks.tables import replace_days
 from tallywatch.sources.messages import parse_narrow
 
 
@@ -80,3 +85,14 @@ def test_only_a_local_session_has_a_folder_of_its_own():
     assert shared_folder(local) == shared_folder(local)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session("spark://host:7077"))
+
+
+def test_days_prune_the_tables_of_the_streams(spark, tmp_path):
+    frame = spark.range(5).select(F.timestamp_seconds(F.col("id") * 86400).alias("window_start"), F.col("id").alias("incident_count"))
+    replace_days(frame.withColumn("day", day_of(F.col("window_start"))), str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    since = days_of(table, date(1970, 1, 4))
+    assert "PartitionFilters: [isnotnull(day" in since._jdf.queryExecution().executedPlan().toString()
+    assert since.count() == 2 and len(since.inputFiles()) == 2
+    recent = table.filter(on_report_days(F.col("day"), datetime(1970, 1, 4, 12), "24h"))
+    assert recent.count() == 3 and "day" in recent._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
