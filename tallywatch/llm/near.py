@@ -249,7 +249,9 @@ def partners(draws: np.ndarray, least: int, nearest: int = NEAREST) -> list[tupl
 def _candidates(members: DataFrame, agreement: float, nearest: int) -> DataFrame:
     """Pairs (a, b) of nodes from `members` (bucket, finer, id, draws, centre); centre only in very large buckets."""
     pair = T.StructType([T.StructField(side, members.schema["id"].dataType) for side in ("a", "b")])
-    ordered = members.repartitionByRange("bucket", "finer", "id").sortWithinPartitions("bucket", "finer", "id")
+    # Only very large buckets may be split between partitions.
+    split = [F.when(F.col("centre").isNotNull(), F.col(c)) for c in ("finer", "id")]
+    ordered = members.repartitionByRange("bucket", *split).sortWithinPartitions("bucket", "finer", "id")
 
     def compare(rows: pa.RecordBatch, out: list[tuple]) -> None:
         ids = rows["id"].to_pylist()
