@@ -3,6 +3,7 @@
 Each element has a density: its characters per tag, raised where few of them are link text and lowered where many are.
 The element whose children's densities have the greatest sum is where the article lies. The lowest density on the way
 from it up to the body is the threshold, and every other branch that reaches it gives its own element of greatest sum.
+An element inside an article or main element stands for all of that, and a first heading beside or above it belongs to it.
 
 Before that, elements go that say by tag, role, class or id that they are no part of the article: menus, headers,
 footers, sidebars, notices, adverts, forms, reader comments. A class or id removes no element that holds the main
@@ -276,12 +277,29 @@ def _marked(tags: list[str], parent: list[int], outside: list[bool], density: li
     for node in range(n):
         reached[node] = not outside[node] and (not node or reached[parent[node]]) and density[node] >= threshold
         if reached[node]:
-            content[best[node]] = True
+            content[_whole(best[node], tags, parent)] = True
+    above = set()
+    for node in range(n - 1, 0, -1):
+        if content[node] or node in above:
+            above.add(parent[node])
     for node in range(1, n):
-        content[node] = not outside[node] and (content[node] or content[parent[node]])
+        title = tags[node] == "h1" and parent[node] in above
+        content[node] = not outside[node] and (content[node] or content[parent[node]] or title)
     return content
 
 
+def _whole(node: int, tags: list[str], parent: list[int]) -> int:
+    """The outermost article around an element, or else the main element, or itself."""
+    found, main, at = node, node, node
+    while at:
+        if tags[at] == "article":
+            found = at
+        elif tags[at] == "main" and main == node:
+            main = at
+        at = parent[at]
+    return found if tags[found] == "article" else main
+
+
 def extract(pages: DataFrame, page: str = "html", into: str = "text") -> DataFrame:
     """The rows of `pages` with the main text as column `into`, which replaces one of that name, in place of the markup.
 

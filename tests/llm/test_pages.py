@@ -43,6 +43,17 @@ def test_what_stands_around_the_article_goes(around, tag):
         assert main_text(f"<!DOCTYPE html><html><head><title>T</title></head><body>{page}</body></html>") == want
 
 
+def test_short_sections_and_titles_belong_to_the_article():
+    short = "".join(f"<section><h2>Part {i}</h2><p>Short {i}.</p></section>" for i in range(3))
+    long = f"<section><h2>Long</h2><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></section>"
+    want = "\n\n".join(["Title", *(x for i in range(3) for x in (f"Part {i}", f"Short {i}.")), "Long", LONG, LONG, LONG])
+    for tag in ("article", "main"):
+        page = f"<body><{tag}><h1>Title</h1>{short}{long}</{tag}><div>Some line.</div></body>"
+        assert main_text(page) == want
+    page = f"<body><div class=wrap><h1>Title</h1><div class=text><p>{LONG}</p><p>{LONG}</p></div></div><p>x</p></body>"
+    assert main_text(page) == f"Title\n\n{LONG}\n\n{LONG}"
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("   ", ""), ("no tags", "no tags"), ("<p>a<p>b", "a\n\nb"), ("a<br>b", "a b"),
     ("<p>a <b>b<i> c</b></i>\n d</p>", "a b c d"), ("<p>x &amp; y &#233;&nbsp;z &copy 1</p>", "x & y é z © 1"),
