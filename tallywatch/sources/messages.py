@@ -28,7 +28,9 @@ def read_messages(spark: SparkSession, fmt: str = "text", path: str | None = Non
 
 
 def parse(messages: DataFrame, schema: T.StructType = ENVELOPE, *kept: str) -> DataFrame:
-    """JSON to columns, beside the columns of the message named in `kept`. A bad document gives NULLs and a bad field gives one NULL; neither fails the job.
+    """JSON to columns, beside the columns of the message named in `kept`.
+
+    A bad document gives NULLs and a bad field gives one NULL; neither fails the job.
 
     The document goes through a one-element explode: filters on its fields then stay above it, where pushed
     below a plain projection each of them would parse the text once more.

@@ -19,9 +19,10 @@ def test_stream_train_score_report(spark, tmp_path, capsys):
     ]
     odd = tmp_path / "odd"
     odd.mkdir()
-    (odd / "1.json").write_text("\n".join(["junk", json.dumps({"source": "la"}), json.dumps({"source": "x", "timestamp": 1}), lines[0]]) + "\n")
-    main(["stream", "--messages", "text", "--path", str(odd), "--out", f"{tmp_path}/odd-out", "--checkpoint", f"{tmp_path}/odd-cp",
-          "--once"])
+    unusable = ["junk", json.dumps({"source": "la"}), json.dumps({"source": "x", "timestamp": 1})]
+    (odd / "1.json").write_text("\n".join([*unusable, lines[0]]) + "\n")
+    main(["stream", "--messages", "text", "--path", str(odd), "--out", f"{tmp_path}/odd-out",
+          "--checkpoint", f"{tmp_path}/odd-cp", "--once"])
     aside = spark.read.parquet(f"{tmp_path}/odd-out/quarantine")
     assert {(r["reason"], r["message"]) for r in aside.collect()} == {
         ("event time", '{"source": "la"}'), ("source", "junk"), ("source", '{"source": "x", "timestamp": 1}')}

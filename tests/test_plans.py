@@ -1,6 +1,5 @@
 """Shapes of the physical plans that scale depends on."""
 
-import re
 from datetime import date, datetime
 from types import SimpleNamespace
 
