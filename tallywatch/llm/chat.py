@@ -177,7 +177,10 @@ def _runs(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[dict[str, list
         columns = {name: batch[name].to_pylist() for name in batch.schema.names}
         begin, values = 0, columns[by]
         for at in range(batch.num_rows + 1):
-            if at == batch.num_rows or held and values[at] != held[by][0] and at == begin or at > begin and values[at] != values[begin]:
+            ends = at == batch.num_rows
+            if not ends:
+                ends = values[at] != (values[begin] if at > begin else held[by][0] if held else values[at])
+            if ends:
                 if at > begin:
                     for name, column in columns.items():
                         held.setdefault(name, []).extend(column[begin:at])

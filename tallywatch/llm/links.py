@@ -27,7 +27,8 @@ def classes(spark: SparkSession, links: DataFrame) -> DataFrame:
     links = stored(spark, links.filter("a != b").select(low, high).distinct(), "links")
     found = None
     while found is None or not links.isEmpty():
-        ends = links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+        ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = links.select(F.explode(ways).alias("e"))
         ends = ends.groupBy(F.col("e.a").alias("id")).agg(F.min("e.b").alias("near"))
         points = stored(spark, ends.select("id", F.least("id", "near").alias("class")), "points")
         while True:
