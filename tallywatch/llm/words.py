@@ -122,20 +122,21 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bo
 
 
 def window_hashes(hashes: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
-    """Hash of every n consecutive values, by doubling: a window of a + b is the window of a beside that of b."""
+    """Hash of every n consecutive values, by doubling: a window of 2k is the window of k beside the next one of k.
+
+    A plain loop: a function that calls itself would keep the arrays of every call until the garbage collector comes.
+    """
+    single = mix(hashes, salt) if salt else hashes
     step = _STEP + np.uint64(2 * salt)
-    known = {1: (mix(hashes, salt) if salt else hashes, step)}
-
-    def window(k: int) -> tuple[np.ndarray, np.uint64]:
-        if k not in known:
-            a, b = (k + 1) // 2, k // 2
-            (left, p), (right, q) = window(a), window(b)
-            m = max(0, len(hashes) - k + 1)
-            with np.errstate(over="ignore"):
-                known[k] = left[:m] * q + right[a: a + m], p * q
-        return known[k]
-
-    return mix(window(n)[0])
+    value, power, k = single, step, 1
+    with np.errstate(over="ignore"):
+        for bit in bin(n)[3:]:
+            m = max(0, len(hashes) - 2 * k + 1)
+            value, power, k = value[:m] * power + value[k: k + m], power * power, 2 * k
+            if bit == "1":
+                m = max(0, len(hashes) - k)
+                value, power, k = value[:m] * step + single[k: k + m], power * step, k + 1
+    return mix(value)
 
 
 def rows_of(first: np.ndarray) -> np.ndarray:
