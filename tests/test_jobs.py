@@ -35,7 +35,7 @@ def test_stream_train_score_report(spark, tmp_path, capsys):
     assert hourly.groupBy().sum("incident_count").first()[0] == 6 * 98
 
     main(["train", "--hourly", f"{out}/hourly", "--models", str(models)])
-    assert spark.read.parquet(f"{out}/quarantine").collect() == []
+    assert spark.read.schema("message string, reason string").parquet(f"{out}/quarantine").count() == 0
     for _ in range(2):  # scoring again replaces the rows
         main(["score", "--models", str(models), "--hourly", f"{out}/hourly", "--out", f"{out}/scored"])
         scored = spark.read.parquet(f"{out}/scored")

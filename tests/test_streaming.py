@@ -126,7 +126,7 @@ def test_rows_without_event_time_or_source_do_not_count(spark, tmp_path):
     assert closed(spark, out) == [(0, 1)]
 
 
-def test_raw_table_is_one_partition_per_source(spark, tmp_path):
+def test_raw_table_is_partitioned_by_source_and_day(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     land(source, "1.json", message(5), message(6, source="nyc", ofns_desc="x", boro_nm="Q"), message(7, source="z"))
     messages = stream_messages(spark, "text", str(source))
@@ -135,7 +135,8 @@ def test_raw_table_is_one_partition_per_source(spark, tmp_path):
     seen = query.lastProgress.observedMetrics["ingest"]
     assert seen.asDict() == {"total": 2, "uk_police": 0, "chicago": 0, "nyc": 1, "la": 1}
     raw = spark.read.parquet(out)
-    assert len(raw.columns) == 66
+    assert len(raw.columns) == 67
+    assert {str(r["day"]) for r in raw.collect()} == {"2024-01-01"}
     assert sorted((r["source"], r["crime_type"]) for r in raw.collect()) == [("la", "t"), ("nyc", "x")]
     only = raw.filter(F.col("source") == "la")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in only
