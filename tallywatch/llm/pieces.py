@@ -308,15 +308,31 @@ class Pieces:
         lengths[filled] -= 1
         return np.delete(data, begins[filled]), lengths
 
-
-def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
+    def gives_back(self, texts: pa.Array, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Whether decoding gives each text back."""
+        data, offsets = text_buffer(texts)
+        again, sizes = self.decode_slice(ids, counts)
+        same = sizes == np.diff(offsets)
+        ends = np.cumsum(sizes)
+        if same.all() and np.array_equal(data, again):
+            return same
+        for i in np.flatnonzero(same):
+            same[i] = np.array_equal(data[offsets[i]: offsets[i + 1]], again[ends[i] - sizes[i]: ends[i]])
+        return same
+
+
+def encode(
+    docs: DataFrame, path: str, text: str = "text", into: str = "ids", round_trip: str | None = None
+) -> DataFrame:
     """The rows of `docs` with the ids of their texts as column `into` (array of int), which replaces one of that name.
 
-    NULL and empty texts have no ids. Other columns pass unchanged; no shuffle. The file is read on every executor.
+    NULL and empty texts have no ids. Other columns pass unchanged; no shuffle. The file is read on every executor. With
+    `round_trip`, a column of that name says whether decoding the ids gives the text back, NULL being an empty one.
     """
     names, at = docs.columns, docs.columns.index(text)
     numbered = docs.toDF(*(f"c{i}" for i in range(len(names))))
-    schema = T.StructType(numbered.schema.fields + [T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
+    schema = T.StructType(numbered.schema.fields + [
+        T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("same", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = pieces(path)
@@ -325,11 +341,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") ->
                 ids, counts = coder.encode_slice(part.column(at))
                 ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "ids"])
+                same = coder.gives_back(part.column(at), ids, counts) if round_trip else np.ones(len(counts), dtype=bool)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, lists, pa.array(same)], names=[*part.schema.names, "ids", "same"])
 
     coded = numbered.mapInArrow(run, schema)
-    kept = [F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n != into]
-    return coded.select(*kept, F.col("ids").alias(into))
+    kept = [F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n not in (into, round_trip)]
+    added = [F.col("ids").alias(into)] + ([F.col("same").alias(round_trip)] if round_trip else [])
+    return coded.select(*kept, *added)
 
 
 def decode(frame: DataFrame, path: str, ids: str = "ids", into: str = "text") -> DataFrame:

@@ -56,13 +56,9 @@ def op4_rule_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether decoding them gives the text back."""
-    path = vocabulary("piece_bpe_32k.model")
-    coded = pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    again = pieces.decode(coded, path, into="decoded")
-    return again.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
-    )
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.encode(docs, vocabulary("piece_bpe_32k.model"), round_trip="round_trip")
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip")
 
 
 @query(oracles.NEAR_DUPLICATES)
