@@ -16,6 +16,11 @@ bucket of up to NEAREST + 1 nodes these are all pairs. Their number follows that
 tree joins whatever any pair above the same agreement would join. The exact weighted Jaccard similarity of the texts
 decides on each pair. A bucket of more than TOGETHER nodes is sorted by a longer key and taken in that many at a time, and
 each of its nodes is also compared with the bucket's first.
+
+That is a first round. In buckets that it may have left incomplete, nodes outside the bucket's largest class are then held
+against all nodes of the bucket in other classes, in cells of about TOGETHER by TOGETHER nodes. Rounds look at more and more
+partners of a node, nearest first, and go on until every two nodes of a bucket are in one class, or agree too
+little, or were compared by their texts.
 """
 
 from __future__ import annotations
@@ -44,6 +49,10 @@ NEAREST = 4
 TOGETHER = 2048
 # Draws in the longer key.
 FINER = 6
+# Partners per node and cell in the first round after the classes of the trees; grows by this factor from round to round.
+WIDENING = 32
+# Rows of a cell that are compared with its others at once.
+STRIP = 256
 
 COUNTERS = 1 << 18
 BLOCK = 1 << 15
@@ -283,6 +292,61 @@ def _candidates(members: DataFrame, agreement: float, nearest: int) -> DataFrame
     return ordered.mapInArrow(run, pair).distinct()
 
 
+def _apart(members: DataFrame, found: DataFrame, agreement: float, width: int) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket in different classes of `found`, whose draws agree often enough.
+
+    `members` has bucket, id and draws. A node names its `width` nearest partners per cell; `cut` is true in one of its
+    pairs where it has more.
+    """
+    id_type = members.schema["id"].dataType
+    of = members.join(found, "id", "left").select("bucket", "id", "draws", F.coalesce("class", "id").alias("class"))
+    sizes = of.groupBy("bucket", "class").agg(F.count("*").alias("n")).groupBy("bucket").agg(
+        F.max_by("class", F.struct("n", "class")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    sizes = sizes.filter("all > most").select(
+        "bucket", "main", F.ceil(F.col("all") / TOGETHER).alias("columns"),
+        F.ceil((F.col("all") - F.col("most")) / TOGETHER).alias("rows"))
+    # Every node stands in one column of cells, those outside the main class also ask in one row of cells.
+    of = of.join(sizes, "bucket").withColumn("asks", F.col("class") != F.col("main")).withColumn(
+        "column", F.pmod(F.xxhash64("id"), "columns")).withColumn("row", F.pmod(F.xxhash64("id", F.lit(1)), "rows"))
+    down = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1), lambda r: F.struct(
+        F.col("column").alias("x"), r.alias("y"), F.lit(True).alias("stands"), (F.col("asks") & (r == F.col("row"))).alias("asking")))
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("columns") - 1), lambda c: F.col("asks") & (c != F.col("column")))
+    along = F.transform(others, lambda c: F.struct(
+        c.alias("x"), F.col("row").alias("y"), F.lit(False).alias("stands"), F.lit(True).alias("asking")))
+    cells = of.select("bucket", "id", "draws", "class", "asks", F.inline(F.concat(down, along)))
+    kind = to_arrow_type(id_type)
+    schema = pa.schema([("a", kind), ("b", kind), ("cut", pa.bool_())])
+
+    def compare(rows: pa.Table) -> pa.Table:
+        draws = np.frombuffer(b"".join(rows["draws"].to_pylist()), "<u2").reshape(rows.num_rows, -1)
+        least = max(1, int(np.ceil(agreement * draws.shape[1])))
+        ids, key = np.unique(rows["id"].to_numpy(), return_inverse=True)
+        group = np.unique(rows["class"].to_numpy(), return_inverse=True)[1]
+        asks, asking, stands = (rows[c].to_numpy() for c in ("asks", "asking", "stands"))
+        left, right = np.flatnonzero(asking), np.flatnonzero(stands)
+        out = [schema.empty_table()]
+        for at in range(0, len(left), STRIP):
+            some = left[at: at + STRIP]
+            equal = np.zeros((len(some), len(right)), np.int16)
+            for column in draws.T:
+                equal += column[some][:, None] == column[right][None, :]
+            # Of two nodes that both ask, the one with the smaller id does.
+            once = ~asks[right][None, :] | (key[some][:, None] < key[right][None, :])
+            equal[~once | (group[some][:, None] == group[right][None, :])] = 0
+            many = (equal >= least).sum(axis=1) > width
+            for i in np.flatnonzero(many):
+                dropped = np.argpartition(-equal[i], width - 1)[width:]
+                equal[i, dropped] = 0
+            i, j = np.nonzero(equal >= least)
+            a, b = key[some[i]], key[right[j]]
+            out.append(pa.table([pa.array(ids[np.minimum(a, b)], kind), pa.array(ids[np.maximum(a, b)], kind), pa.array(many[i])], schema=schema))
+        return pa.concat_tables(out)
+
+    pairs = cells.groupBy("bucket", "x", "y").applyInArrow(compare, T.StructType([
+        T.StructField("a", id_type), T.StructField("b", id_type), T.StructField("cut", T.BooleanType())]))
+    return pairs.groupBy("a", "b").agg(F.max("cut").alias("cut"))
+
+
 def similarities(left: pa.Array, right: pa.Array, weights: Weights) -> np.ndarray:
     """Weighted Jaccard similarity of the texts of two columns, row by row; 0 where both have no words."""
     sides = []
@@ -334,10 +398,29 @@ def near_duplicates(
     shared = nodes.select("id", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
         F.count("*").alias("size"), F.min("id").alias("first")).filter("size > 1")
     centre = F.when(F.col("size") > TOGETHER, F.col("first"))
-    members = members.join(shared, "bucket").select("bucket", "finer", "id", "draws", centre.alias("centre"))
-    pairs = stored(spark, _candidates(stored(spark, members, "members"), agreement, nearest), "pairs")
-    links = _similar(pairs, docs, weights, similarity)
+    members = members.join(shared, "bucket").select("bucket", "finer", "id", "draws", "size", centre.alias("centre"))
     same = sketch.join(nodes.select("k1", "k2", F.col("id").alias("node")), ["k1", "k2"]).select("id", "node")
     versions = same.filter("id != node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    found = classes(spark, links.union(versions))
+    found = _classes(spark, docs, stored(spark, members, "members"), versions, weights, similarity, agreement, nearest)
     return docs.select("id").join(found, "id", "left").select("id", F.coalesce("class", "id").alias("class"))
+
+
+def _classes(
+    spark: SparkSession, docs: DataFrame, members: DataFrame, versions: DataFrame, weights: Weights,
+    similarity: float, agreement: float, nearest: int,
+) -> DataFrame:
+    """(id, class) by `versions` and by the links (a, b) that connect every two similar nodes of a bucket."""
+    pairs = stored(spark, _candidates(members, agreement, nearest), "pairs")
+    tested = pairs
+    found = classes(spark, _similar(pairs, docs, weights, similarity).union(versions))
+    unsure, width, more = members.filter(F.col("size") > TOGETHER), WIDENING, True
+    while more:
+        apart = stored(spark, _apart(unsure, found, agreement, width), "apart")
+        more = not apart.filter("cut").isEmpty()
+        pairs = stored(spark, apart.select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
+        links = stored(spark, _similar(pairs, docs, weights, similarity), "similar")
+        if not links.isEmpty():
+            found = classes(spark, found.select(F.col("id").alias("a"), F.col("class").alias("b")).union(links))
+        tested = tested.union(pairs)
+        width *= WIDENING
+    return found

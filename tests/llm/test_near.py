@@ -159,3 +159,17 @@ def test_odd_rows(spark, frame, odd_pairs):
         (None, None), (1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (6, 6), (7, 7), (8, 4)}
     assert near.near_duplicates(spark, frame([])).count() == 0
     assert found(spark, frame([(1, "one two"), (2, "one two"), (3, "one  two "), (4, "two one")])) == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def around_the_limit(seed):
+    """A group of 30 near copies whose similarities lie around 0.8, and enough other texts that its shingles are rare."""
+    rng = random.Random(seed)
+    base = [f"b{rng.randrange(10 ** 6)}" for _ in range(230)]
+    return [(i, changed(base, 3, rng)) for i in range(30)] + [
+        (1000 + i, " ".join(f"c{i}x{k}" for k in range(6))) for i in range(300)]
+
+
+def test_similar_nodes_of_a_large_bucket_meet_wherever_it_is_cut(spark, frame, monkeypatch):
+    monkeypatch.setattr(near, "TOGETHER", 4)
+    pairs = around_the_limit(2)
+    assert found(spark, frame(pairs)) == expected(pairs)
