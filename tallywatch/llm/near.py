@@ -11,9 +11,9 @@ the same with a probability equal to their weighted Jaccard similarity. Bands of
 Documents with the same words are one node from the start.
 
 In each bucket all nodes are compared by the agreement of their draws, in the memory of one task, and what leaves it are
-the pairs that can matter for classes: a spanning tree of greatest agreement, and each node's NEAREST partners. In a
-bucket of up to NEAREST + 1 nodes these are all pairs. Their number follows that of the nodes, not its square, and the
-tree joins whatever any pair above the same agreement would join. The exact weighted Jaccard similarity of the texts
+a spanning tree of greatest agreement and each node's NEAREST partners. In a bucket of up to NEAREST + 1 nodes these are
+all pairs. Their number follows that of the nodes, not its square, and the
+tree joins whatever any pair above the same agreement would join, but for pairs whose texts are less similar. The exact weighted Jaccard similarity of the texts
 decides on each pair. A bucket of more than TOGETHER nodes is sorted by a longer key and taken in that many at a time, and
 each of its nodes is also compared with the bucket's first.
 
@@ -413,7 +413,7 @@ def _classes(
     pairs = stored(spark, _candidates(members, agreement, nearest), "pairs")
     tested = pairs
     found = classes(spark, _similar(pairs, docs, weights, similarity).union(versions))
-    unsure, width, more = members.filter(F.col("size") > TOGETHER), WIDENING, True
+    unsure, width, more = members.filter(F.col("size") > nearest + 1), WIDENING, True
     while more:
         apart = stored(spark, _apart(unsure, found, agreement, width), "apart")
         more = not apart.filter("cut").isEmpty()

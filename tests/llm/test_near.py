@@ -173,3 +173,8 @@ def test_similar_nodes_of_a_large_bucket_meet_wherever_it_is_cut(spark, frame, m
     monkeypatch.setattr(near, "TOGETHER", 4)
     pairs = around_the_limit(2)
     assert found(spark, frame(pairs)) == expected(pairs)
+
+
+def test_links_outside_the_trees_and_nearest_partners_are_found(spark, frame):
+    pairs = around_the_limit(2)
+    assert found(spark, frame(pairs)) == expected(pairs)
