@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallywatch.llm.near import COMMON, SHINGLE, SIMILARITY
 from tallywatch.llm.repeats import LENGTH
+from tallywatch.llm.secrets import BASE_RULES, RULES, Rule
 
 WORDS = """words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents)"""
@@ -45,3 +46,28 @@ reached(doc_id, other) AS (
   SELECT a, b FROM ways UNION SELECT r.doc_id, e.b FROM reached r JOIN ways e ON e.a = r.other)
 SELECT d.doc_id, least(d.doc_id, min(r.other)) AS class_id
 FROM documents d LEFT JOIN reached r USING (doc_id) GROUP BY d.doc_id"""
+
+
+def _spans(place: int, rule: Rule) -> str:
+    """Counting matches of a rule as (doc_id, kind, place, start, stop)."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""SELECT doc_id, '{rule.name}' AS kind, {place} AS place, stop - size AS start, stop
+  FROM (SELECT doc_id, length(m) AS size, length(regexp_extract(m, '{pattern}', {rule.part})) AS counted,
+               sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS stop
+        FROM (SELECT doc_id, unnest(found) AS m, unnest(string_split_regex(text, '{pattern}')[1:len(found)]) AS gap,
+                     unnest(range(len(found))) AS i
+              FROM (SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS found FROM texts)))
+  WHERE counted >= {rule.least}"""
+
+
+_LISTED = "coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place){}, '')"
+
+SECRETS = f"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({" UNION ALL ".join(_spans(i, r) for i, r in enumerate(RULES))}),
+summed AS (
+  SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE kind = '{r.name}') AS n_{r.name}" for r in BASE_RULES)},
+         {_LISTED.format(f" FILTER (WHERE place < {len(BASE_RULES)})")} AS base, {_LISTED.format("")} AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.name}, 0) AS n_{r.name}" for r in BASE_RULES)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN summed USING (doc_id)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import chat, near, oracles, pages, pieces, repeats, rules
+from tallywatch.llm import chat, near, oracles, pages, pieces, repeats, rules, secrets
 from tallywatch.llm.decontaminate import leaks
 from tallywatch.llm.licenses import find_licenses
 from tallywatch.llm.registry import ORACLES, QUERIES, query, read
@@ -95,4 +95,15 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses named or quoted in documents."""
     return find_licenses(read(spark, sf_dir, "documents"))
 
+
+@query(oracles.SECRETS)
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document, by a ledger that starts empty."""
+    found = secrets.scan(spark, read(spark, sf_dir, "documents"), new_folder(spark, "ledger"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id", *(secrets.number_of(spans, r).alias(f"n_{r.name}") for r in secrets.BASE_RULES),
+        F.sha2(secrets.listed(spans, secrets.BASE_RULES), 256).alias("base_sha256"),
+        secrets.listed(spans, secrets.RULES).alias("spans"))
+
 __all__ = ["ORACLES", "QUERIES"]
