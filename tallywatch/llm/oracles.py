@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallywatch.llm.divergence import LEAST_DOCUMENTS, SMOOTHING, TOP
 from tallywatch.llm.near import COMMON, SHINGLE, SIMILARITY
 from tallywatch.llm.repeats import LENGTH
 from tallywatch.llm.secrets import BASE_RULES, RULES, Rule
@@ -71,3 +72,35 @@ summed AS (
 SELECT doc_id, {", ".join(f"coalesce(n_{r.name}, 0) AS n_{r.name}" for r in BASE_RULES)},
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM texts LEFT JOIN summed USING (doc_id)"""
+
+
+def _share(count: str, total: str) -> str:
+    return f"(1 + 1000000000::HUGEINT * ({count} + {SMOOTHING}) // ({total} + {SMOOTHING} * terms))::BIGINT"
+
+
+DIVERGENCE = f"""WITH rows AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents),
+found AS (
+  SELECT r, lang, source, translate(m, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS m FROM rows)),
+counted AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM found GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::BIGINT AS lang_n FROM counted GROUP BY ALL HAVING sum(docs) >= {LEAST_DOCUMENTS}),
+langs AS (SELECT lang, count(*) AS terms, sum(lang_n)::BIGINT AS lang_total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM rows),
+dense AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, lang_n, terms, lang_total, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total
+  FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN counted USING (lang, source, term)),
+shares AS (SELECT *, {_share("n", "total")} AS p, {_share("lang_n", "lang_total")} AS q FROM dense),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart c ON c.lang = a.lang AND c.source = a.source AND c.item = b.source),
+ahead AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM shares WHERE n > 0 AND p > q)
+SELECT * FROM (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM ahead))
+WHERE part = 'pair' OR rank <= {TOP}"""

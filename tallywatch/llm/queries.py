@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.llm import chat, near, oracles, pages, pieces, repeats, rules, secrets
 from tallywatch.llm.decontaminate import leaks
+from tallywatch.llm.divergence import divergence
 from tallywatch.llm.licenses import find_licenses
 from tallywatch.llm.registry import ORACLES, QUERIES, query, read
 from tallywatch.llm.token_counts import count_tokens
@@ -106,4 +107,10 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.listed(spans, secrets.BASE_RULES), 256).alias("base_sha256"),
         secrets.listed(spans, secrets.RULES).alias("spans"))
 
+
+@query(oracles.DIVERGENCE)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms that set a source apart."""
+    return divergence(spark, read(spark, sf_dir, "documents"))
+
 __all__ = ["ORACLES", "QUERIES"]
