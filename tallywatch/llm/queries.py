@@ -9,6 +9,7 @@ from tallywatch.llm import chat, near, oracles, pages, pieces, repeats, rules, s
 from tallywatch.llm.decontaminate import leaks
 from tallywatch.llm.divergence import divergence
 from tallywatch.llm.licenses import find_licenses
+from tallywatch.llm.negatives import mine
 from tallywatch.llm.registry import ORACLES, QUERIES, query, read
 from tallywatch.llm.token_counts import count_tokens
 from tallywatch.llm.token_files import read_documents, write_token_files
@@ -113,4 +114,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances between the sources of each language, and the terms that set a source apart."""
     return divergence(spark, read(spark, sf_dir, "documents"))
 
+
+@query(oracles.NEGATIVES)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score nearly as high as each positive of each anchor."""
+    return mine(spark, read(spark, sf_dir, "embeddings"))
+
 __all__ = ["ORACLES", "QUERIES"]
