@@ -11,15 +11,17 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywatch.functions.incidents import crime_type, is_from, place_name
 from tallywatch.functions.times import instant
 from tallywatch.queries import sql, views
 from tallywatch.queries.registry import query
-from tallywatch.schema import CHICAGO, ENVELOPE, LA, NYC, UK, Source
-from tallywatch.session import new_folder
+from tallywatch.schema import CHICAGO, ENVELOPE, LA, NYC, SOURCES, UK, Source
+from tallywatch.session import new_folder, remove_folder
 from tallywatch.sinks.messages import to_messages
-from tallywatch.sources.messages import stream_messages
+from tallywatch.sources.messages import parse, read_messages, stream_messages
 from tallywatch.sources.tables import read_table
 from tallywatch.streaming import jobs
+from tallywatch.streaming.polling import start_poll_stream
 
 CUT = datetime(2024, 1, 16)
 HELD_TYPE = "purchase"
@@ -139,3 +141,36 @@ def stream_late_data(spark, sf_dir):
     held = F.coalesce(kind == HELD_TYPE, F.lit(False))
     polls = [_messages_where(spark, sf_dir, condition) for condition in (early & ~held, early & held, ~early)]
     return _hourly(spark, polls)
+
+
+POLLS = (datetime(2024, 1, 16), datetime(2024, 1, 19), datetime(2024, 1, 31))
+
+
+@query(f"""WITH {sql.POINTS}, {sql.ROUTED}, landed AS (
+  SELECT routed.*, city, CASE WHEN event_time >= TIMESTAMP '2024-01-16' THEN 2 WHEN crime_type = '{HELD_TYPE}' THEN 1 ELSE 0 END AS part
+  FROM routed JOIN points USING (event_id) LEFT JOIN cities USING (lat, lng)),
+polls(part, polled_at) AS (VALUES {", ".join(f"({i}, TIMESTAMP '{at}')" for i, at in enumerate(POLLS))})
+SELECT source, CAST(event_id AS VARCHAR) AS record_id, polled_at, crime_type,
+       CASE WHEN source = 'uk_police' THEN city ELSE location_name END AS location_name
+FROM landed JOIN polls USING (part)
+WHERE CASE WHEN source = 'uk_police' THEN city IS NOT NULL
+           ELSE date_trunc('millisecond', ts) > polled_at - INTERVAL 7 DAY END""")
+def poll_stream(spark, sf_dir):
+    """Three polls, before each of which more has landed, of days that an earlier poll has read, too. The second one fails
+    after its sink has written and before Spark has noted that, and is repeated days later, when more has landed."""
+    folder, out, checkpoint = (new_folder(spark, label) for label in ("landing", "polled", "checkpoint"))
+    happened = F.timestamp_seconds(views.epoch()).cast("timestamp_ntz")
+    early, held = happened < instant(CUT), F.col("event_type") == HELD_TYPE
+    for number, (at, part) in enumerate(zip(POLLS, (early & ~held, early & held, ~early))):
+        views.land_events(spark, sf_dir, folder, part)
+        # A run that finds a batch without its commit repeats it and does no more.
+        for _ in range(2 if number == 2 else 1):
+            start_poll_stream(spark, folder, checkpoint, fmt="text", path=out, as_of=at, trigger=jobs.ONCE).awaitTermination()
+        if number == 1:
+            remove_folder(spark, f"{checkpoint}/commits/{number}")
+            remove_folder(spark, f"{out}/_spark_metadata/{number}")
+    sent = parse(read_messages(spark, "text", out), ENVELOPE)
+    record_id = F.coalesce(*(F.when(is_from(s), F.col(s.id_field)) for s in SOURCES))
+    return sent.select(
+        "source", record_id.alias("record_id"), F.timestamp_seconds("timestamp").alias("polled_at"),
+        crime_type().alias("crime_type"), place_name().alias("location_name"))

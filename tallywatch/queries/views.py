@@ -51,8 +51,8 @@ def coordinates(user_id: str) -> tuple[Column, Column]:
     )
 
 
-def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events under the field names of their agency. to_json leaves out what is NULL."""
+def source_records(spark: SparkSession, sf_dir: str, some: DataFrame | None = None) -> DataFrame:
+    """Events, or some of them, under the field names of their agency. to_json leaves out what is NULL."""
     known = F.col("source") != "other"
     of = {s.name: F.col("source") == s.name for s in SOURCES}
     own_fields = {}
@@ -66,7 +66,7 @@ def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     latitude = F.col("value").cast("decimal(18,2)").cast("string").alias("latitude")
     location = F.when(of["uk_police"] | of["chicago"], F.struct(latitude, street.alias("street")))
     return (
-        events(spark, sf_dir)
+        (events(spark, sf_dir) if some is None else some)
         .withColumn("source", source())
         .select("source", epoch().alias("timestamp"), location.alias("location"),
                 *[column.alias(name) for name, column in own_fields.items()])
@@ -125,19 +125,34 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_landing(documents: DataFrame, path: str, *folders: str) -> None:
     """Write documents below one folder per value. Ranges of equal size that end in the text itself give each
     task few folders to write to and share a folder that holds much among several tasks."""
-    documents.repartitionByRange(*folders, "value").write.partitionBy(*folders).text(path)
+    documents.repartitionByRange(*folders, "value").write.mode("append").partitionBy(*folders).text(path)
 
 
-def landing(spark: SparkSession, sf_dir: str) -> str:
-    """Landing folder with the raw messages of each source, by day."""
-    folder = new_folder(spark, "landing")
-    records = source_records(spark, sf_dir)
+def land(records: DataFrame, folder: str) -> None:
+    """Write records of source_records into a landing folder, by source and day."""
     body = F.struct(*[name for name in records.columns if name != "source"])
     day = F.timestamp_seconds("timestamp").cast("date")
     write_landing(records.select(F.to_json(body).alias("value"), "source", day.alias("day")), folder, "source", "day")
+
+
+def landing(spark: SparkSession, sf_dir: str) -> str:
+    """Landing folder with the raw messages of each source, by day."""
+    folder = new_folder(spark, "landing")
+    land(source_records(spark, sf_dir), folder)
     return folder
 
 
+def land_events(spark: SparkSession, sf_dir: str, folder: str, condition: Column) -> None:
+    """Land the events of a condition: those of the UK as records of the month before, at the place they were polled at."""
+    some = events(spark, sf_dir).filter(condition)
+    land(source_records(spark, sf_dir, some).filter(F.col("source") != UK.name), folder)
+    lat, lng = coordinates("user_id")
+    document = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("category")))
+    month = F.date_format(F.add_months("ts", -1), MONTH_KEY)
+    uk = some.filter(source() == UK.name).select(document.alias("value"), lat.alias("lat"), lng.alias("lng"), month.alias("month"))
+    write_landing(uk, f"{folder}/source={UK.name}", "lat", "lng", "month")
+
+
 def uk_landing(spark: SparkSession, sf_dir: str) -> str:
     """Landing folder in which every order is a UK record, by the place it was polled at and by month."""
     folder = new_folder(spark, "landing-uk")

@@ -1,15 +1,19 @@
-"""Polls at a steady interval."""
+"""Polls at a steady interval: of everything recent, or as a stream of what has landed since the last poll."""
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Callable
 from datetime import datetime, timezone
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallywatch.plans.ingest import poll
+from tallywatch.schema import TOPIC
+from tallywatch.sinks.messages import to_messages
+from tallywatch.sources.polls import stream_polls
 
 EVERY = "1 hour"
 
@@ -38,3 +42,20 @@ def start_polling(
     ticks = spark.readStream.format("rate").load()
     writer = ticks.writeStream.foreachBatch(one_poll).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=every).start()
+
+
+def start_poll_stream(
+    spark: SparkSession, landing: str, checkpoint: str, every: str = EVERY, fmt: str = "kafka", path: str | None = None,
+    as_of: datetime | None = None, trigger: dict[str, Any] | None = None, **options: str,
+) -> StreamingQuery:
+    """Publish what has landed since the last poll, once per interval.
+
+    A record is sent by the poll after its landing and by no other, and a batch that Spark repeats after a failure sends
+    the same messages. A folder of text files leaves the files of unfinished batches out when Spark reads it;
+    a topic may hold messages of both attempts.
+    """
+    records = to_messages(stream_polls(spark, landing, as_of))
+    writer = records.writeStream.format(fmt).option("checkpointLocation", checkpoint)
+    writer = writer.options(**({"topic": TOPIC, **options} if fmt == "kafka" else options))
+    writer = writer.trigger(**(trigger or {"processingTime": every}))
+    return writer.start(path) if path else writer.start()
