@@ -75,14 +75,15 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
         return None
 
 
-def unseen(blobs: DataFrame, known: DataFrame | None, rules: Sequence[Rule]) -> DataFrame:
+def all_rules(rules: Sequence[Rule]) -> Column:
+    return F.array(*(F.lit(r.key) for r in rules))
+
+
+def unseen(blobs: DataFrame, known: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(blob, todo): per distinct blob the keys of the rules that have not been run over it, if there are any."""
-    wanted = F.array(*(F.lit(r.key) for r in rules))
-    distinct = blobs.select("blob").distinct()
-    if known is None:
-        return distinct.withColumn("todo", wanted)
     done = known.groupBy("blob").agg(F.flatten(F.collect_list("rules")).alias("done"))
-    left = F.array_except(wanted, F.coalesce("done", F.array().cast("array<string>")))
+    left = F.array_except(all_rules(rules), F.coalesce("done", F.array().cast("array<string>")))
+    distinct = blobs.select("blob").distinct()
     return distinct.join(done, "blob", "left").select("blob", left.alias("todo")).filter(F.size("todo") > 0)
 
 
@@ -133,11 +134,12 @@ def scan(
     columns = addressed(versions, key, text)
     paths = stored(spark, columns.select(*(F.col(k).alias(f"key_{i}") for i, k in enumerate(key)), "blob"), "paths")
     known = read_ledger(spark, ledger)
-    todo = stored(spark, unseen(paths, known, rules), "unseen")
     texts = columns.select("blob", "text")
-    if known is not None:
-        texts = texts.join(todo.select("blob"), "blob", "left_semi")
-    texts = texts.groupBy("blob").agg(F.first("text").alias("text")).join(todo, "blob")
+    if known is None:
+        texts = texts.withColumn("todo", all_rules(rules))
+    else:
+        texts = texts.join(stored(spark, unseen(paths, known, rules), "unseen"), "blob")
+    texts = texts.groupBy("blob").agg(F.first("text").alias("text"), F.first("todo").alias("todo"))
     spans_of(texts, rules).write.mode("append").parquet(ledger)
     return joined_back(paths, read_ledger(spark, ledger), rules).withColumnsRenamed(
         {f"key_{i}": k for i, k in enumerate(key)})
@@ -155,7 +157,7 @@ def joined_back(paths: DataFrame, ledger: DataFrame, rules: Sequence[Rule]) -> D
 
 def listed(spans: Column, rules: Sequence[Rule]) -> Column:
     """kind:start:end of those spans that the rules found, by start and the order of the rules, joined by commas."""
-    keys = F.array(*(F.lit(r.key) for r in rules))
+    keys = all_rules(rules)
     names = F.array(*(F.lit(r.name) for r in rules))
     own = F.filter(spans, lambda s: F.array_contains(keys, s["rule"]))
     placed = F.array_sort(F.transform(own, lambda s: F.struct(s["start"], F.array_position(keys, s["rule"]).alias("at"), s["end"])))
