@@ -36,7 +36,7 @@ TOP = 50
 BLOCK_TERMS = 1 << 20
 HELD_TERMS = 1 << 19
 # Cells of a block of terms by sources.
-CELLS = 1 << 21
+CELLS = 1 << 18
 
 BETWEEN = np.ones(256, dtype=bool)
 BETWEEN[0x41:0x5B] = BETWEEN[0x61:0x7B] = BETWEEN[0x80:] = False
