@@ -17,10 +17,11 @@ tree joins whatever any pair above the same agreement would join, but for pairs
 decides on each pair. A bucket of more than TOGETHER nodes is sorted by a longer key and taken in that many at a time, and
 each of its nodes is also compared with the bucket's first.
 
-That is a first round. In buckets that it may have left incomplete, nodes outside the bucket's largest class are then held
-against all nodes of the bucket in other classes, in cells of about TOGETHER by TOGETHER nodes. Rounds look at more and more
-partners of a node, nearest first, and go on until every two nodes of a bucket are in one class, or agree too
-little, or were compared by their texts.
+That is a first round. In buckets whose nodes are in several classes after it, nodes outside the bucket's largest class are
+then held against all nodes of the bucket in other classes, in cells of about TOGETHER by TOGETHER nodes. A cell
+holds the shingles of its nodes, computes the similarity of every pair whose draws agree often enough and whose total
+weights allow it, and sends on only links that join two classes: fewer than it has nodes, however many pairs it looked at.
+After it every two nodes of a bucket are in one class, or agree too little, or were compared by their shingles.
 """
 
 from __future__ import annotations
@@ -49,8 +50,9 @@ NEAREST = 4
 TOGETHER = 2048
 # Draws in the longer key.
 FINER = 6
-# Partners per node and cell in the first round after the classes of the trees; grows by this factor from round to round.
-WIDENING = 32
+# Shingles in a cell, beside its number of nodes, and distinct ones in a matrix.
+CELL_SHINGLES = 1 << 21
+COLUMNS = 2048
 # Rows of a cell that are compared with its others at once.
 STRIP = 256
 
@@ -192,12 +194,12 @@ def common_shingles(docs: DataFrame, common: float = COMMON) -> Weights:
 
 
 def sketches(docs: DataFrame, weights: Weights, bands: int = BANDS, per_band: int = DRAWS_PER_BAND) -> DataFrame:
-    """Per document with words: id, two hashes of its words, its draws (two bytes each), and per band the bucket and a
+    """Per document with words: id, two hashes of its words, its draws (two bytes each), its number of shingles, and per band the bucket and a
     longer key that starts with the same draws."""
     draws = bands * per_band
     schema = T.StructType([
         docs.schema["id"], T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
-        T.StructField("draws", T.BinaryType()), T.StructField("buckets", T.ArrayType(T.LongType(), False)),
+        T.StructField("draws", T.BinaryType()), T.StructField("shingles", T.LongType()), T.StructField("buckets", T.ArrayType(T.LongType(), False)),
         T.StructField("finer", T.ArrayType(T.LongType(), False)),
     ])
 
@@ -221,9 +223,10 @@ def sketches(docs: DataFrame, weights: Weights, bands: int = BANDS, per_band: in
                 yield pa.RecordBatch.from_arrays([
                     part["id"].take(pa.array(some)), pa.array(signed(k1[some])), pa.array(signed(k2[some])),
                     pa.array([short[i: i + 2 * draws] for i in range(0, len(short), 2 * draws)], pa.binary()),
+                    pa.array(np.diff(bounds)[some]),
                     pa.ListArray.from_arrays(ends, pa.array(signed(buckets.ravel()))),
                     pa.ListArray.from_arrays(ends, pa.array(signed(finer.ravel()))),
-                ], names=["id", "k1", "k2", "draws", "buckets", "finer"])
+                ], names=["id", "k1", "k2", "draws", "shingles", "buckets", "finer"])
 
     return docs.mapInArrow(run, schema)
 
@@ -292,59 +295,139 @@ def _candidates(members: DataFrame, agreement: float, nearest: int) -> DataFrame
     return ordered.mapInArrow(run, pair).distinct()
 
 
-def _apart(members: DataFrame, found: DataFrame, agreement: float, width: int) -> DataFrame:
-    """Pairs (a, b) of nodes of one bucket in different classes of `found`, whose draws agree often enough.
+def _payloads(texts: DataFrame, *kept: str) -> DataFrame:
+    """The shingles of `text` as keys (eight bytes each) and counts (four bytes each), beside the columns kept."""
+    schema = T.StructType([*(texts.schema[c] for c in kept), T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
-    `members` has bucket, id and draws. A node names its `width` nearest partners per cell; `cut` is true in one of its
-    pairs where it has more.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                keys, counts, bounds, *_ = shingles(part["text"])
+                small = counts.astype("<u4")
+                ends = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+                yield pa.RecordBatch.from_arrays([
+                    *(part[c] for c in kept), pa.array([keys[a:b].tobytes() for a, b in ends], pa.binary()),
+                    pa.array([small[a:b].tobytes() for a, b in ends], pa.binary())], names=schema.names)
+
+    return texts.mapInArrow(run, schema)
+
+
+class Profiles:
+    """Weighted shingles of the nodes of a cell. A shingle that a node has n times is n entries of one idf each, so that
+    the smaller of two weights is the sum over the entries that both nodes have."""
+
+    def __init__(self, keys: list[bytes], counts: list[bytes], weights: Weights):
+        n = np.array([len(k) // 8 for k in keys])
+        every, times = np.frombuffer(b"".join(keys), "<u8"), np.frombuffer(b"".join(counts), "<u4").astype(np.int64)
+        row = np.repeat(np.repeat(np.arange(len(n)), n), times)
+        level = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        every = np.repeat(every, times)
+        self.weight = weights.of(every)
+        self.total = np.bincount(row, self.weight, len(n))
+        _, column, holders = np.unique(every ^ mix(level.astype(np.uint64), 5), return_inverse=True, return_counts=True)
+        # What one node alone has is in no intersection.
+        shared = holders[column] > 1
+        self.row, self.weight, self.column = row[shared], self.weight[shared], column[shared]
+        self.bounds = np.searchsorted(self.row, np.arange(len(n) + 1))
+
+    def _entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of some rows and the place of their row among these."""
+        sizes = self.bounds[rows + 1] - self.bounds[rows]
+        place = np.repeat(np.arange(len(rows)), sizes)
+        return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.bounds[rows], sizes), place
+
+    def similarity(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard similarity of every row of `left` with every row of `right`."""
+        shared = np.zeros((len(left), len(right)))
+        (a, a_place), (b, b_place) = self._entries(left), self._entries(right)
+        columns = np.intersect1d(self.column[a], self.column[b])
+        for at in range(0, len(columns), COLUMNS):
+            some = columns[at: at + COLUMNS]
+            sides = []
+            for entries, place, n in ((a, a_place, len(left)), (b, b_place, len(right))):
+                where = np.minimum(np.searchsorted(some, self.column[entries]), len(some) - 1)
+                own = some[where] == self.column[entries]
+                side = np.zeros((n, len(some)))
+                side[place[own], where[own]] = self.weight[entries[own]] if entries is a else 1
+                sides.append(side)
+            shared += sides[0] @ sides[1].T
+        total = self.total[left][:, None] + self.total[right][None, :] - shared
+        return np.divide(shared, total, out=np.zeros(shared.shape), where=total > 0)
+
+
+def _joining(
+    spark: SparkSession, members: DataFrame, nodes: DataFrame, texts: DataFrame, found: DataFrame, weights: Weights,
+    similarity: float, agreement: float,
+) -> DataFrame:
+    """Links (a, b) that join all similar nodes of a bucket which `found` leaves in different classes.
+
+    `members` has bucket, id and the number of shingles, `nodes` id, draws and buckets.
     """
     id_type = members.schema["id"].dataType
-    of = members.join(found, "id", "left").select("bucket", "id", "draws", F.coalesce("class", "id").alias("class"))
-    sizes = of.groupBy("bucket", "class").agg(F.count("*").alias("n")).groupBy("bucket").agg(
-        F.max_by("class", F.struct("n", "class")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    of = members.join(found, "id", "left").select("bucket", "id", "shingles", F.coalesce("class", "id").alias("class"))
+    sizes = of.groupBy("bucket", "class").agg(F.count("*").alias("n"), F.sum("shingles").alias("s")).groupBy("bucket").agg(
+        F.max_by("class", F.struct("n", "class")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"), F.sum("s").alias("s"))
+    per_cell = F.greatest(F.lit(1), F.least(F.lit(TOGETHER), F.floor(F.lit(CELL_SHINGLES) / F.greatest(F.lit(1), F.col("s") / F.col("all")))))
     sizes = sizes.filter("all > most").select(
-        "bucket", "main", F.ceil(F.col("all") / TOGETHER).alias("columns"),
-        F.ceil((F.col("all") - F.col("most")) / TOGETHER).alias("rows"))
+        "bucket", "main", F.ceil(F.col("all") / per_cell).alias("columns"),
+        F.ceil((F.col("all") - F.col("most")) / per_cell).alias("rows"))
     # Every node stands in one column of cells, those outside the main class also ask in one row of cells.
     of = of.join(sizes, "bucket").withColumn("asks", F.col("class") != F.col("main")).withColumn(
         "column", F.pmod(F.xxhash64("id"), "columns")).withColumn("row", F.pmod(F.xxhash64("id", F.lit(1)), "rows"))
+    of = stored(spark, of, "unsure")
     down = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1), lambda r: F.struct(
         F.col("column").alias("x"), r.alias("y"), F.lit(True).alias("stands"), (F.col("asks") & (r == F.col("row"))).alias("asking")))
     others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("columns") - 1), lambda c: F.col("asks") & (c != F.col("column")))
     along = F.transform(others, lambda c: F.struct(
         c.alias("x"), F.col("row").alias("y"), F.lit(False).alias("stands"), F.lit(True).alias("asking")))
-    cells = of.select("bucket", "id", "draws", "class", "asks", F.inline(F.concat(down, along)))
+    cells = of.select("bucket", "id", "class", "asks", F.inline(F.concat(down, along)))
+    own = of.select("id").distinct()
+    profiles = nodes.select("id", "draws", "buckets").join(own, "id").join(_payloads(texts.join(own, "id"), "id"), "id")
+    cells = cells.join(stored(spark, profiles, "profiles"), "id")
     kind = to_arrow_type(id_type)
-    schema = pa.schema([("a", kind), ("b", kind), ("cut", pa.bool_())])
+    schema = pa.schema([("a", kind), ("b", kind)])
 
     def compare(rows: pa.Table) -> pa.Table:
-        draws = np.frombuffer(b"".join(rows["draws"].to_pylist()), "<u2").reshape(rows.num_rows, -1)
+        n = rows.num_rows
+        draws = np.frombuffer(b"".join(rows["draws"].to_pylist()), "<u2").reshape(n, -1)
+        bands = rows["buckets"].combine_chunks().flatten().to_numpy().reshape(n, -1)
+        earlier = bands[:, : int(np.argmax(bands[0] == rows["bucket"][0].as_py()))]
         least = max(1, int(np.ceil(agreement * draws.shape[1])))
         ids, key = np.unique(rows["id"].to_numpy(), return_inverse=True)
         group = np.unique(rows["class"].to_numpy(), return_inverse=True)[1]
         asks, asking, stands = (rows[c].to_numpy() for c in ("asks", "asking", "stands"))
         left, right = np.flatnonzero(asking), np.flatnonzero(stands)
-        out = [schema.empty_table()]
+        profiles, out = None, []
         for at in range(0, len(left), STRIP):
             some = left[at: at + STRIP]
             equal = np.zeros((len(some), len(right)), np.int16)
             for column in draws.T:
                 equal += column[some][:, None] == column[right][None, :]
-            # Of two nodes that both ask, the one with the smaller id does.
-            once = ~asks[right][None, :] | (key[some][:, None] < key[right][None, :])
-            equal[~once | (group[some][:, None] == group[right][None, :])] = 0
-            many = (equal >= least).sum(axis=1) > width
-            for i in np.flatnonzero(many):
-                dropped = np.argpartition(-equal[i], width - 1)[width:]
-                equal[i, dropped] = 0
-            i, j = np.nonzero(equal >= least)
-            a, b = key[some[i]], key[right[j]]
-            out.append(pa.table([pa.array(ids[np.minimum(a, b)], kind), pa.array(ids[np.maximum(a, b)], kind), pa.array(many[i])], schema=schema))
-        return pa.concat_tables(out)
-
-    pairs = cells.groupBy("bucket", "x", "y").applyInArrow(compare, T.StructType([
-        T.StructField("a", id_type), T.StructField("b", id_type), T.StructField("cut", T.BooleanType())]))
-    return pairs.groupBy("a", "b").agg(F.max("cut").alias("cut"))
+            # Of two nodes that both ask, the one with the smaller id does. Two nodes that share a bucket of an earlier
+            # band are compared there.
+            wanted = (equal >= least) & (~asks[right][None, :] | (key[some][:, None] < key[right][None, :]))
+            wanted &= group[some][:, None] != group[right][None, :]
+            for column in earlier.T:
+                wanted &= column[some][:, None] != column[right][None, :]
+            if not wanted.any():
+                continue
+            profiles = profiles or Profiles(rows["keys"].to_pylist(), rows["counts"].to_pylist(), weights)
+            # A similarity is at most the smaller total weight by the larger.
+            x, y = profiles.total[some][:, None], profiles.total[right][None, :]
+            wanted &= np.minimum(x, y) >= (similarity - 1e-9) * np.maximum(x, y)
+            l, r = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
+            close = (profiles.similarity(some[l], right[r]) >= similarity - 1e-9) & wanted[np.ix_(l, r)]
+            for i, line in zip(some[l], close):
+                near = right[r[line]]
+                near = near[group[near] != group[i]]
+                for first in near[np.unique(group[near], return_index=True)[1]]:
+                    out.append((key[i], key[first]))
+                    group[group == group[first]] = group[i]
+        a, b = (np.array([pair[side] for pair in out], np.int64) for side in (0, 1))
+        return pa.table([pa.array(ids[f(a, b)], kind) for f in (np.minimum, np.maximum)], schema=schema)
+
+    return cells.groupBy("bucket", "x", "y").applyInArrow(compare, T.StructType([
+        T.StructField("a", id_type), T.StructField("b", id_type)])).distinct()
 
 
 def similarities(left: pa.Array, right: pa.Array, weights: Weights) -> np.ndarray:
@@ -365,8 +448,9 @@ def similarities(left: pa.Array, right: pa.Array, weights: Weights) -> np.ndarra
 
 def _similar(pairs: DataFrame, docs: DataFrame, weights: Weights, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
-    texts = docs.select("id", "text").dropna()
-    pairs = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
+    # The first node of a large bucket is `a` in many pairs. Its text comes last, when the rows are large enough for the
+    # adaptive plan to split them.
+    pairs = pairs.join(docs.toDF("b", "tb"), "b").join(docs.toDF("a", "ta"), "a").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -392,35 +476,24 @@ def near_duplicates(
     weights = common_shingles(docs, common)
     sketch = stored(spark, sketches(docs.dropna(subset=["id"]), weights), "sketches")
     nodes = sketch.groupBy("k1", "k2").agg(
-        F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("draws", "buckets", "finer")))
+        F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("draws", "shingles", "buckets", "finer")))
     nodes = stored(spark, nodes, "nodes")
-    members = nodes.select("id", "draws", F.inline(F.arrays_zip("buckets", "finer")).alias("bucket", "finer"))
+    members = nodes.select("id", "draws", "shingles", F.inline(F.arrays_zip("buckets", "finer")).alias("bucket", "finer"))
     shared = nodes.select("id", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
         F.count("*").alias("size"), F.min("id").alias("first")).filter("size > 1")
     centre = F.when(F.col("size") > TOGETHER, F.col("first"))
-    members = members.join(shared, "bucket").select("bucket", "finer", "id", "draws", "size", centre.alias("centre"))
+    members = members.join(shared, "bucket").select(
+        "bucket", "finer", "id", "draws", "shingles", "size", centre.alias("centre"))
+    members = stored(spark, members, "members")
     same = sketch.join(nodes.select("k1", "k2", F.col("id").alias("node")), ["k1", "k2"]).select("id", "node")
     versions = same.filter("id != node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    found = _classes(spark, docs, stored(spark, members, "members"), versions, weights, similarity, agreement, nearest)
-    return docs.select("id").join(found, "id", "left").select("id", F.coalesce("class", "id").alias("class"))
-
+    texts = docs.dropna(subset=["text"]).join(members.select("id").distinct(), "id", "left_semi")
+    texts = stored(spark, texts, "texts")
 
-def _classes(
-    spark: SparkSession, docs: DataFrame, members: DataFrame, versions: DataFrame, weights: Weights,
-    similarity: float, agreement: float, nearest: int,
-) -> DataFrame:
-    """(id, class) by `versions` and by the links (a, b) that connect every two similar nodes of a bucket."""
     pairs = stored(spark, _candidates(members, agreement, nearest), "pairs")
-    tested = pairs
-    found = classes(spark, _similar(pairs, docs, weights, similarity).union(versions))
-    unsure, width, more = members.filter(F.col("size") > nearest + 1), WIDENING, True
-    while more:
-        apart = stored(spark, _apart(unsure, found, agreement, width), "apart")
-        more = not apart.filter("cut").isEmpty()
-        pairs = stored(spark, apart.select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = stored(spark, _similar(pairs, docs, weights, similarity), "similar")
-        if not links.isEmpty():
-            found = classes(spark, found.select(F.col("id").alias("a"), F.col("class").alias("b")).union(links))
-        tested = tested.union(pairs)
-        width *= WIDENING
-    return found
+    found = classes(spark, _similar(pairs, texts, weights, similarity).union(versions))
+    unsure = members.filter(F.col("size") > nearest + 1).select("bucket", "id", "shingles")
+    links = stored(spark, _joining(spark, unsure, nodes, texts, found, weights, similarity, agreement), "links")
+    if not links.isEmpty():
+        found = classes(spark, found.select(F.col("id").alias("a"), F.col("class").alias("b")).union(links))
+    return docs.select("id").join(found, "id", "left").select("id", F.coalesce("class", "id").alias("class"))

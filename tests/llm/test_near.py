@@ -178,3 +178,46 @@ def test_similar_nodes_of_a_large_bucket_meet_wherever_it_is_cut(spark, frame, m
 def test_links_outside_the_trees_and_nearest_partners_are_found(spark, frame):
     pairs = around_the_limit(2)
     assert found(spark, frame(pairs)) == expected(pairs)
+
+
+def test_profiles_give_the_similarity_of_texts():
+    rng = random.Random(8)
+    base = [f"b{rng.randrange(40)}" for _ in range(120)]
+    texts = [changed(base, k % 9, rng) for k in range(40)] + ["", "one two", "a a a a a a a a", "a a a a a a"]
+    keys, counts, bounds, *_ = near.shingles(pa.array(texts))
+    weights = near.Weights(keys[:30].copy(), np.linspace(0.2, 0.9, 30), near.COMMON)
+    parts = [(keys[a:b].tobytes(), counts[a:b].astype("<u4").tobytes()) for a, b in zip(bounds, bounds[1:])]
+    profiles = near.Profiles(*map(list, zip(*parts)), weights)
+    left, right = np.arange(0, len(texts), 3), np.arange(len(texts))[::-1].copy()
+    got = profiles.similarity(left, right)
+    for i, a in enumerate(left):
+        want = near.similarities(pa.array([texts[a]] * len(texts)), pa.array([texts[b] for b in right]), weights)
+        # A node is never held against itself, and what it alone has is left out of intersections.
+        assert np.allclose(got[i][right != a], want[right != a])
+
+
+def cells(spark, pairs, monkeypatch, **sizes):
+    """What the second round is given and what it sends on, with every node in a class of its own."""
+    for name, value in sizes.items():
+        monkeypatch.setattr(near, name, value)
+    docs = spark.createDataFrame(pairs, "id bigint, text string")
+    weights = near.common_shingles(docs)
+    nodes = near.sketches(docs, weights).cache()
+    members = nodes.selectExpr("id", "shingles", "inline(arrays_zip(buckets, finer)) AS (bucket, finer)").select("bucket", "id", "shingles")
+    alone = docs.selectExpr("id", "id AS class")
+    links = near._joining(spark, members, nodes, docs, alone, weights, near.SIMILARITY, near.AGREEMENT)
+    return members.count(), [tuple(r) for r in links.collect()]
+
+
+def test_a_cell_sends_on_fewer_links_than_it_has_nodes(spark, monkeypatch):
+    rng = random.Random(12)
+    base = [f"b{rng.randrange(10 ** 6)}" for _ in range(300)]
+    pairs = [(i, changed(base, 1, rng)) for i in range(400)]
+    n_members, links = cells(spark, pairs, monkeypatch)
+    assert len(links) < n_members
+    got = {r.id: r["class"] for r in classes(spark, spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == expected(pairs)
+    n_members, links = cells(spark, around_the_limit(2), monkeypatch, TOGETHER=7, CELL_SHINGLES=3000, COLUMNS=50, STRIP=3)
+    want = expected(around_the_limit(2))
+    got = {r.id: r["class"] for r in classes(spark, spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert {**{i: i for i in want}, **got} == want
