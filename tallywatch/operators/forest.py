@@ -81,19 +81,15 @@ def depth_limit(per_tree: int) -> int:
     return math.ceil(math.log2(max(per_tree, 2)))
 
 
-def draw_samples(
-    counts: DataFrame, n_rows: int, trees: int, per_tree: int, seed: int,
-    key: Sequence[str] = HOURLY_KEY, oversampling: int = OVERSAMPLING,
-) -> DataFrame:
-    """per_tree rows for every tree, drawn without replacement.
-
-    A row's key and the seed give two numbers, by one MD5 hash per row, and its draw for a tree is a linear function of
-    them modulo a prime, so partitioning has no say in it; a tree takes the lowest draws. Trees for which a row's draw is
-    above a bound that leaves about oversampling * per_tree rows are dropped before the row is repeated for the others,
-    and the shuffle carries some oversampling * per_tree * trees rows.
-    """
+def hashed_rows(counts: DataFrame, seed: int, key: Sequence[str] = HOURLY_KEY, *kept: str) -> DataFrame:
+    """Key, count and the columns kept of every row, with two numbers u and v by one MD5 hash of key and seed."""
     text = row_text(counts, key, seed)
-    hashed = counts.select(*key, COUNT_FEATURE, _hashed(text, 0).alias("u"), _hashed(text, 1).alias("v"))
+    return counts.select(*key, COUNT_FEATURE, *kept, _hashed(text, 0).alias("u"), _hashed(text, 1).alias("v"))
+
+
+def tree_draws(hashed: DataFrame, trees: int, bound: Column | None = None) -> DataFrame:
+    """Every row once per tree, with its draw; with a bound only for the trees for which the upper half of the draw does not
+    exceed it."""
     numbers = [multipliers(t) for t in range(trees)]
     factor, summand, low_factor, low_summand = (F.array(*map(F.lit, n)) for n in zip(*numbers))
 
@@ -101,18 +97,38 @@ def draw_samples(
         return (F.col("u") * F.get(factor, tree) + F.get(summand, tree)) % F.lit(DRAWS)
 
     wanted = F.sequence(F.lit(0), F.lit(trees - 1))
-    share = oversampling * per_tree / n_rows
-    if share < 1:
-        wanted = F.filter(wanted, lambda tree: upper(tree) <= F.lit(int(share * DRAWS)))
+    if bound is not None:
+        wanted = F.filter(wanted, lambda tree: upper(tree) <= bound)
     tree = F.col("tree_id")
     lower = (F.col("v") * F.get(low_factor, tree) + F.get(low_summand, tree)) % F.lit(DRAWS)
     drawn = hashed.withColumn("tree_id", F.explode(wanted)).withColumn("draw", upper(tree) * F.lit(DRAWS) + lower)
-    # The rows are few, so an adaptive plan would grow all trees in one task. A number of its own prevents that.
-    drawn = drawn.drop("u", "v").repartition(math.ceil(trees / TREES_PER_TASK), "tree_id")
+    return drawn.drop("u", "v")
+
+
+def lowest_draws(drawn: DataFrame, trees: int, per_tree: int, key: Sequence[str] = HOURLY_KEY) -> DataFrame:
+    """The per_tree rows of lowest draw of each tree. The rows are few, so an adaptive plan would grow all trees in one
+    task; a number of partitions of its own prevents that."""
+    drawn = drawn.repartition(math.ceil(trees / TREES_PER_TASK), "tree_id")
     order = Window.partitionBy("tree_id").orderBy("draw", *key)
     return drawn.withColumn("place_in_draw", F.row_number().over(order)).filter(F.col("place_in_draw") <= per_tree)
 
 
+def draw_samples(
+    counts: DataFrame, n_rows: int, trees: int, per_tree: int, seed: int,
+    key: Sequence[str] = HOURLY_KEY, oversampling: int = OVERSAMPLING,
+) -> DataFrame:
+    """per_tree rows for every tree, drawn without replacement.
+
+    A row's key and the seed give two numbers, by one MD5 hash per row, and its draw for a tree is a linear function of
+    them modulo a prime, so partitioning has no say in it; a tree takes the lowest draws. Trees for which a row's draw is
+    above a bound that leaves about oversampling * per_tree rows are dropped before the row is repeated for the others,
+    and the shuffle carries some oversampling * per_tree * trees rows.
+    """
+    share = oversampling * per_tree / n_rows
+    bound = F.lit(int(share * DRAWS)) if share < 1 else None
+    return lowest_draws(tree_draws(hashed_rows(counts, seed, key), trees, bound), trees, per_tree, key)
+
+
 def node_chance(seed: int, tree: int, node: int) -> tuple[int, float]:
     """Two random numbers of a node, by a hash: which feature to split by, and where between its bounds."""
     digits = hashlib.md5(f"{seed}|{tree}|{node}".encode()).hexdigest()
@@ -183,20 +199,23 @@ def fit_forest(
     if not n_rows:
         raise ValueError("no rows to train on")
     per_tree = min(max_samples, n_rows)
-    grow = tree_grower(per_tree, seed)
     oversampling = OVERSAMPLING
     while True:
-        # Python gets what a tree is grown from and no more; pandas cannot hold every timestamp Spark can.
-        sample = draw_samples(counts, n_rows, trees, per_tree, seed, key, oversampling).select(*GROWN_FROM)
-        nodes = sample.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA).toPandas()
-        roots = nodes[nodes["node_id"] == ROOT]
+        forest = grow_forest(draw_samples(counts, n_rows, trees, per_tree, seed, key, oversampling), per_tree, seed)
+        roots = forest.nodes[forest.nodes["node_id"] == ROOT]
         # A tree that the bound left short of rows is next to impossible, but would be wrong.
         complete = len(roots) == trees and (roots["n_rows"] == per_tree).all()
         if complete or oversampling * per_tree >= n_rows:
-            break
+            return forest
         oversampling *= 8
-    nodes = nodes.sort_values(["tree_id", "node_id"], ignore_index=True)
-    return Forest(nodes, per_tree)
+
+
+def grow_forest(sample: DataFrame, per_tree: int, seed: int) -> Forest:
+    """A tree per tree_id from the rows drawn for it, in the order of their places."""
+    # Python gets what a tree is grown from and no more; pandas cannot hold every timestamp Spark can.
+    grow = tree_grower(per_tree, seed)
+    nodes = sample.select(*GROWN_FROM).groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA).toPandas()
+    return Forest(nodes.sort_values(["tree_id", "node_id"], ignore_index=True), per_tree)
 
 
 def forest_scorer(forest: Forest) -> Callable:

@@ -16,14 +16,15 @@ FEW = 10_000
 
 
 @contextmanager
-def value_counts(frame: DataFrame, column: str) -> Iterator[DataFrame]:
+def value_counts(frame: DataFrame, column: str, times: str | None = None) -> Iterator[DataFrame]:
     """Table of (value, n) for the finite values; it is removed at the end of the block.
 
-    NULL, NaN and the infinities have no place in a rank and are set aside.
+    A row counts once, or as often as its column `times` says. NULL, NaN and the infinities have no place in a rank and
+    are set aside.
     """
     value = F.col(column).cast("double")
     finite = frame.filter(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))))
-    counts = finite.groupBy(value.alias("value")).agg(F.count("*").alias("n"))
+    counts = finite.groupBy(value.alias("value")).agg((F.sum(times) if times else F.count("*")).alias("n"))
     folder = new_folder(frame.sparkSession, "value-counts")
     try:
         yield materialize(counts, folder)

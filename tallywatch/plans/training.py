@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywatch.operators import day_states
 from tallywatch.operators.features import filled, fit_scaler
-from tallywatch.operators.forest import SCORE_DECIMALS, SEED, TREES, Forest, fit_forest
+from tallywatch.operators.forest import MAX_SAMPLES, SCORE_DECIMALS, SEED, TREES, Forest, fit_forest, grow_forest, lowest_draws
 from tallywatch.operators.quantile import quantile_of_counts, value_counts
 from tallywatch.operators.scoring import Model
 from tallywatch.schema import MODEL_NAME
@@ -47,14 +49,41 @@ def train(hourly: DataFrame, contamination: float = CONTAMINATION, trees: int =
     """
     counts = filled(hourly)
     forest = fit_forest(counts, trees=trees, seed=seed)
+    return _judged(forest, counts, None, fit_scaler(counts), contamination, seed)
+
+
+def train_by_days(
+    spark: SparkSession, state: str, contamination: float = CONTAMINATION, trees: int = TREES,
+    max_samples: int = MAX_SAMPLES, seed: int = SEED, since: date | None = None,
+) -> Training:
+    """The training of `train` over all days that `state` knows, or those from `since` on, without reading their rows.
+
+    What is read are the lowest draws of each day and its combinations of place, type and count; trees, seed and
+    max_samples must be those the states were computed with.
+    """
+    recent = F.lit(True) if since is None else F.col("day") >= F.lit(since)
+    combinations = day_states.merged(day_states.combinations(spark, state).filter(recent))
+    n_rows = combinations.agg(F.sum(day_states.ROWS)).first()[0]
+    if not n_rows:
+        raise ValueError("no rows to train on")
+    per_tree = min(max_samples, n_rows)
+    sample = lowest_draws(day_states.draws(spark, state).filter(recent), trees, per_tree)
+    forest = grow_forest(sample, per_tree, seed)
+    return _judged(forest, combinations, day_states.ROWS, day_states.scaler_of(combinations), contamination, seed)
+
+
+def _judged(
+    forest: Forest, counts: DataFrame, times: str | None, scaler: DataFrame, contamination: float, seed: int
+) -> Training:
+    """Offset and outliers of a forest over its rows, of which each stands for as many as `times` says."""
     raw_score = forest.raw_score(F.col("incident_count"), F.col("location_name"), F.col("crime_type"))
-    with value_counts(counts.select(raw_score.alias("raw_score")), "raw_score") as scores:
+    scored = counts.select(raw_score.alias("raw_score"), *([times] if times else []))
+    with value_counts(scored, "raw_score", times) as scores:
         offset = quantile_of_counts(scores, contamination)
         offset = offset if offset is None else round(offset, SCORE_DECIMALS)
         below = F.when(F.col("value") - F.lit(offset) < 0, F.col("n")).otherwise(F.lit(0))
         n_rows, n_anomalies = scores.agg(F.sum("n"), F.sum(below)).first()
-    model = Model(forest, offset, contamination, seed)
-    return Training(uuid.uuid4().hex, model, fit_scaler(counts), n_rows, n_anomalies)
+    return Training(uuid.uuid4().hex, Model(forest, offset, contamination, seed), scaler, n_rows, n_anomalies)
 
 
 def train_metrics(spark: SparkSession, run: Training) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tallywatch.functions.scores import (
     COUNT_FEATURE, is_outlier, label, place_feature, rescaled, type_feature,
 )
+from tallywatch.functions.times import day_of
+from tallywatch.operators import day_states
 from tallywatch.operators import features as ops
 from tallywatch.operators.forest import TREES, fit_forest
 from tallywatch.operators.quantile import exact_quantile
@@ -18,7 +20,8 @@ from tallywatch.queries import forest_sql, sql, views
 from tallywatch.queries.registry import query
 from tallywatch.schema import HOURLY, HOURLY_KEY
 from tallywatch.session import new_folder
-from tallywatch.sinks.tables import materialize
+from tallywatch.sinks.tables import materialize, replace_days
+from tallywatch.sources.tables import read_table
 from tallywatch.streaming import jobs
 
 KEY = ", ".join(HOURLY_KEY)
@@ -48,13 +51,16 @@ def features_scaled(spark, sf_dir):
     return scaled.withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
-@query(f"""WITH {sql.HOURLY}, n AS (SELECT count(*) AS n FROM hourly), shares AS (
+_SCALER = f"""WITH {sql.HOURLY}, n AS (SELECT count(*) AS n FROM hourly), shares AS (
   SELECT 'location_' || location_name AS feature, count(*) / (SELECT n FROM n) AS p FROM hourly GROUP BY ALL
   UNION ALL SELECT 'crime_' || crime_type, count(*) / (SELECT n FROM n) FROM hourly GROUP BY ALL),
 fitted AS (
   SELECT feature, p AS mean, sqrt(p * (1 - p)) AS std FROM shares
   UNION ALL SELECT 'incident_count', avg(incident_count), stddev_pop(incident_count) FROM hourly)
-SELECT feature, round(mean, 6) AS mean, round(CASE WHEN std = 0 THEN 1 ELSE std END, 6) AS std FROM fitted""")
+SELECT feature, round(mean, 6) AS mean, round(CASE WHEN std = 0 THEN 1 ELSE std END, 6) AS std FROM fitted"""
+
+
+@query(_SCALER)
 def scaler_fit(spark, sf_dir):
     scaler = ops.fit_scaler(views.hourly_table(spark, sf_dir))
     return scaler.select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
@@ -144,16 +150,52 @@ def score_requests_invalid(spark, sf_dir):
     )
 
 
-@query(f"""WITH {forest_sql.NODES}
+_NODE_TABLE = f"""WITH {forest_sql.NODES}
 SELECT tree_id::INTEGER AS tree_id, node_id::INTEGER AS node_id, depth::INTEGER AS depth, feature, threshold,
        CASE WHEN feature IS NOT NULL THEN 2 * node_id END::INTEGER AS left_id,
        CASE WHEN feature IS NOT NULL THEN 2 * node_id + 1 END::INTEGER AS right_id, n_rows
-FROM nodes""")
+FROM nodes"""
+
+
+@query(_NODE_TABLE)
 def iforest_fit(spark, sf_dir):
     """Node table of a forest grown on the hourly counts."""
     return fit_forest(ops.filled(views.hourly_table(spark, sf_dir))).table(spark)
 
 
+def _trained_by_days(spark, sf_dir) -> training.Training:
+    """All days but the last put together first, then the last one added: the state of a day is computed from its rows
+    alone, and the training reads states."""
+    folder, state = new_folder(spark, "hourly"), new_folder(spark, "day-states")
+    replace_days(views.hourly(spark, sf_dir).withColumn("day", day_of(F.col("window_start"))), folder)
+    hourly = read_table(spark, folder)
+    days = sorted(r["day"] for r in hourly.select("day").distinct().collect())
+    for some in (days[:-1], days[-1:]):
+        day_states.add_days(spark, hourly, state, some)
+    return training.train_by_days(spark, state)
+
+
+@query(_NODE_TABLE)
+def iforest_fit_by_day(spark, sf_dir):
+    """The node table of a training that was put together day by day; it is that of a training over all rows."""
+    return _trained_by_days(spark, sf_dir).model.forest.table(spark)
+
+
+@query(f"""WITH {forest_sql.METRICS}
+SELECT n_rows::BIGINT AS n_rows, n_anomalies::BIGINT AS n_anomalies, anomaly_ratio, start AS model_offset FROM metrics, model""")
+def train_metrics_by_day(spark, sf_dir):
+    """Number of rows, outliers and the offset of that training."""
+    run = _trained_by_days(spark, sf_dir)
+    return training.train_metrics(spark, run).withColumn("model_offset", F.lit(run.model.offset))
+
+
+@query(_SCALER)
+def scaler_fit_by_day(spark, sf_dir):
+    """The scaler of that training."""
+    scaler = _trained_by_days(spark, sf_dir).scaler
+    return scaler.select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
 def _trained(spark, sf_dir) -> tuple[DataFrame, training.Training]:
     hourly = views.hourly_table(spark, sf_dir)
     return hourly, training.train(hourly)
