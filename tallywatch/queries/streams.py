@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.incidents import crime_type, is_from, place_name
@@ -22,6 +22,8 @@ from tallywatch.sources.messages import parse, read_messages, stream_messages
 from tallywatch.sources.tables import read_table
 from tallywatch.streaming import jobs
 from tallywatch.streaming.polling import start_poll_stream
+from tallywatch.streaming.progress import INPUT_ROWS, STATE_ROWS, ProgressLog, read_progress
+from tallywatch.streaming.state import open_hours
 
 CUT = datetime(2024, 1, 16)
 HELD_TYPE = "purchase"
@@ -123,24 +125,81 @@ def stream_restart(spark, sf_dir):
     return _hourly(spark, halves)
 
 
-@query(f"""WITH {sql.ROUTED}, polls AS (
+# Polls in which one type of the first half arrives late, and the watermarks after the first and the last.
+LATE_POLLS = f"""polls AS (
   SELECT *, CASE WHEN event_time >= TIMESTAMP '2024-01-16' THEN 3
-                 WHEN crime_type = '{HELD_TYPE}' THEN 2 ELSE 1 END AS poll,
+                 WHEN crime_type = '{HELD_TYPE}' AND {sql.KNOWN} THEN 2 ELSE 1 END AS poll,
          date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end
-  FROM routed),
+  FROM messages),
 watermark AS (SELECT max(event_time) FILTER (WHERE poll = 1) - INTERVAL 1 HOUR AS after_first,
-                     max(event_time) - INTERVAL 1 HOUR AS at_end FROM polls)
+                     max(event_time) - INTERVAL 1 HOUR AS at_end FROM polls WHERE {sql.KNOWN})"""
+
+
+def _late_polls(spark, sf_dir) -> list[DataFrame]:
+    early = _happened_before(CUT)
+    kind = F.coalesce("category", "primary_type", "ofns_desc", "crm_cd_desc")
+    held = F.coalesce(kind == HELD_TYPE, F.lit(False))
+    return [_messages_where(spark, sf_dir, condition) for condition in (early & ~held, early & held, ~early)]
+
+
+@query(f"""WITH {sql.MESSAGES}, {LATE_POLLS}
 SELECT window_start, window_end, source, location_name, crime_type, count(*) AS incident_count
 FROM polls, watermark
-WHERE window_end <= at_end AND NOT (poll = 2 AND window_end <= after_first)
+WHERE {sql.KNOWN} AND window_end <= at_end AND NOT (poll = 2 AND window_end <= after_first)
 GROUP BY ALL""")
 def stream_late_data(spark, sf_dir):
     """One type of the first half arrives a poll late: its rows in closed windows are dropped, the rest count."""
-    early = _happened_before(CUT)
-    kind = F.coalesce("category", "primary_type", "ofns_desc", "crm_cd_desc")
-    held = F.coalesce(kind == HELD_TYPE, F.lit(False))
-    polls = [_messages_where(spark, sf_dir, condition) for condition in (early & ~held, early & held, ~early)]
-    return _hourly(spark, polls)
+    return _hourly(spark, _late_polls(spark, sf_dir))
+
+
+@query(f"""WITH {sql.MESSAGES}, {LATE_POLLS}, numbers AS (
+  SELECT poll, count(*) AS input_rows, count(*) FILTER (WHERE {sql.KNOWN}) AS total,
+         {", ".join(f"count(*) FILTER (WHERE source = '{s.name}') AS {s.name}" for s in SOURCES)},
+         count(DISTINCT (window_start, source, location_name, crime_type))
+           FILTER (WHERE {sql.KNOWN} AND poll = 2 AND window_end <= after_first) AS late_groups
+  FROM polls, watermark GROUP BY poll)
+{" UNION ALL ".join(
+    f"SELECT '{name}' AS query, poll::INTEGER AS poll, '{metric}' AS metric, ({value})::BIGINT AS value FROM numbers"
+    for name, metric, value in [
+        *((job, "input_rows", "input_rows") for job in ("raw", "quarantine", "hourly")), ("raw", "ingest.total", "total"),
+        *(("raw", f"ingest.{s.name}", s.name) for s in SOURCES), ("quarantine", "quarantine.n", "input_rows - total"),
+        ("hourly", "late_groups", "late_groups")])}""")
+def stream_progress(spark, sf_dir):
+    """What the raw, the quarantine and the hourly query report of these polls: rows read, records per source, records set
+    aside and groups that came too late."""
+    folder = new_folder(spark, "progress")
+    log = ProgressLog(spark, folder)
+    spark.streams.addListener(log)
+    try:
+        landing = new_folder(spark, "messages")
+        jobs_by_name = {"raw": jobs.start_raw, "quarantine": jobs.start_quarantine, "hourly": jobs.start_hourly}
+        places = {name: [new_folder(spark, f"{name}-{label}") for label in ("stream", "checkpoint")] for name in jobs_by_name}
+        for batch in _late_polls(spark, sf_dir):
+            batch.write.mode("append").text(landing)
+            for name, start in jobs_by_name.items():
+                messages = stream_messages(spark, "text", landing)
+                running = start(messages, *places[name], trigger=jobs.ONCE, name=name)
+                running.awaitTermination()
+                if not log.wait_for(running):
+                    raise TimeoutError(f"the progress of {name} did not arrive")
+    finally:
+        spark.streams.removeListener(log)
+    table = read_progress(spark, folder).filter(F.col("metric") != STATE_ROWS)
+    # Batches without input close windows; those with input are the polls.
+    read = table.filter((F.col("metric") == INPUT_ROWS) & (F.col("value") > 0)).select("query", "batch_id")
+    poll = F.row_number().over(Window.partitionBy("query").orderBy("batch_id"))
+    return table.join(read.withColumn("poll", poll), ["query", "batch_id"]).select("query", "poll", "metric", "value")
+
+
+@query(f"""WITH {sql.HOURLY}
+SELECT *, window_end > (SELECT max(event_time) FROM routed) - INTERVAL 1 HOUR AS open FROM hourly""")
+def stream_open_hours(spark, sf_dir):
+    """All hours: those the hourly query has written, and those it still holds open in its state."""
+    landing, out, checkpoint = (new_folder(spark, label) for label in ("messages", "stream", "checkpoint"))
+    views.raw_messages(spark, sf_dir).write.text(landing)
+    run_once(jobs.start_hourly, spark, landing, out, checkpoint, state_partitions=spark.sparkContext.defaultParallelism)
+    closed = read_table(spark, out).drop("day").withColumn("open", F.lit(False))
+    return closed.unionByName(open_hours(spark, checkpoint).withColumn("open", F.lit(True)))
 
 
 POLLS = (datetime(2024, 1, 16), datetime(2024, 1, 19), datetime(2024, 1, 31))

@@ -28,9 +28,11 @@ ONCE: dict[str, Any] = {"availableNow": True}
 
 
 def _start(
-    frame: DataFrame, path: str, checkpoint: str, fmt: str, trigger: dict[str, Any] | None, *partitions: str
+    frame: DataFrame, path: str, checkpoint: str, fmt: str, trigger: dict[str, Any] | None, name: str | None, *partitions: str
 ) -> StreamingQuery:
     writer = frame.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
     if partitions:
         writer = writer.partitionBy(*partitions)
     if trigger:
@@ -39,15 +41,16 @@ def _start(
 
 
 def start_messages(
-    messages: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict[str, Any] | None = None
+    messages: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict[str, Any] | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Keep the messages as they came."""
-    return _start(messages, path, checkpoint, fmt, trigger)
+    return _start(messages, path, checkpoint, fmt, trigger, name)
 
 
 def start_raw(
     messages: DataFrame, path: str, checkpoint: str, sources: Iterable[str] = SOURCE_NAMES,
-    fmt: str = "parquet", trigger: dict[str, Any] | None = None,
+    fmt: str = "parquet", trigger: dict[str, Any] | None = None, name: str | None = None,
 ) -> StreamingQuery:
     """All fields of every routed record, one partition per source and day of its event time.
 
@@ -55,11 +58,12 @@ def start_raw(
     """
     records = routed(parse(messages), sources).observe("ingest", *source_counts())
     records = records.withColumn("day", day_of(F.col("event_time")))
-    return _start(records, path, checkpoint, fmt, trigger, "source", "day")
+    return _start(records, path, checkpoint, fmt, trigger, name, "source", "day")
 
 
 def start_quarantine(
-    messages: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict[str, Any] | None = None
+    messages: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict[str, Any] | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """The messages that do not count, as they came, with the reason.
 
@@ -69,12 +73,12 @@ def start_quarantine(
         F.col("value").cast("string").alias("message"), "source", "timestamp", "reason"
     )
     aside = aside.observe("quarantine", F.count("*").alias("n"))
-    return _start(aside, path, checkpoint, fmt, trigger, "reason")
+    return _start(aside, path, checkpoint, fmt, trigger, name, "reason")
 
 
 def start_hourly(
     messages: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None,
-    fmt: str = "parquet", trigger: dict[str, Any] | None = None,
+    fmt: str = "parquet", trigger: dict[str, Any] | None = None, name: str | None = None,
 ) -> StreamingQuery:
     """Hourly counts, each window written once after the watermark has passed its end.
 
@@ -87,17 +91,17 @@ def start_hourly(
     conf.set(SHUFFLE_PARTITIONS, str(state_partitions or usual))
     try:
         counts = hourly_counts(unify(parse_narrow(messages))).withColumn("day", day_of(F.col("window_start")))
-        return _start(counts, path, checkpoint, fmt, trigger, "day")
+        return _start(counts, path, checkpoint, fmt, trigger, name, "day")
     finally:
         conf.set(SHUFFLE_PARTITIONS, usual)
 
 
 def start_scores(
     counts: DataFrame, model: Model, path: str, checkpoint: str, fmt: str = "parquet",
-    trigger: dict[str, Any] | None = None,
+    trigger: dict[str, Any] | None = None, name: str | None = None,
 ) -> StreamingQuery:
     """Scores for a stream of hourly counts, by the same function as a batch."""
-    return _start(score_counts(counts, model), path, checkpoint, fmt, trigger)
+    return _start(score_counts(counts, model), path, checkpoint, fmt, trigger, name)
 
 
 def await_all(spark: SparkSession) -> None:
