@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywatch.llm.words import mix, rows_of, slices, span_hashes, text_buffer, whole_windows, window_hashes, word_bounds
+from tallywatch.operators.forest import DRAWS, OVERSAMPLING, lowest_draws, tree_draws
 
 # The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -27,9 +28,8 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-# Rows that the forests may see, trees, rows of each tree, bins of scores, the share of good rows that may be lost, and
-# how much more the loss of a good row counts.
-SAMPLE_ROWS = 16_384
+# Trees, rows of each tree, bins of scores, the share of good rows that may be lost, and how much more the loss of a good
+# row counts.
 TREES = 128
 TREE_ROWS = 256
 BINS = 1000
@@ -45,6 +45,7 @@ FAMILIES = {
     "symbols": (("n_symbols", "n_words"),),
     "repeats": (("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words")),
     "letters": (("n_upper", "n_letters"), ("n_exclamations", "n_words")),
+    "words": (("word_chars", "n_words"),),
 }
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -157,13 +158,18 @@ def grow_forest(x: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, s
     """An isolation forest of the rows of x; none or equal rows give leaves only."""
     random = np.random.default_rng(seed)
     size = min(tree_rows, len(x))
+    return _forest([x[random.choice(len(x), size, replace=False)] if size else x for _ in range(trees)], size, random)
+
+
+def _forest(samples: list[np.ndarray], size: int, random: np.random.Generator) -> Forest:
+    """A tree per sample of `size` rows."""
     deepest = math.ceil(math.log2(max(size, 2)))
     nodes: list[list[float]] = []
     roots = []
-    for _ in range(trees):
+    for sample in samples:
         roots.append(len(nodes))
         nodes.append([-1, 0, 0, 0])
-        open_nodes = [(roots[-1], x[random.choice(len(x), size, replace=False)] if size else x, 0)]
+        open_nodes = [(roots[-1], sample, 0)]
         while open_nodes:
             node, rows, depth = open_nodes.pop()
             low, high = (rows.min(axis=0), rows.max(axis=0)) if len(rows) else (np.zeros(0), np.zeros(0))
@@ -229,20 +235,44 @@ def with_scores(statistics: DataFrame, forests: dict[str, Forest]) -> DataFrame:
     return statistics.mapInArrow(score, schema)
 
 
+def tree_samples(passed: DataFrame, trees: int, tree_rows: int, oversampling: int = OVERSAMPLING) -> list[dict[str, np.ndarray]]:
+    """The COUNTS of the rows of each tree, drawn from all rows of `passed`.
+
+    A hash of key and counts gives a row a draw for every tree, and a tree takes the `tree_rows` lowest. Rows above a bound,
+    which leaves about `oversampling` times as many, are dropped where they are, so that neither the shuffle nor what comes
+    to the driver, trees * tree_rows rows, grows with the documents.
+    """
+    n_rows = passed.count()
+    size = min(tree_rows, n_rows)
+    u, v = (F.pmod(F.xxhash64("key", *COUNTS, F.lit(part)), F.lit(DRAWS)).alias(name) for part, name in enumerate("uv"))
+    hashed = passed.select(*COUNTS, u, v)
+    while True:
+        share = oversampling * size / max(n_rows, 1)
+        bound = F.lit(int(share * DRAWS)) if share < 1 else None
+        drawn = lowest_draws(tree_draws(hashed, trees, bound), trees, size, COUNTS).select("tree_id", "place_in_draw", *COUNTS)
+        rows = drawn.toPandas().sort_values(["tree_id", "place_in_draw"])
+        if len(rows) == trees * size or share >= 1:
+            break
+        oversampling *= 8
+    by_tree = dict(tuple(rows.groupby("tree_id")))
+    return [{c: by_tree[t][c].to_numpy() if t in by_tree else np.zeros(0, np.int64) for c in COUNTS} for t in range(trees)]
+
+
 def fit(
     statistics: DataFrame, labels: DataFrame, key: str = "doc_id", quality: str = "quality",
-    sample_rows: int = SAMPLE_ROWS, good_loss: float = GOOD_LOSS,
+    trees: int = TREES, tree_rows: int = TREE_ROWS, good_loss: float = GOOD_LOSS, seed: int = 42,
 ) -> dict[str, Forest]:
     """A forest with its threshold for each family.
 
-    They grow on at most `sample_rows` rows that pass the base rules, those with the lowest hash of key and counts. The
-    thresholds cover all labelled rows: their scores are counted in bins per label. A key labelled twice counts as its
-    lower quality; NULL keys and labels are left out. Without labels of both kinds nothing is anomalous.
+    Every tree grows on `tree_rows` rows drawn from all that pass the base rules. The thresholds cover all labelled rows:
+    their scores are counted in bins per label. A key labelled twice counts as its lower quality; NULL keys and labels
+    are left out. Without labels of both kinds nothing is anomalous.
     """
     passed = statistics.filter(~F.col("base_failed"))
-    sample = passed.orderBy(F.xxhash64("key", *COUNTS), "key", *COUNTS).limit(sample_rows).select(*COUNTS).toPandas()
-    seen = {c: sample[c].to_numpy() for c in COUNTS}
-    forests = {family: grow_forest(features(seen, family)) for family in FAMILIES}
+    samples = tree_samples(passed, trees, tree_rows)
+    size = len(samples[0][COUNTS[0]])
+    forests = {family: _forest([features(sample, family) for sample in samples], size, np.random.default_rng(seed))
+               for family in FAMILIES}
     known = labels.select(labels[key].alias("key"), labels[quality].alias("quality")).dropna()
     known = known.groupBy("key").agg(F.min("quality").alias("quality"))
     scored = with_scores(passed, forests).join(known, "key")

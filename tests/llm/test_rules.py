@@ -110,3 +110,33 @@ def test_odd_rows(spark, frame, odd_pairs):
     assert set(rules.fit(statistics, labels)) == set(rules.FAMILIES)
     empty = rules.rule_statistics(frame([]))
     assert rules.judged(empty, rules.fit(empty, labels)).count() == 0
+
+
+def test_every_tree_draws_from_all_rows(spark):
+    rows = [(i, *([i] * len(rules.COUNTS))) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "key bigint, " + ", ".join(f"{c} bigint" for c in rules.COUNTS))
+    samples = rules.tree_samples(frame.repartition(7), 40, 50)
+    assert [len(s["n_words"]) for s in samples] == [50] * 40
+    assert all(len(set(s["n_words"].tolist())) == 50 for s in samples)
+    seen = np.concatenate([s["n_words"] for s in samples])
+    assert len(set(seen.tolist())) > 1200 and abs(seen.mean() - 1500) < 100  # independent draws would meet 1,460
+    again = rules.tree_samples(frame.repartition(2), 40, 50, oversampling=1000)
+    assert all(np.array_equal(a["n_words"], b["n_words"]) for a, b in zip(samples, again))
+    few = rules.tree_samples(frame.limit(3), 5, 50)
+    assert [sorted(s["n_words"].tolist()) for s in few] == [[0, 1, 2]] * 5
+    assert [len(s["n_words"]) for s in rules.tree_samples(frame.limit(0), 5, 50)] == [0] * 5
+
+
+def test_more_than_one_family_rejects_bad_rows_on_labels_left_out(spark, sf_dir):
+    """What each family rejects by itself among rows whose labels the thresholds did not see."""
+    path = sf_dir.replace("sf0.001", "sf0.1")
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    statistics = rules.rule_statistics(spark.read.parquet(f"{path}/documents.parquet"))
+    forests = rules.fit(statistics, labels.filter("doc_id % 2 = 0"))
+    scored = rules.judged(statistics, forests).filter("NOT base_failed").join(
+        labels.filter("doc_id % 2 = 1").selectExpr("doc_id AS key", "quality"), "key").collect()
+    good, bad = ([r for r in scored if r.quality == q] for q in (1, 0))
+    caught = {f: np.mean([r[f"{f}_score"] >= forests[f].threshold for r in bad]) for f in forests}
+    lost = {f: np.mean([r[f"{f}_score"] >= forests[f].threshold for r in good]) for f in forests}
+    assert caught["symbols"] > 0.9 and caught["words"] > 0.3
+    assert max(lost.values()) <= 0.005
