@@ -15,6 +15,7 @@ from tallywatch.operators.forest import MAX_SAMPLES, SCORE_DECIMALS, SEED, TREES
 from tallywatch.operators.quantile import quantile_of_counts, value_counts
 from tallywatch.operators.scoring import Model
 from tallywatch.schema import MODEL_NAME
+from tallywatch.sinks.commits import create_file
 from tallywatch.sinks.tables import append
 from tallywatch.sources.tables import latest_versions, read_table, read_table_or_empty
 
@@ -112,20 +113,37 @@ def save_run(spark: SparkSession, run: Training, path: str, fmt: str = "parquet"
 
 def save_model(spark: SparkSession, run: Training, root: str, name: str = MODEL_NAME, fmt: str = "parquet") -> str:
     """Write nodes, scaler and state below root, then register the next version. The registry row comes
-    last, so a job that dies earlier leaves no half-written version behind. One trainer per name at a time."""
+    last, so a job that dies earlier leaves no half-written version behind.
+
+    A version number is claimed by a file that only one job can create, so trainers may run at the same time: each gets
+    a number of its own. A job that dies between its claim and its row leaves a number that no model has.
+    """
     path = f"{root}/models/{name}-{run.run_id}"
     model = run.model
     append(model.forest.table(spark), f"{path}/nodes", fmt)
     append(run.scaler, f"{path}/scaler", fmt)
     state = [(model.forest.per_tree, model.offset, model.contamination, model.seed)]
     append(spark.createDataFrame(state, STATE_SCHEMA), f"{path}/state", fmt)
-    registry = f"{root}/registry"
-    known = read_table_or_empty(spark, registry, REGISTRY_SCHEMA, fmt).filter(F.col("name") == name)
-    version = known.agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
-    append(spark.createDataFrame([(name, version, path)], REGISTRY_SCHEMA), registry, fmt)
+    version = claim_version(spark, root, name, path, fmt)
+    # Every row is a folder of its own: two jobs that append to one folder would share their temporary files.
+    append(spark.createDataFrame([(path,)], "path string"), f"{root}/registry/name={name}/version={version}", fmt)
     return path
 
 
+def claim_version(spark: SparkSession, root: str, name: str, path: str, fmt: str = "parquet") -> int:
+    """The next version number that nobody has claimed, claimed for the model at `path`."""
+    version = 1 + (registered(spark, root, name, fmt).agg(F.max("version")).first()[0] or 0)
+    while not create_file(spark, f"{root}/versions/{name}/{version:09d}", path):
+        version += 1
+    return version
+
+
+def registered(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """Registered versions of a model as (name, version, path)."""
+    table = read_table_or_empty(spark, f"{root}/registry", REGISTRY_SCHEMA, fmt)
+    return table.select(F.col("name").cast("string"), F.col("version").cast("bigint"), "path").filter(F.col("name") == name)
+
+
 def load_model(spark: SparkSession, path: str, fmt: str = "parquet") -> Model:
     state = read_table(spark, f"{path}/state", fmt).first()
     nodes = read_table(spark, f"{path}/nodes", fmt).orderBy("tree_id", "node_id").toPandas()
@@ -136,8 +154,7 @@ def load_latest(
     spark: SparkSession, root: str, default_path: str | None = None, name: str = MODEL_NAME, fmt: str = "parquet"
 ) -> Model:
     """The latest registered version, or the model at default_path when none is registered."""
-    registry = read_table_or_empty(spark, f"{root}/registry", REGISTRY_SCHEMA, fmt).filter(F.col("name") == name)
-    latest = latest_versions(registry, default_path).first()
+    latest = latest_versions(registered(spark, root, name, fmt), default_path).first()
     path = latest["path"] if latest else default_path
     if path is None:
         raise ValueError(f"no model {name} is registered below {root}, and no default was given")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from tallywatch.queries import sql, views
 from tallywatch.queries.registry import query
 from tallywatch.schema import CHICAGO, ENVELOPE, LA, NYC, SOURCES, UK, Source
 from tallywatch.session import new_folder, remove_folder
+from tallywatch.sinks.commits import once_per_batch, read_committed, write_rows
 from tallywatch.sinks.messages import to_messages
 from tallywatch.sources.messages import parse, read_messages, stream_messages
 from tallywatch.sources.tables import read_table
@@ -24,6 +26,7 @@ from tallywatch.streaming import jobs
 from tallywatch.streaming.polling import start_poll_stream
 from tallywatch.streaming.progress import INPUT_ROWS, STATE_ROWS, ProgressLog, read_progress
 from tallywatch.streaming.state import open_hours
+from tallywatch.streaming.supervision import supervise
 
 CUT = datetime(2024, 1, 16)
 HELD_TYPE = "purchase"
@@ -44,7 +47,7 @@ def streamed(start, spark: SparkSession, batches: list[DataFrame], **settings) -
     return read_table(spark, out).drop("day")
 
 
-@query(f"""WITH {sql.MESSAGES}, fields AS (
+_MESSAGE_TEXT = f"""WITH {sql.MESSAGES}, fields AS (
   SELECT *, '"source":"' || source || '","timestamp":' || "timestamp" AS head,
          '"location":{{"latitude":"' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || '","street":{{"id":' || user_id
            || ',"name":"' || event_type || '"}}}}' AS spot,
@@ -60,7 +63,10 @@ SELECT '{{' || head || CASE source
   WHEN 'la' THEN ',' || id || ',"crm_cd_desc":"' || crime_type || '","area_name":"' || location_name
     || '","dr_no":"' || event_id || '","date_rptd":"' || happened || '"'
   ELSE '' END || '}}' AS value
-FROM fields""")
+FROM fields"""
+
+
+@query(_MESSAGE_TEXT)
 def stream_source_messages(spark, sf_dir):
     return streamed(jobs.start_messages, spark, [views.raw_messages(spark, sf_dir)])
 
@@ -233,3 +239,65 @@ def poll_stream(spark, sf_dir):
     return sent.select(
         "source", record_id.alias("record_id"), F.timestamp_seconds("timestamp").alias("polled_at"),
         crime_type().alias("crime_type"), place_name().alias("location_name"))
+
+
+class SinkFailed(Exception):
+    """Thrown on purpose."""
+
+
+def _published(spark, landing: str, out: str, checkpoint: str, dies: set[int]):
+    """Start a query that appends messages once per batch. In each of the batches named its sink dies once, when the rows
+    are written and nothing says so yet."""
+    once = once_per_batch(out, "messages")
+
+    def sink(frame: DataFrame, number: int) -> None:
+        if number in dies:
+            dies.remove(number)
+            write_rows(frame, out, f"messages-{number:09d}")
+            raise SinkFailed(f"batch {number}")
+        once(frame, number)
+
+    writer = stream_messages(spark, "text", landing).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return writer.trigger(**jobs.ONCE).start()
+
+
+@query(_MESSAGE_TEXT)
+def append_exactly_once(spark, sf_dir):
+    """Messages of three polls appended by a sink that dies before it commits the second batch, and whose third batch Spark
+    runs twice because it lost its own note of it."""
+    landing, out, checkpoint = (new_folder(spark, label) for label in ("messages", "published", "checkpoint"))
+    dies = {1}
+    for number, batch in enumerate(_late_polls(spark, sf_dir)):
+        batch.write.mode("append").text(landing)
+        for _ in range(2):
+            try:
+                _published(spark, landing, out, checkpoint, dies).awaitTermination()
+            except StreamingQueryException as problem:
+                if SinkFailed.__name__ not in str(problem):
+                    raise
+            if number == 2:
+                remove_folder(spark, f"{checkpoint}/commits/{number}")
+    return read_committed(spark, out, "value string")
+
+
+@query(f"""WITH {sql.CLOSED}
+SELECT 'raw' AS query, 0 AS restarts, (SELECT count(*) FROM routed) AS n_rows
+UNION ALL SELECT 'hourly', 0, (SELECT count(*) FROM closed)
+UNION ALL SELECT 'messages', 1, (SELECT count(*) FROM messages)""")
+def supervised_run(spark, sf_dir):
+    """Three queries under supervision, one of which fails once and is started again: how often, and the rows of each."""
+    landing = new_folder(spark, "messages")
+    views.raw_messages(spark, sf_dir).write.text(landing)
+    out, checkpoint = ({name: new_folder(spark, label) for name in ("raw", "hourly", "messages")} for label in ("out", "checkpoint"))
+    dies = {0}
+
+    def start(name: str, job):
+        return lambda: job(stream_messages(spark, "text", landing), out[name], checkpoint[name], trigger=jobs.ONCE, name=name)
+
+    outcome = supervise({
+        "raw": start("raw", jobs.start_raw), "hourly": start("hourly", jobs.start_hourly),
+        "messages": lambda: _published(spark, landing, out["messages"], checkpoint["messages"], dies)})
+    rows = {"raw": read_table(spark, out["raw"]), "hourly": read_table(spark, out["hourly"]),
+            "messages": read_committed(spark, out["messages"], "value string")}
+    found = [(name, n, rows[name].count()) for name, n in outcome.restarts.items()]
+    return spark.createDataFrame(found, "query string, restarts int, n_rows bigint")
