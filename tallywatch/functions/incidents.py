@@ -27,6 +27,11 @@ def place_name() -> Column:
     return per_source(lambda s: F.col(s.place_field))
 
 
+def record_id() -> Column:
+    """The id that the agency has given the record."""
+    return per_source(lambda s: F.col(s.id_field))
+
+
 def known_source(names: Iterable[str] = SOURCE_NAMES) -> Column:
     return F.col("source").isin(*names)
 

@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.scores import COUNT_FEATURE, place_feature, type_feature
 
+
 def filled(counts: DataFrame) -> DataFrame:
     """A missing count is 0."""
     return counts.na.fill(0, [COUNT_FEATURE])
 
 
+def count_value() -> Column:
+    """The count as a feature's value."""
+    return F.coalesce(F.col(COUNT_FEATURE), F.lit(0)).cast("double")
+
+
+def category_structs() -> list[Column]:
+    """The one-hot features of a row, whose names are NULL where the row has no place or type."""
+    names = (place_feature(F.col("location_name")), type_feature(F.col("crime_type")))
+    return [F.struct(name.alias("feature"), F.lit(1.0).alias("value")) for name in names]
+
+
 def sparse_features(counts: DataFrame, *key: str) -> DataFrame:
     """The non-zero features of each row as (key, feature, value); the count is always present.
 
     This is the one-hot form without its zeros: it needs no vocabulary and holds at any number of places and types.
     """
-    features = F.array(
-        F.struct(F.lit(COUNT_FEATURE).alias("feature"),
-                 F.coalesce(F.col("incident_count"), F.lit(0)).cast("double").alias("value")),
-        F.struct(place_feature(F.col("location_name")).alias("feature"), F.lit(1.0).alias("value")),
-        F.struct(type_feature(F.col("crime_type")).alias("feature"), F.lit(1.0).alias("value")),
-    )
-    return counts.select(*key, F.inline(features)).filter(F.col("feature").isNotNull())
+    count = F.struct(F.lit(COUNT_FEATURE).alias("feature"), count_value().alias("value"))
+    return counts.select(*key, F.inline(F.array(count, *category_structs()))).filter(F.col("feature").isNotNull())
 
 
 def vocabulary(counts: DataFrame) -> DataFrame:
@@ -58,12 +65,17 @@ def fit_scaler(counts: DataFrame) -> DataFrame:
 def scaled_features(counts: DataFrame, scaler: DataFrame, *key: str) -> DataFrame:
     """sparse_features after (x - mean) / std. A feature that a row lacks has the scaler's `absent` there.
 
-    Features that the scaler does not know are left out. The join is on the feature, which nearly all rows share for the
-    count; Spark broadcasts a scaler that is small enough, and splits the hot feature otherwise.
+    Features that the scaler does not know are left out. The count, which every row has, is scaled by two numbers; only
+    places and types are joined. Spark broadcasts a scaler that is small enough, and splits hot places otherwise.
     """
     fitted = scaler.select("feature", "mean", "std")
+    of_count = fitted.filter(F.col("feature") == COUNT_FEATURE)
+    mean, std = (of_count.select(c).scalar() for c in ("mean", "std"))
+    count = counts.select(*key, F.lit(COUNT_FEATURE).alias("feature"), ((count_value() - mean) / std).alias("value"))
+    named = counts.select(*key, F.inline(F.array(*category_structs()))).filter(F.col("feature").isNotNull())
     scaled = (F.col("value") - F.col("mean")) / F.col("std")
-    return sparse_features(counts, *key).join(fitted, "feature").select(*key, "feature", scaled.alias("value"))
+    named = named.join(fitted.filter(F.col("feature") != COUNT_FEATURE), "feature").select(*key, "feature", scaled.alias("value"))
+    return named.unionByName(count.filter(F.col("value").isNotNull()))
 
 
 def aligned(requests: DataFrame, model_features: DataFrame) -> DataFrame:

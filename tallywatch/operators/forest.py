@@ -309,13 +309,18 @@ def forest_scorer(forest: Forest) -> Callable:
                 names, values = given
                 sizes = names.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 rows = np.repeat(np.arange(len(sizes)), sizes)
-                own = np.flatnonzero(sizes)
+                which = indices(names.flatten(), features)
+                value = values.flatten().to_numpy(zero_copy_only=False)
+                # Where all the features that the forest asks for are those of the fields, so is the score.
+                same = np.where(which == 0, value == c[rows], ((which == p[rows]) | (which == k[rows])) & (value == 1))
+                named = np.bincount(rows[(which >= 0) & same], minlength=len(sizes))
+                strange = np.bincount(rows[(which >= 0) & ~same], minlength=len(sizes))
+                own = np.flatnonzero((sizes > 0) & ((strange > 0) | (named != 1 + (p >= 0) + (k >= 0))))
                 if len(own):
-                    which = indices(names.flatten(), features)
-                    used = which >= 0
+                    used = (which >= 0) & np.isin(rows, own)
                     # A row whose names the forest does not know has no feature; one entry of 0 keeps it in.
                     entries = (np.append(rows[used], own), np.append(which[used], np.full(len(own), len(features))),
-                               np.append(values.flatten().to_numpy(zero_copy_only=False)[used], np.zeros(len(own))))
+                               np.append(value[used], np.zeros(len(own))))
                     scores = scores.copy()
                     scores[own] = score_given(*entries)
             yield pa.array(scores)

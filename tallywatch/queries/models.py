@@ -19,12 +19,17 @@ from tallywatch.plans import training
 from tallywatch.queries import forest_sql, sql, views
 from tallywatch.queries.registry import query
 from tallywatch.schema import HOURLY, HOURLY_KEY
-from tallywatch.session import new_folder
-from tallywatch.sinks.tables import materialize, replace_days
-from tallywatch.sources.tables import read_table
+from tallywatch.session import new_folder, remove_folder
+from tallywatch.sinks.commits import read_committed
+from tallywatch.sinks.tables import append, materialize, replace_days
+from tallywatch.sources.tables import read_table, stream_score_requests
 from tallywatch.streaming import jobs
 
 KEY = ", ".join(HOURLY_KEY)
+ANSWER = (
+    "request_id long, location_name string, crime_type string, anomaly_score double, is_anomaly boolean, raw_score double, "
+    "decision double"
+)
 
 SPARSE = f"""{sql.HOURLY}, sparse AS (
   SELECT {KEY}, '{COUNT_FEATURE}' AS feature, incident_count::DOUBLE AS value FROM hourly
@@ -271,3 +276,32 @@ def stream_score(spark, sf_dir):
     counts = spark.readStream.schema(HOURLY).parquet(folder)
     jobs.start_scores(counts, run.model, out, checkpoint, trigger=jobs.ONCE).awaitTermination()
     return spark.read.parquet(out)
+
+
+def _answered(spark, sf_dir, table: str, schema: str) -> DataFrame:
+    """A table of the job that answers requests, two batches of them, the second of which Spark runs twice because it lost its
+    own note of it."""
+    _, run = _trained(spark, sf_dir)
+    folder, out, checkpoint = (new_folder(spark, label) for label in ("requests", "answered", "checkpoint"))
+    requests = views.dirty_requests(spark, sf_dir)
+    early = F.col("request_id") < F.lit(requests.count() // 2)
+    for number, part in enumerate((early, ~early)):
+        append(requests.filter(part), folder, "json")
+        for _ in range(1 + number):
+            jobs.start_answers(stream_score_requests(spark, folder), run.model, out, checkpoint, jobs.ONCE).awaitTermination()
+            remove_folder(spark, f"{checkpoint}/commits/1")
+    return read_committed(spark, out, schema, table=table)
+
+
+@query(f"""WITH {forest_sql.ANSWERS}
+SELECT request_id, location_name, crime_type, anomaly_score, is_anomaly, raw_score, decision FROM answers""")
+def stream_answers(spark, sf_dir):
+    """The answers of a stream of requests."""
+    return _answered(spark, sf_dir, jobs.ANSWERS, ANSWER)
+
+
+@query(f"""WITH {sql.REQUESTS}
+SELECT request_id, crime_type, incident_count, 'location_name' AS invalid_field FROM requests WHERE request_id % 50 = 0""")
+def stream_rejects(spark, sf_dir):
+    """Its requests that have no answer."""
+    return _answered(spark, sf_dir, jobs.REJECTS, "request_id long, crime_type string, incident_count long, invalid_field string")

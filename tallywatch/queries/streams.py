@@ -12,14 +12,15 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywatch.functions.incidents import crime_type, is_from, place_name
-from tallywatch.functions.times import instant
+from tallywatch.functions.incidents import crime_type, place_name, record_id
+from tallywatch.functions.times import day_of, instant
 from tallywatch.queries import sql, views
 from tallywatch.queries.registry import query
-from tallywatch.schema import CHICAGO, ENVELOPE, LA, NYC, SOURCES, UK, Source
+from tallywatch.schema import CHICAGO, ENVELOPE, HOURLY_KEY, LA, NYC, SOURCES, UK, Source
 from tallywatch.session import new_folder, remove_folder
-from tallywatch.sinks.commits import once_per_batch, read_committed, write_rows
-from tallywatch.sinks.messages import to_messages
+from tallywatch.sinks.commits import DATA, batch_name, compact, once_per_batch, read_committed, remove_replaced, write_rows
+from tallywatch.sinks.messages import publish, to_messages
+from tallywatch.sources.landing import extract_all
 from tallywatch.sources.messages import parse, read_messages, stream_messages
 from tallywatch.sources.tables import read_table
 from tallywatch.streaming import jobs
@@ -235,9 +236,8 @@ def poll_stream(spark, sf_dir):
             remove_folder(spark, f"{checkpoint}/commits/{number}")
             remove_folder(spark, f"{out}/_spark_metadata/{number}")
     sent = parse(read_messages(spark, "text", out), ENVELOPE)
-    record_id = F.coalesce(*(F.when(is_from(s), F.col(s.id_field)) for s in SOURCES))
     return sent.select(
-        "source", record_id.alias("record_id"), F.timestamp_seconds("timestamp").alias("polled_at"),
+        "source", record_id().alias("record_id"), F.timestamp_seconds("timestamp").alias("polled_at"),
         crime_type().alias("crime_type"), place_name().alias("location_name"))
 
 
@@ -253,7 +253,7 @@ def _published(spark, landing: str, out: str, checkpoint: str, dies: set[int]):
     def sink(frame: DataFrame, number: int) -> None:
         if number in dies:
             dies.remove(number)
-            write_rows(frame, out, f"messages-{number:09d}")
+            write_rows({DATA: frame}, out, batch_name("messages", number))
             raise SinkFailed(f"batch {number}")
         once(frame, number)
 
@@ -301,3 +301,41 @@ def supervised_run(spark, sf_dir):
             "messages": read_committed(spark, out["messages"], "value string")}
     found = [(name, n, rows[name].count()) for name, n in outcome.restarts.items()]
     return spark.createDataFrame(found, "query string, restarts int, n_rows bigint")
+
+
+UNIQUE_POLLS = (datetime(2024, 1, 20), datetime(2024, 1, 23))
+
+
+@query(f"""WITH {sql.ROUTED}, polls(polled_at) AS (VALUES {", ".join(f"(TIMESTAMP '{at}')" for at in UNIQUE_POLLS)})
+SELECT source, CAST(event_id AS VARCHAR) AS record_id, min(polled_at) AS polled_at
+FROM routed, polls
+WHERE source <> 'uk_police' AND date_trunc('millisecond', ts) > polled_at - INTERVAL 7 DAY
+  AND CAST(ts AS DATE) <= CAST(polled_at AS DATE) + 1
+GROUP BY ALL""")
+def stream_unique(spark, sf_dir):
+    """Two polls of the last seven days, most of whose records are the same: each record once, as the first poll sent it."""
+    folder = views.landing(spark, sf_dir)
+    landing, out, checkpoint = (new_folder(spark, label) for label in ("messages", "unique", "checkpoint"))
+    for at in UNIQUE_POLLS:
+        publish(extract_all(spark, folder, at), "text", landing)
+        run_once(jobs.start_unique, spark, landing, out, checkpoint)
+    sent = parse(read_messages(spark, "parquet", out), ENVELOPE)
+    return sent.select("source", record_id().alias("record_id"), F.timestamp_seconds("timestamp").alias("polled_at"))
+
+
+@query(f"WITH {sql.HOURLY} SELECT * FROM hourly")
+def table_compaction(spark, sf_dir):
+    """Hourly counts appended in five batches to a table by day, compacted after the fourth. Every day then has a file of the
+    four batches and one of the last, and the old files go."""
+    out = new_folder(spark, "hourly")
+    counts = views.hourly_table(spark, sf_dir).withColumn("day", day_of(F.col("window_start"))).repartition(8)
+    part = F.pmod(F.xxhash64(*HOURLY_KEY), F.lit(5))
+    for number in range(5):
+        once_per_batch(out, "hourly", "parquet", "day")(counts.filter(part == number), number)
+        if number == 3 and not (compact(spark, out, counts.schema, "day") and remove_replaced(spark, out) == 4):
+            raise RuntimeError("the table was not compacted")
+    table = read_committed(spark, out, counts.schema)
+    files = table.select("day", F.input_file_name().alias("file")).filter(F.col("file").contains("compacted"))
+    if files.groupBy("day").agg(F.count_distinct("file").alias("n")).filter("n > 1").count():
+        raise RuntimeError("a day of few bytes has several compacted files")
+    return table.drop("day")

@@ -92,6 +92,9 @@ NARROW_ENVELOPE = T.StructType(
     + [_field(f) for s in SOURCES for f in (s.type_field, s.place_field)]
 )
 
+# What tells records apart.
+ID_ENVELOPE = T.StructType([_field(n) for n in (*COMMON_FIELDS, *(s.id_field for s in SOURCES))])
+
 CITY_SCHEMA = T.StructType(
     [
         T.StructField("lat", T.DecimalType(9, 4)),

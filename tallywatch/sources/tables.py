@@ -31,7 +31,15 @@ def read_table_or_empty(spark: SparkSession, path: str, schema: str, fmt: str =
 def read_score_requests(spark: SparkSession, path: str) -> DataFrame:
     """Score requests kept as JSON lines. Numbers may be written as text, and counts with a fraction lose it;
     what is no number becomes NULL, for invalid_requests to find."""
-    text = spark.read.schema(SCORE_REQUEST_TEXT).json(path)
+    return _typed_requests(spark.read.schema(SCORE_REQUEST_TEXT).json(path))
+
+
+def stream_score_requests(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """The same of a folder into which requests keep coming."""
+    return _typed_requests(spark.readStream.schema(SCORE_REQUEST_TEXT).options(**options).json(path))
+
+
+def _typed_requests(text: DataFrame) -> DataFrame:
     return text.withColumns(
         {
             "incident_count": F.col("incident_count").try_cast("double").try_cast("bigint"),

@@ -5,11 +5,14 @@ from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallywatch.plans.training import claim_version, load_latest, registered, save_model, train
 from tallywatch.session import new_folder
 from tallywatch.sinks import commits
-from tallywatch.sinks.commits import append_once, commit, committed, create_file, read_committed, write_rows
+from tallywatch.sinks.commits import (
+    append_once, commit, committed, compact, create_file, read_committed, write_rows,
+)
 from tallywatch.streaming import supervision
 from tallywatch.streaming.supervision import QueryFailed, supervise
 
@@ -28,11 +31,11 @@ def test_a_batch_counts_once(spark, rows, tmp_path):
     assert read_committed(spark, path, "n long").count() == 0
     assert append_once(frame, path, "q-0") and not append_once(frame, path, "q-0")
     # A writer that dies before its commit leaves rows that nobody sees, and the batch can still be written.
-    write_rows(frame, path, "q-1")
+    write_rows({"data": frame}, path, "q-1")
     assert read_committed(spark, path, "n long").count() == 5
     assert append_once(frame, path, "q-1")
     # Of two writers that both got as far as the commit one wins.
-    a, b = (write_rows(frame, path, "q-2") for _ in range(2))
+    a, b = (write_rows({"data": frame}, path, "q-2") for _ in range(2))
     assert [commit(spark, path, "q-2", f) for f in (a, b)] == [True, False]
     assert committed(spark, path)["q-2"] == a
     assert rows(read_committed(spark, path, "n long")) == sorted([(i,) for i in range(5)] * 3)
@@ -145,3 +148,87 @@ def test_a_real_query_is_stopped_between_batches(spark):
         time.sleep(0.05)
     supervision.stop_after_batch(running, 20)
     assert not running.isActive and running.exception() is None
+
+
+SCHEMA = "n long, text string, day string"
+
+
+def table_of(spark, path, batches, size=400):
+    for number in range(batches):
+        frame = spark.range(size * number, size * (number + 1)).select(
+            F.col("id").alias("n"), F.sha2(F.col("id").cast("string"), 256).alias("text"),
+            F.when(F.col("id") % 3 > 0, F.concat(F.lit("d/"), (F.col("id") % 3).cast("string"))).alias("day"))
+        append_once(frame, path, f"q-{number}", "parquet", "day")
+    return read_committed(spark, path, SCHEMA)
+
+
+def test_compaction_keeps_all_rows_in_few_files(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    table = table_of(spark, path, 6)
+    before, n_files = rows(table), len(table.inputFiles())
+    size = sum(r[0] for r in table.select("_metadata.file_size", "_metadata.file_path").distinct().collect())
+    limit = size // 8
+    assert compact(spark, path, SCHEMA, "day", file_bytes=limit)
+    after = read_committed(spark, path, SCHEMA)
+    assert rows(after) == before
+    per_day = after.select("day", "_metadata.file_path", "_metadata.file_size").distinct().groupBy("day").agg(
+        F.count("*").alias("n"), F.sum("file_size").alias("size")).collect()
+    assert len(per_day) == 3 and all(r["n"] <= size / 3 / limit + 2 for r in per_day)
+    assert len(after.inputFiles()) < n_files
+    # What has been replaced still counts as written, and its folders stay until somebody removes them.
+    assert not append_once(spark.range(1).selectExpr("id AS n", "'x' AS text", "'y' AS day"), path, "q-3", "parquet", "day")
+    assert rows(table) == before
+    assert commits.remove_replaced(spark, path) == 6 and commits.remove_replaced(spark, path) == 0
+    assert rows(read_committed(spark, path, SCHEMA)) == before
+
+
+def test_batches_during_a_compaction_stay(spark, rows, tmp_path, monkeypatch):
+    path, real = str(tmp_path / "t"), commits.write_rows
+    table_of(spark, path, 2)
+    late = spark.createDataFrame([(-1, "late", None)], SCHEMA)
+
+    def slow(*given):
+        folder = real(*given)
+        monkeypatch.setattr(commits, "write_rows", real)
+        append_once(late, path, "late", "parquet", "day")
+        return folder
+
+    monkeypatch.setattr(commits, "write_rows", slow)
+    assert compact(spark, path, SCHEMA, "day")
+    assert set(committed(spark, path)) == {"compacted-000000000", "late"}
+    assert read_committed(spark, path, SCHEMA).count() == 801
+    assert compact(spark, path, SCHEMA, "day") and set(committed(spark, path)) == {"compacted-000000001"}
+    assert not compact(spark, path, SCHEMA, "day")
+    assert read_committed(spark, path, SCHEMA).count() == 801
+
+
+def test_one_of_two_compactions_counts(spark, tmp_path, monkeypatch):
+    path, real = str(tmp_path / "t"), commits.write_rows
+    table_of(spark, path, 3)
+
+    def overtaken(*given):
+        folder = real(*given)
+        monkeypatch.setattr(commits, "write_rows", real)
+        assert compact(spark, path, SCHEMA, "day")
+        return folder
+
+    monkeypatch.setattr(commits, "write_rows", overtaken)
+    assert not compact(spark, path, SCHEMA, "day")
+    assert read_committed(spark, path, SCHEMA).count() == 1200
+
+
+def test_compaction_without_partitions(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    for number in range(3):
+        append_once(spark.range(10), path, f"q-{number}")
+    assert compact(spark, path, "id long") and len(read_committed(spark, path, "id long").inputFiles()) == 1
+    assert read_committed(spark, path, "id long").count() == 30
+
+
+def test_two_tables_take_a_batch_together(spark, tmp_path):
+    path = str(tmp_path / "t")
+    both = {"a": spark.range(2), "b": spark.range(3)}
+    write_rows(both, path, "q-0")
+    assert [read_committed(spark, path, "id long", table=t).count() for t in "ab"] == [0, 0]
+    assert append_once(both, path, "q-0") and not append_once(both, path, "q-0")
+    assert [read_committed(spark, path, "id long", table=t).count() for t in "ab"] == [2, 3]

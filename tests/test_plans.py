@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallywatch.__main__ import days_of
 from tallywatch.functions.times import day_of, on_report_days
 from tallywatch.operators.aggregates import hourly_counts
+from tallywatch.operators.features import fit_scaler, scaled_features
 from tallywatch.operators.forest import draw_samples
 from tallywatch.operators.grid import time_grid
 from tallywatch.operators.normalize import unify
@@ -95,3 +96,15 @@ def test_days_prune_the_tables_of_the_streams(spark, tmp_path):
     assert since.count() == 2
     recent = table.filter(on_report_days(F.col("day"), datetime(1970, 1, 4, 12), "24h"))
     assert recent.count() == 3 and "day" in recent._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
+
+
+def test_only_places_and_types_are_joined_when_scaling(spark, planted):
+    folder = new_folder(spark, "counts")
+    planted.write.parquet(folder)
+    counts = spark.read.parquet(folder)
+    scaler = fit_scaler(counts)
+    stored = new_folder(spark, "scaler")
+    scaler.write.parquet(stored)
+    text = plan(scaled_features(counts, spark.read.parquet(stored), "window_start"))
+    # The count is scaled by two scalars: its rows are in no join, and its feature is filtered out of the joined scaler.
+    assert text.count("Join") == 1 and "NOT (feature" in text and text.count("Subquery") >= 2

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywatch.operators.aggregates import hourly_counts
 from tallywatch.operators.normalize import unify
@@ -15,6 +16,7 @@ from tallywatch.operators.scoring import score_counts
 from tallywatch.plans.training import train
 from tallywatch.schema import HOURLY
 from tallywatch.session import new_folder
+from tallywatch.sinks.commits import compact, read_committed
 from tallywatch.sources.messages import parse_narrow, stream_messages
 from tallywatch.streaming import jobs
 
@@ -167,3 +169,37 @@ def test_waiting_notices_a_failure_of_any_query(spark, tmp_path):
     finally:
         running.stop()
         spark.streams.resetTerminated()
+
+
+def test_repeats_are_dropped_while_they_are_remembered(spark, tmp_path):
+    """One poll per file: a record that comes again within the time remembered is known, also after a restart; records
+    without an id are known by their text; unusable messages are left out."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    again = message(0, dr_no="1")
+    polls = [
+        [again, again, message(0), message(0), '{"source":"la"}', "no json", message(0, source="mars", dr_no="1")],
+        [message(60, dr_no="1"), message(60, dr_no="2"), message(0), message(1, source="nyc", cmplnt_num="1")],
+        [message(500, dr_no="3")],
+        [message(600, dr_no="1"), message(600, dr_no="2")],
+    ]
+    for i, lines in enumerate(polls):
+        land(source, f"{i}.json", *lines)
+        messages = stream_messages(spark, "text", str(source))
+        jobs.start_unique(messages, out, str(tmp_path / "cp"), "2 hours", trigger=jobs.ONCE).awaitTermination()
+    kept = sorted(r[0] for r in spark.read.parquet(out).collect())
+    first = [again, message(0), message(60, dr_no="2"), message(1, source="nyc", cmplnt_num="1")]
+    # Ten hours later, and after the watermark has passed their time, the agency's records are new again.
+    assert kept == sorted([*first, message(500, dr_no="3"), message(600, dr_no="1"), message(600, dr_no="2")])
+
+
+def test_tables_of_the_jobs_can_be_committed_and_compacted(spark, tmp_path, rows):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for i, minute in enumerate((0, 70, 200)):
+        land(source, f"{i}.json", message(minute), message(minute))
+        messages = stream_messages(spark, "text", str(source))
+        jobs.start_hourly(messages, out, str(tmp_path / "cp"), fmt=jobs.COMMITTED, trigger=jobs.ONCE).awaitTermination()
+    schema = T.StructType([*HOURLY.fields, T.StructField("day", T.DateType())])
+    before = rows(read_committed(spark, out, schema), "window_start", "incident_count")
+    assert [n for _, n in before] == [2, 2]
+    assert compact(spark, out, schema, "day")
+    assert rows(read_committed(spark, out, schema), "window_start", "incident_count") == before
