@@ -2,8 +2,9 @@
 
 A seed is a mask over consecutive words that reads some and ignores the others. Equal hashes under one of MASKS at a
 position of a document and of a benchmark item are a hit; around it the two texts are laid beside each other, without
-gaps, and the stretch with the best score decides. The masks find every pair of 15 words that differ in at most two
-places, of 20 in three and of 25 in four; test_decontaminate.py counts that through.
+gaps, and the stretch with the best score decides. The masks hit every pair of passages of 15 to 30 words that the rule
+for overlaps accepts: they were chosen over all patterns of substitutions where these are at most 20,000 per number of
+substitutions, and over 20,000 random ones where they are more; test_decontaminate.py draws further ones.
 
 Words are runs of letters and digits in lower case, so neither case, punctuation nor line breaks matter.
 """
@@ -24,7 +25,10 @@ from tallywatch.llm.links import stored
 from tallywatch.llm.packing import pack, unpacked_slices
 from tallywatch.llm.words import mix, rows_of, signed, slices, span_hashes, text_buffer, word_bounds
 
-MASKS = ("11110111", "1111000111", "110111011", "1110100111")
+MASKS = (
+    "11110111", "1111000111", "110111011", "1110100111",  # seven words
+    "1100101011", "1010011011", "101011011", "1111011",  # six: what the others miss
+)
 SPAN = max(map(len, MASKS))
 
 # An overlap counts with as many equal words, or with the share of the item's words, and with the share of its own.
@@ -33,8 +37,13 @@ ITEM_SHARE = 0.8
 EQUAL_SHARE = 0.75
 MISMATCH = 2
 
-# Bytes of benchmark text up to which it is sent to every task; a larger one is joined by hash.
-SENT_BYTES = 16 << 20
+# Bytes of benchmark text up to which it is sent to every task; a larger one is joined by hash. Its seeds take about
+# ten times as much, 16 bytes per word and mask.
+SENT_BYTES = 1 << 20
+
+# Pairs of positions, and words of shifted texts, that are looked at at once.
+PAIRS = 1 << 20
+CELLS = 1 << 20
 
 _SEPARATOR = np.ones(256, dtype=bool)
 _SEPARATOR[48:58] = _SEPARATOR[65:91] = _SEPARATOR[97:123] = False
@@ -97,45 +106,117 @@ class Items:
         order = np.argsort(hashes, kind="stable")
         return cls(first, words, hashes[order], positions[order], masks)
 
-    def hits(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of positions in `words` and in the items with equal seeds."""
+    def hits(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions in `words` with a seed that items have too, where its positions in the items begin, and their number."""
         coarse = np.zeros(1 << 20, dtype=bool)
         coarse[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
-        mine, theirs = [], []
+        found = []
         for salt, mask in enumerate(self.masks, 1):
-            at, found = seeds(words, first, mask, salt)
-            maybe = coarse[(found >> np.uint64(44)).astype(np.int64)]
-            at, found = at[maybe], found[maybe]
-            low, high = (np.searchsorted(self.hashes, found, side) for side in ("left", "right"))
-            n = high - low
-            mine.append(np.repeat(at, n))
-            theirs.append(self.positions[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())])
-        return np.concatenate(mine), np.concatenate(theirs)
-
-
-def overlaps(
-    words: np.ndarray, first: np.ndarray, items: np.ndarray, items_first: np.ndarray, mine: np.ndarray, theirs: np.ndarray
-) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """Row, item, begin in both, words and equal words of the overlaps around hits that count.
-
-    Each pair of texts is laid out once per shift between them. The stretch taken is the one with the most equal words
-    less MISMATCH times the others.
+            at, hashes = seeds(words, first, mask, salt)
+            maybe = coarse[(hashes >> np.uint64(44)).astype(np.int64)]
+            at, hashes = at[maybe], hashes[maybe]
+            low, high = (np.searchsorted(self.hashes, hashes, side) for side in ("left", "right"))
+            some = high > low
+            found.append((at[some], low[some], (high - low)[some]))
+        return tuple(np.concatenate(c) for c in zip(*found))
+
+    def meetings(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Row, item and all distinct shifts between them at which they have a seed in common.
+
+        Pairs of positions are laid out up to PAIRS at a time; a row that alone has more goes item by item.
+        """
+        at, low, n = self.hits(words, first)
+        rows = np.searchsorted(first, at, side="right") - 1
+        order = np.argsort(rows, kind="stable")
+        at, low, n, rows = at[order], low[order], n[order], rows[order]
+        every, begins = np.unique(rows, return_index=True)
+        totals = np.add.reduceat(n, begins) if len(n) else n
+        begins = np.append(begins, len(rows))
+        k = 0
+        while k < len(every):
+            end = max(k + 1, k + int(np.searchsorted(np.cumsum(totals[k:]), PAIRS, side="right")))
+            some = slice(begins[k], begins[end])
+            if totals[k:end].sum() > PAIRS:
+                yield from self._crowded(int(every[k]), at[some] - first[every[k]], low[some], n[some], int(first[every[k] + 1] - first[every[k]]))
+            else:
+                theirs = self.positions[_ranges(low[some], n[some])]
+                of = np.searchsorted(self.first, theirs, side="right") - 1
+                row = np.repeat(rows[some], n[some])
+                shift = np.repeat(at[some], n[some]) - first[row] - (theirs - self.first[of])
+                triples = np.unique(np.column_stack([row, of, shift]), axis=0)
+                cuts = np.flatnonzero(np.any(triples[1:, :2] != triples[:-1, :2], axis=1)) + 1
+                for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(triples)]):
+                    if b > a:
+                        yield int(triples[a, 0]), int(triples[a, 1]), triples[a:b, 2]
+            k = end
+
+    def _crowded(self, row: int, at: np.ndarray, low: np.ndarray, n: np.ndarray, size: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        """The same for one row: every shift is a mark, set for all positions of a seed at once."""
+        order = np.argsort(low, kind="stable")
+        at, low, n = at[order], low[order], n[order]
+        lows, begins = np.unique(low, return_index=True)
+        ends = np.append(begins[1:], len(low))
+        theirs = _ranges(lows, n[begins])
+        seed = np.repeat(np.arange(len(lows)), n[begins])
+        of = np.searchsorted(self.first, self.positions[theirs], side="right") - 1
+        by_item = np.argsort(of, kind="stable")
+        for item in np.unique(of).tolist():
+            a, b = np.searchsorted(of[by_item], [item, item + 1])
+            item_size = int(self.first[item + 1] - self.first[item])
+            marks = np.zeros(size + item_size, dtype=bool)
+            for i in by_item[a:b].tolist():
+                place = int(self.positions[theirs[i]] - self.first[item])
+                marks[at[begins[seed[i]]: ends[seed[i]]] + (item_size - place)] = True
+            yield row, item, np.flatnonzero(marks) - item_size
+
+
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each beginning on, as many as its size."""
+    return np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def best_overlap(doc: np.ndarray, item: np.ndarray, shifts: np.ndarray) -> tuple[int, int, int, int] | None:
+    """(begin, item_begin, n_words, n_equal) of the best overlap that counts over some shifts, None without one.
+
+    At a shift the two texts lie beside each other, and the stretch taken is the one with the most equal words less MISMATCH
+    times the others. The best overlap has the most equal words, then begins first.
     """
-    rows = np.searchsorted(first, mine, side="right") - 1
-    of = np.searchsorted(items_first, theirs, side="right") - 1
-    shifts = (mine - first[rows]) - (theirs - items_first[of])
-    for row, item, shift in np.unique(np.column_stack([rows, of, shifts]), axis=0).tolist():
-        size, item_size = int(first[row + 1] - first[row]), int(items_first[item + 1] - items_first[item])
-        begin, end = max(0, -shift), min(item_size, size - shift)  # in the item
-        a = words[first[row] + shift + begin: first[row] + shift + end]
-        equal = a == items[items_first[item] + begin: items_first[item] + end]
-        sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISMATCH))])
-        stop = int(np.argmax(sums - np.minimum.accumulate(sums)))
-        start = int(np.argmin(sums[: stop + 1]))
-        n_equal = int(equal[start:stop].sum())
-        needed = min(MIN_EQUAL, math.ceil(ITEM_SHARE * item_size))
-        if n_equal >= needed and n_equal >= EQUAL_SHARE * (stop - start):
-            yield row, item, shift + begin + start, begin + start, stop - start, n_equal
+    size, needed = len(item), min(MIN_EQUAL, math.ceil(ITEM_SHARE * len(item)))
+    around = np.concatenate([np.zeros(size, doc.dtype), doc, np.zeros(size, doc.dtype)])
+    views, best = np.lib.stride_tricks.sliding_window_view(around, size), None
+    step = max(1, CELLS // size)
+    for k in range(0, len(shifts), step):
+        some = shifts[k: k + step]
+        begin, end = np.maximum(0, -some), np.minimum(size, len(doc) - some)  # in the item
+        place = np.arange(size)
+        inside = (place >= begin[:, None]) & (place < end[:, None])
+        equal = (views[some + size] == item) & inside
+        enough = np.flatnonzero(equal.sum(axis=1) >= needed)
+        if not len(enough):
+            continue
+        some, begin, equal, inside = some[enough], begin[enough], equal[enough], inside[enough]
+        sums, n_equal = (np.zeros((len(some), size + 1), np.int64) for _ in range(2))
+        np.cumsum(np.where(equal, 1, np.where(inside, -MISMATCH, 0)), axis=1, out=sums[:, 1:])
+        np.cumsum(equal, axis=1, out=n_equal[:, 1:])
+        low = np.minimum.accumulate(sums, axis=1)
+        stop = np.argmax(sums - low, axis=1)
+        lines = np.arange(len(some))
+        start = np.maximum(begin, np.argmax(sums == low[lines, stop][:, None], axis=1))
+        n = n_equal[lines, stop] - n_equal[lines, start]
+        counts = (n >= needed) & (n >= EQUAL_SHARE * (stop - start))
+        for i in np.flatnonzero(counts & (n == np.max(n, where=counts, initial=0))):
+            found = (int(n[i]), -int(some[i] + start[i]), -int(start[i]), int(stop[i] - start[i]))
+            best = found if best is None else max(best, found)
+    return None if best is None else (-best[1], -best[2], best[3], best[0])
+
+
+def overlaps(words: np.ndarray, first: np.ndarray, known: Items) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """Row, item, begin in both, words and equal words of the best overlap of every row and item that have one."""
+    for row, item, shifts in known.meetings(words, first):
+        doc, other = words[first[row]: first[row + 1]], known.words[known.first[item]: known.first[item + 1]]
+        found = best_overlap(doc, other, shifts)
+        if found:
+            yield row, item, *found
 
 
 def _lower(frame: DataFrame, key: str, text: str) -> DataFrame:
@@ -187,8 +268,7 @@ def _sent(docs: DataFrame, items: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 words, first = plain_words(part["text"])
-                hits = known.hits(words, first)
-                yield _rows(list(overlaps(words, first, known.words, known.first, *hits)), part["key"], keys)
+                yield _rows(list(overlaps(words, first, known)), part["key"], keys)
 
     return docs.mapInArrow(run, _schema(docs, items))
 
@@ -234,8 +314,7 @@ def _joined(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame
                 for i in range(part.num_rows):
                     words, first = plain_words(unpacked.slice(i, 1))
                     known = Items.of(part["item_text"].slice(i, 1))
-                    found += [(i, i, *o[2:]) for o in overlaps(
-                        words, first, known.words, known.first, *known.hits(words, first))]
+                    found += [(i, i, *o[2:]) for o in overlaps(words, first, known)]
                 yield _rows(found, part["doc_key"], part["item_key"])
 
     return texts.mapInArrow(compare, _schema(docs, items))

@@ -1,5 +1,7 @@
 import itertools
 import random
+
+import numpy as np
 import re
 
 import pyarrow as pa
@@ -82,6 +84,7 @@ def test_substitutions_and_short_items(spark, sent):
     # Beyond three substitutions the masks promise nothing, and equally good stretches differ in length.
     sure = [{(d, i, n) for d, i, n in found if d <= 3 or d >= 20} for found in (got, want)]
     assert sure[0] == sure[1]
+    assert {(d, i) for d, i, _ in got} <= {(d, i) for d, i, _ in want}
     assert {(0, 1, 24), (2, 1, 22), (21, 1, 14), (22, 2, 3), (25, 3, 8)} <= got and not {d for d, *_ in got} & {20, 23}
 
 
@@ -102,3 +105,44 @@ def test_words_beyond_ascii():
     words, first = decontaminate.plain_words(pa.array(["a“b”c\xa0d", "a b c d", "naïve—co", "naïve co"]))
     rows = [words[a:b].tolist() for a, b in zip(first[:-1], first[1:])]
     assert rows[0] == rows[1] and rows[2] == rows[3]
+
+
+def test_repeated_words_are_laid_out_in_bounded_blocks(monkeypatch):
+    """Best overlaps of texts that are full of repeats, whole, in small blocks, and by the way for crowded rows."""
+    rng = random.Random(7)
+    docs = ["a " * 300, "a b " * 100, "b a c " * 60, " ".join(rng.choices("abc", k=200)), "x " * 40, ""]
+    items = ["a " * 30, "a b " * 12, "c b a " * 9, " ".join(rng.choices("abc", k=40)), "b a", ""]
+    (words, first), known = decontaminate.plain_words(pa.array(docs)), decontaminate.Items.of(pa.array(items))
+    want = sorted(decontaminate.overlaps(words, first, known))
+    assert (0, 0, 0, 0, 30, 30) in want and len(want) > 5
+    for pairs, cells in ((1, 1), (50, 100), (5000, 64)):
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        monkeypatch.setattr(decontaminate, "CELLS", cells)
+        assert sorted(decontaminate.overlaps(words, first, known)) == want
+    exact = {(d, i, n) for d, i, n in brute(list(enumerate(docs[:4])), list(enumerate(items[:5])))}
+    assert {(d, i) for d, i, *_ in want} <= {(d, i) for d, i, _ in exact}
+    assert all((d, i, n) in exact for d, i, _, _, m, n in want if m == n)
+
+
+def test_a_very_long_text_of_one_word(monkeypatch):
+    (words, first), known = decontaminate.plain_words(pa.array(["a " * 200_000])), decontaminate.Items.of(pa.array(["a " * 100, "b c"]))
+    assert list(decontaminate.overlaps(words, first, known)) == [(0, 0, 0, 0, 100, 100)]
+
+
+def test_whatever_the_rule_accepts_is_hit():
+    """Random substitutions in passages of 15 to 30 words: where the overlap counts, some mask reads equal words only."""
+    rng = np.random.default_rng(3)
+    for size in range(15, 31):
+        item = np.arange(size, dtype=np.uint64)
+        accepted = 0
+        for n in range(1, size // 3 + 1):
+            for _ in range(150):
+                equal = np.ones(size, dtype=bool)
+                equal[rng.choice(size, n, replace=False)] = False
+                doc = np.where(equal, item, item + np.uint64(1000))
+                if decontaminate.best_overlap(doc, item, np.zeros(1, np.int64)) is None:
+                    continue
+                accepted += 1
+                assert any(all(equal[at + i] for i, read in enumerate(mask) if read == "1")
+                           for mask in decontaminate.MASKS for at in range(size - len(mask) + 1)), (size, equal)
+        assert accepted > 100
