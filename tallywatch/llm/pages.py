@@ -15,7 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,6 +57,9 @@ TEXT_ONLY = frozenset(
 ARTICLE_TAGS = frozenset("main h1".split())
 NEVER_OUTSIDE = frozenset("html body main h1 h2 h3 h4 h5 h6".split())
 
+# Elements that hold paragraphs, or are one.
+HOLDERS = BLOCKS | {"td", "th"}
+
 _TOKEN = re.compile(r"<!--|<!|<\?|<(/?)([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _TAG_REST = re.compile(r"""[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*""")
@@ -64,19 +67,24 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class _Tree:
-    """Elements in page order as parallel lists; the parent of an element comes before it."""
+    """Elements in page order as parallel lists; the parent of an element comes before it.
+
+    The depths of open elements are kept per tag, so that no step walks over elements that it does not close.
+    """
 
     def __init__(self) -> None:
         self.tag, self.parent, self.outside = ["#root"], [0], [False]
         self.runs: list[tuple[int, str]] = []  # (element, text) in page order; text None ends a block
         self.open = [0]
+        self.depths: dict[str, list[int]] = {}
+        self.holders: list[int] = []  # depths of open elements in which a paragraph ends
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
             self._end_paragraph()
         if tag in ENDS_SAME:
             names, scope = ENDS_SAME[tag]
-            self._close(set(names.split()), scope)
+            self._close(names.split(), scope)
         self.tag.append(tag)
         self.parent.append(self.open[-1])
         self.outside.append(_outside(tag, attributes))
@@ -86,33 +94,37 @@ class _Tree:
         elif tag in ("br", "td", "th", "img"):
             self.runs.append((self.open[-1], " "))
         if tag not in VOID:
+            self.depths.setdefault(tag, []).append(len(self.open))
+            if tag in HOLDERS:
+                self.holders.append(len(self.open))
             self.open.append(node)
 
+    def _cut(self, depth: int) -> None:
+        """Close the open element at this depth and all in it."""
+        for node in self.open[depth:]:
+            self.depths[self.tag[node]].pop()
+        while self.holders and self.holders[-1] >= depth:
+            self.holders.pop()
+        del self.open[depth:]
+
     def end(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.tag[self.open[depth]] == tag:
-                del self.open[depth:]
-                break
+        if self.depths.get(tag):
+            self._cut(self.depths[tag][-1])
         if tag in BLOCKS:
             self.runs.append((self.open[-1], None))
 
     def _end_paragraph(self) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            name = self.tag[self.open[depth]]
-            if name == "p":
-                del self.open[depth:]
-                return
-            if name in BLOCKS or name in ("td", "th"):
-                return
-
-    def _close(self, names: set[str], scope: set[str]) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            name = self.tag[self.open[depth]]
-            if name in names:
-                del self.open[depth:]
-                return
-            if name in scope:
-                return
+        if self.holders and self.tag[self.open[self.holders[-1]]] == "p":
+            self._cut(self.holders[-1])
+
+    def _innermost(self, tags: Iterable[str]) -> int:
+        """Depth of the innermost open element with one of the tags, 0 for none."""
+        return max((self.depths[tag][-1] for tag in tags if self.depths.get(tag)), default=0)
+
+    def _close(self, names: Iterable[str], scope: Iterable[str]) -> None:
+        depth = self._innermost(names)
+        if depth > self._innermost(scope):
+            self._cut(depth)
 
 
 def _outside(tag: str, attributes: str) -> int:
@@ -273,11 +285,11 @@ def _marked(tags: list[str], parent: list[int], outside: list[bool], density: li
     while at:
         at = parent[at]
         threshold = min(threshold, density[at])
-    content, reached = [False] * n, [False] * n
+    content, reached, whole = [False] * n, [False] * n, _wholes(tags, parent)
     for node in range(n):
         reached[node] = not outside[node] and (not node or reached[parent[node]]) and density[node] >= threshold
         if reached[node]:
-            content[_whole(best[node], tags, parent)] = True
+            content[whole[best[node]]] = True
     above = set()
     for node in range(n - 1, 0, -1):
         if content[node] or node in above:
@@ -288,16 +300,14 @@ def _marked(tags: list[str], parent: list[int], outside: list[bool], density: li
     return content
 
 
-def _whole(node: int, tags: list[str], parent: list[int]) -> int:
-    """The outermost article around an element, or else the main element, or itself."""
-    found, main, at = node, node, node
-    while at:
-        if tags[at] == "article":
-            found = at
-        elif tags[at] == "main" and main == node:
-            main = at
-        at = parent[at]
-    return found if tags[found] == "article" else main
+def _wholes(tags: list[str], parent: list[int]) -> list[int]:
+    """For every element the outermost article around it, or else the innermost main element, or itself."""
+    article, main, whole = [0] * len(tags), [0] * len(tags), list(range(len(tags)))
+    for node in range(1, len(tags)):
+        article[node] = article[parent[node]] or (node if tags[node] == "article" else 0)
+        main[node] = node if tags[node] == "main" else main[parent[node]]
+        whole[node] = article[node] or main[node] or node
+    return whole
 
 
 def extract(pages: DataFrame, page: str = "html", into: str = "text") -> DataFrame:

@@ -1,11 +1,15 @@
 import html
+import math
+import random
 import re
+import time
 
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
+from tallywatch.llm import pages
 from tallywatch.llm.pages import extract, main_text
 from tallywatch.llm.queries import QUERIES
 
@@ -79,3 +83,81 @@ def test_odd_rows(spark):
     assert sorted(((r.c0, len(r.text)) for r in got.collect()), key=repr) == sorted(
         [(1, 0), (1, 0), (1, len(LONG)), (1, len(LONG)), (None, 20_000 * 3 - 2)], key=repr)
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 50_000 + "text", "<b>" * 25_000 + "</i>" * 25_000 + "text", "<ul><li><ul>" + "<b>" * 25_000 + "<li>x</li>" * 25_000 + "text",
+    "<b>" * 25_000 + "<p>x" * 25_000 + "text", "<table><tr>" + "<td><b>" * 25_000 + "text", "<article>" + "<div>" * 50_000 + "text",
+])
+def test_deep_and_unclosed_markup_takes_a_time_in_proportion(page):
+    begin = time.process_time()
+    pages.main_text(page)
+    assert time.process_time() - begin < 10
+
+
+def plain_density(node, chars, link_chars, tags, link_tags, share):
+    """Composite text density of one element by its definition, from counts over its subtree."""
+    c, lc, t, lt = chars[node], link_chars[node], max(tags[node], 1), max(link_tags[node], 1)
+    base = math.log(c * lc / max(c - lc, 1) + share * c + math.e)
+    return c / t * math.log(max(c * t / (max(lc, 1) * lt), 1), base)
+
+
+def below(tree, node):
+    out, at = [], [node]
+    while at:
+        up = at.pop()
+        children = [i for i in range(1, len(tree.tag)) if tree.parent[i] == up]
+        out += children
+        at += children
+    return out
+
+
+def generated_page(rng, outside):
+    """Markup without tags or names that say what is article; one branch holds most of the text."""
+    def link():
+        return f"<a href=x>{' '.join(rng.choices(('home', 'more', 'next', 'all'), k=rng.randint(1, 3)))}</a>"
+
+    def paragraph():
+        return f"<p>{' '.join(rng.choices(('long', 'story', 'about', 'rivers', 'mountains'), k=rng.randint(20, 60)))} {link() if rng.random() < 0.3 else ''}</p>"
+
+    lists = ["<div><ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.randint(3, 12))) + "</ul></div>" for _ in range(outside)]
+    article = "<div><div>" + "".join(paragraph() for _ in range(rng.randint(3, 9))) + "</div></div>"
+    lists.insert(rng.randint(0, outside), article)
+    return f"<html><body>{''.join(lists)}</body></html>", article
+
+
+def test_densities_are_those_of_the_definition(monkeypatch):
+    rng, seen = random.Random(6), []
+    real = pages._marked
+
+    def watched(tags, parent, outside, density, sums):
+        seen.append((density, sums))
+        return real(tags, parent, outside, density, sums)
+
+    monkeypatch.setattr(pages, "_marked", watched)
+    for _ in range(25):
+        page, article = generated_page(rng, rng.randint(0, 4))
+        seen.clear()
+        found = pages.main_text(page)
+        tree, (density, sums) = pages._parse(page), seen[0]
+        n = len(tree.tag)
+        own, own_link = [0] * n, [0] * n
+        for node, text in tree.runs:
+            size, up, linked = len("".join((text or "").split())), node, False
+            while up:
+                linked, up = linked or tree.tag[up] == "a", tree.parent[up]
+            own[node] += size
+            own_link[node] += size * linked
+        under = [below(tree, node) for node in range(n)]
+        chars, link_chars = ([k[node] + sum(k[i] for i in under[node]) for node in range(n)] for k in (own, own_link))
+        tags, link_tags = [len(u) for u in under], [sum(tree.tag[i] == "a" for i in u) for u in under]
+        share = link_chars[0] / chars[0]
+        for node in range(n):
+            if chars[node]:
+                assert math.isclose(density[node], plain_density(node, chars, link_chars, tags, link_tags, share), rel_tol=1e-9)
+        for node in range(n):
+            direct = own[node] - own_link[node]
+            want = direct + sum(density[i] for i in range(1, n) if tree.parent[i] == node)
+            assert math.isclose(sums[node], want, rel_tol=1e-9, abs_tol=1e-9)
+        # Without any name or tag to go by, the branch with the story is found and no list comes along.
+        assert found.replace("\n\n", " ").split() == re.sub("<[^>]*>", " ", article).split()
