@@ -1,9 +1,8 @@
 import itertools
 import random
-
-import numpy as np
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
