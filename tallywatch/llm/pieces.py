@@ -3,8 +3,9 @@
 The best segmentation of a text is the one with the greatest sum of piece scores. `streaming_viterbi` reads it once: it
 keeps the backpointers of the last positions, as many as the longest piece has characters, and commits ids as soon as all
 surviving paths run through one boundary. Some boundaries are known to be such before the search: those no piece of
-the model reaches over. Texts are cut there, each distinct stretch is searched once per worker, many stretches side by
-side, and longer ones by the stream. Ties go to the path whose last piece begins first, at every position.
+the model reaches over. Texts are cut there, and each distinct stretch is searched once per worker: stretches of up to
+SIDE_BY_SIDE characters by a stream that takes many of them side by side, with the same window and the same commits, longer
+ones one by one. Ties go to the path whose last piece begins first, at every position.
 
 Characters without a piece are written as byte pieces, with the score the library's unigram model gives unknown ones.
 """
@@ -26,6 +27,9 @@ UNKNOWN_PENALTY = 10.0
 SIDE_BY_SIDE = 48
 MAX_REMEMBERED = 1 << 21
 
+# In rows of committed ids: nothing. Numbers below say at which place a character has no piece.
+NO_PIECE = -1
+
 _models: dict[str, "Pieces"] = {}
 
 
@@ -186,45 +190,48 @@ class Pieces:
         return ids[np.repeat(begins - total, lengths) + np.arange(len(ids))], lengths
 
     def _search(self, stretches: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
-        """The same for stretches of `size` characters."""
-        n = len(stretches)
+        """The same for stretches of `size` characters: the stream, position by position over all of them.
+
+        Of the scores the last `longest` positions are kept, of the backpointers those behind the committed boundaries.
+        Every `longest` positions, and at the end, each stretch commits the ids before the boundary at which all its
+        surviving paths meet.
+        """
+        n, width = len(stretches), self.longest + 1
         points = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32).reshape(n, size).astype(np.uint64)
-        best = np.zeros((size + 1, n))
-        back, piece = np.zeros((size + 1, n), np.int64), np.zeros((size + 1, n), np.int64)
+        best = np.zeros((width, n))
+        window = Window(n)
         for end in range(1, size + 1):
-            top = np.full(n, -np.inf)
+            top, back, piece = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
             for start in range(max(0, end - self.longest), end):
                 if end - start not in self.by_length:
                     continue
                 keys, scores, ids = self.by_length[end - start]
                 wanted = self._key(points[:, start:end])
                 found = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                hit = keys[found] == wanted
+                hit, before = keys[found] == wanted, best[start % width]
                 if end - start == 1:
-                    score, id_ = best[start] + np.where(hit, scores[found], self.unknown), np.where(hit, ids[found], -1)
+                    score, id_ = before + np.where(hit, scores[found], self.unknown), np.where(hit, ids[found], -1)
                 else:
-                    score, id_ = np.where(hit, best[start] + scores[found], -np.inf), ids[found]
+                    score, id_ = np.where(hit, before + scores[found], -np.inf), ids[found]
                 better = score > top
                 top = np.where(better, score, top)
-                back[end][better], piece[end][better] = start, id_[better]
-            best[end] = top
-        steps, ends, row = [], np.full(n, size), np.arange(n)
-        while ends.any():
-            steps.append(np.where(ends > 0, piece[ends, row], -2))
-            ends = np.where(ends > 0, back[ends, row], 0)
-        path = np.stack(steps[::-1], axis=1)  # last piece in the last column, -2 in front of the first
-        counts = (path > -2).sum(axis=1)
-        odd = np.flatnonzero((path == -1).any(axis=1))
+                back[better], piece[better] = start, id_[better]
+            best[end % width] = top
+            window.add(back, piece)
+            if end == size:
+                window.commit(end, end)
+            elif end % self.longest == 0:
+                window.commit(max(0, end - self.longest + 1), end)
+        path = np.concatenate(window.committed, axis=1)
+        counts = (path != NO_PIECE).sum(axis=1)
+        odd = np.flatnonzero((path < NO_PIECE).any(axis=1))
         if not len(odd):
-            return path[path > -2].astype(np.int32), counts
-        coded = [p[p > -2] for p in path]
+            return path[path != NO_PIECE].astype(np.int32), counts
+        coded = [p[p != NO_PIECE] for p in path]
         for k in odd:
-            ids, end = [], size
-            while end:
-                start, p = int(back[end, k]), int(piece[end, k])
-                ids.append([p] if p >= 0 else [self.bytes_of[b] for b in stretches[k][start:end].encode()])
-                end = start
-            coded[k] = np.array([i for some in reversed(ids) for i in some])
+            # A character without a piece, by its place.
+            ids = [[i] if i >= 0 else [self.bytes_of[b] for b in stretches[k][NO_PIECE - 1 - i].encode()] for i in coded[k].tolist()]
+            coded[k] = np.array([i for some in ids for i in some])
             counts[k] = len(coded[k])
         return np.concatenate(coded).astype(np.int32), counts
 
@@ -321,6 +328,51 @@ class Pieces:
         return same
 
 
+class Window:
+    """Backpointers of many searches that go side by side, from the first boundary that is not committed on."""
+
+    def __init__(self, n: int):
+        self.done = np.zeros(n, np.int64)
+        self.first = 1  # the position of the first row of the backpointers
+        self.back: list[np.ndarray] = []
+        self.piece: list[np.ndarray] = []
+        self.committed: list[np.ndarray] = []
+        self.rows = np.arange(n)
+
+    def add(self, back: np.ndarray, piece: np.ndarray) -> None:
+        """Where the best path to the next position comes from, and by which piece."""
+        self.back.append(back)
+        self.piece.append(piece)
+
+    def commit(self, begin: int, end: int) -> None:
+        """Commit what the paths to all positions from `begin` to `end` have in common."""
+        back, piece = np.stack(self.back), np.stack(self.piece)
+        alive = np.maximum(np.arange(begin, end + 1)[:, None], self.done)
+        while True:
+            last = alive.max(axis=0)
+            apart = last > alive.min(axis=0)
+            if not apart.any():
+                break
+            # The path that is furthest goes back by one piece.
+            before = np.where(apart, back[np.maximum(last - self.first, 0), self.rows], last)
+            alive = np.where(alive == last, before, alive)
+        joint, at, steps = alive[0], alive[0].copy(), []
+        while True:
+            going = at > self.done
+            if not going.any():
+                break
+            where = np.maximum(at - self.first, 0)
+            start, id_ = back[where, self.rows], piece[where, self.rows]
+            steps.append(np.where(going, np.where(id_ < 0, NO_PIECE - 1 - start, id_), NO_PIECE))
+            at = np.where(going, start, at)
+        if steps:
+            self.committed.append(np.stack(steps[::-1], axis=1))
+        self.done = joint
+        gone = max(0, int(joint.min()) + 1 - self.first)
+        del self.back[:gone], self.piece[:gone]
+        self.first += gone
+
+
 def encode(
     docs: DataFrame, path: str, text: str = "text", into: str = "ids", round_trip: str | None = None
 ) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
+from tallywatch.llm import pieces as module
 from tallywatch.llm.pieces import SPACE, decode, encode, pieces
 from tallywatch.llm.queries import QUERIES
 
@@ -103,3 +104,26 @@ def test_decoding_any_ids_does_not_fail(spark):
     rows = [(1, [coder.bytes_of[0xC3]]), (2, []), (3, None), (4, [0, 1, 2]), (5, coder.encode_text("▁ x"))]
     got = {r.n: r.text for r in decode(spark.createDataFrame(rows, "n int, ids array<int>"), PATH).collect()}
     assert got == {1: "�", 2: "", 3: "", 4: "", 5: "  x"}
+
+
+def test_many_streams_commit_early_and_keep_a_bounded_window(monkeypatch):
+    coder, pending, commits = pieces(PATH), [], []
+    real_add, real_commit = module.Window.add, module.Window.commit
+    monkeypatch.setattr(module.Window, "add", lambda w, *a: (real_add(w, *a), pending.append(len(w.back)))[0])
+    monkeypatch.setattr(module.Window, "commit", lambda w, *a: (real_commit(w, *a), commits.append(int(w.done.min())))[0])
+    word = SPACE + SPACE.join(["inter", "national", "isation"] * 40)
+    ids, counts = coder._search([word, word[::-1], "x" * len(word), "é日" * (len(word) // 2) + "é" * (len(word) % 2)], len(word))
+    want = [[i for some in coder.streaming_viterbi(s) for i in some]
+            for s in (word, word[::-1], "x" * len(word), "é日" * (len(word) // 2) + "é" * (len(word) % 2))]
+    assert [r.tolist() for r in np.split(ids, np.cumsum(counts)[:-1])] == want
+    # Boundaries are committed all along, and what is kept follows the longest piece, not the stretch.
+    assert len(commits) >= len(word) // coder.longest and commits[len(commits) // 2] > len(word) // 3
+    assert max(pending) <= 4 * coder.longest < len(word) // 2
+
+
+@given(st.lists(st.text(st.sampled_from("theandisg0é▁"), min_size=1, max_size=70), min_size=1, max_size=5))
+def test_stretches_of_any_length_side_by_side(stretches):
+    coder = pieces(PATH)
+    ids, counts = coder.side_by_side(stretches)
+    want = [[i for some in coder.streaming_viterbi(s) for i in some] for s in stretches]
+    assert [r.tolist() for r in np.split(ids, np.cumsum(counts)[:-1])] == want
