@@ -217,7 +217,7 @@ def repair(
     A piece is a given turn or an inserted empty one; `turn` numbers the repaired turns of a conversation from 0, and
     merged pieces share the turn they were merged into. The rendered conversation is `rendered` of all its pieces in the
     order of (segment, piece); kept in pieces, a conversation of any size has rows of bounded size. Given turns are taken
-    in the order of `turn`, NULL first, then role and text; equal rows stay as many as they are. A NULL key is a
+    in the order of `turn`, NULL first, then a hash of role and text; equal rows stay as many as they are. A NULL key is a
     conversation too, a NULL or unknown role can become any, a NULL text is empty. "<|" in texts is parted by a space, so
     that no text can close a turn.
     """

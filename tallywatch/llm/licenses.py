@@ -62,6 +62,14 @@ TEMPLATES = (
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
                 "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("BSD", "Released under the BSD License."),
+    ("BSD", "Licensed under the BSD License."),
+    ("ISC", "Released under the ISC License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("All rights reserved", "All rights reserved."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -124,56 +132,78 @@ def _minima(levels: list[np.ndarray], size: int, at: np.ndarray) -> np.ndarray:
     return np.minimum(levels[level][at], levels[level][at + size - (1 << level)])
 
 
-def scan(texts: pa.Array, known: list[Template], containment: float = CONTAINMENT) -> list[tuple[int, int, int, float]]:
+class Index:
+    """Templates with the keys of their bands, per window size and band in order, so that the search of a window's key
+    takes as long with many templates of a size as with few."""
+
+    def __init__(self, known: list[Template]):
+        self.known = known
+        self.sizes = sorted({t.size for t in known})
+        self.bands: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        keys = np.zeros((BANDS, len(known)), np.uint64)
+        for band in range(BANDS):
+            for row in range(ROWS):
+                lowest = np.array([mix(t.shingles, _salt(band, row)).min() for t in known], np.uint64)
+                keys[band] = mix(keys[band] ^ lowest)
+        for size in self.sizes:
+            own = np.array([i for i, t in enumerate(known) if t.size == size])
+            orders = [np.argsort(keys[band][own], kind="stable") for band in range(BANDS)]
+            self.bands[size] = [(keys[band][own][order], own[order]) for band, order in enumerate(orders)]
+
+    def look_up(self, size: int, band: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among the keys, and the templates of that size that have them."""
+        wanted, template = self.bands[size][band]
+        low, high = (np.searchsorted(wanted, keys, side) for side in ("left", "right"))
+        some = np.flatnonzero(high > low)
+        n = (high - low)[some]
+        which = np.repeat(low[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.repeat(some, n), template[which]
+
+
+def _salt(band: int, row: int) -> int:
+    return band * ROWS + row + 1
+
+
+def scan(texts: pa.Array, index: Index, containment: float = CONTAINMENT) -> list[tuple[int, int, int, float]]:
     """Row, template, position (words before the first shared shingle) and containment of the best place of each."""
+    known, sizes = index.known, index.sizes
     found, first = _shingles(texts)
     rows = rows_of(first)
     n_shingles = np.diff(first) - SHINGLE + 1
-    sizes = sorted({t.size for t in known})
+    if not len(found) or not known:
+        return []
     places = {}
+    inside = np.arange(len(rows)) - first[:-1][rows]
     for size in sizes:
         step = max(1, size // 4)
         # Windows begin every `step` shingles of a row, and one ends with it; a shorter row is one window.
-        starts = []
-        inside = np.arange(len(rows)) - first[:-1][rows]
         last = np.maximum(n_shingles - size, 0)[rows]
-        starts = np.flatnonzero((n_shingles[rows] > 0) & ((inside % step == 0) & (inside < last) | (inside == last)))
-        places[size] = starts
-    if not len(found):
-        return []
+        places[size] = np.flatnonzero((n_shingles[rows] > 0) & ((inside % step == 0) & (inside < last) | (inside == last)))
     whole = whole_windows(first, SHINGLE)
-    candidates: dict[int, list[np.ndarray]] = {i: [] for i in range(len(known))}
+    candidates: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
     longest = max(sizes)
     for band in range(BANDS):
         keys = {size: np.zeros(len(places[size]), np.uint64) for size in sizes}
-        wanted = np.zeros(len(known), np.uint64)
         for row in range(ROWS):
-            salt = band * ROWS + row + 1
-            drawn = np.where(whole, mix(found, salt), np.uint64(2**64 - 1))  # no shingle reaches into the next row
+            drawn = np.where(whole, mix(found, _salt(band, row)), np.uint64(2**64 - 1))  # no shingle reaches into the next row
             padded = np.concatenate([drawn, np.full(longest, 2**64 - 1, np.uint64)])
             levels = _levels(padded, longest)
             for size in sizes:
                 keys[size] = mix(keys[size] ^ _minima(levels, size, places[size]))
-            for i, template in enumerate(known):
-                lowest = mix(template.shingles, salt).min()
-                wanted[i: i + 1] = mix(wanted[i: i + 1] ^ lowest)
-        for i, template in enumerate(known):
-            candidates[i].append(places[template.size][keys[template.size] == wanted[i]])
-    out = []
-    for i, template in enumerate(known):
-        best: dict[int, tuple[float, int]] = {}
-        for start in np.unique(np.concatenate(candidates[i])).tolist():
-            row = int(rows[start])
-            low = max(int(first[row]), start - template.size // 2)
-            high = min(int(first[row]) + int(n_shingles[row]), start + template.size + template.size // 2)
-            shared = np.isin(found[low:high], template.shingles)
-            share = len(np.unique(found[low:high][shared])) / len(template.shingles)
-            if share >= containment - 1e-9:
-                place = low + int(np.argmax(shared)) - int(first[row])
-                if row not in best or (share, -place) > (best[row][0], -best[row][1]):
-                    best[row] = (share, place)
-        out += [(row, i, place, share) for row, (share, place) in best.items()]
-    return out
+        for size in sizes:
+            at, which = index.look_up(size, band, keys[size])
+            candidates.append(np.column_stack([which, places[size][at]]))
+    best: dict[tuple[int, int], tuple[float, int]] = {}
+    for i, start in np.unique(np.concatenate(candidates), axis=0).tolist():
+        template, row = known[i], int(rows[start])
+        low = max(int(first[row]), start - template.size // 2)
+        high = min(int(first[row]) + int(n_shingles[row]), start + template.size + template.size // 2)
+        shared = np.isin(found[low:high], template.shingles)
+        share = len(np.unique(found[low:high][shared])) / len(template.shingles)
+        if share >= containment - 1e-9:
+            place = low + int(np.argmax(shared)) - int(first[row])
+            best[i, row] = max(best.get((i, row), (0.0, 0)), (share, -place))
+    return [(row, i, -place, share) for (i, row), (share, place) in best.items()]
 
 
 def find_licenses(
@@ -186,6 +216,7 @@ def find_licenses(
     keys may be NULL or repeated. The templates, a fixed list, go to every task; no shuffle.
     """
     known = templates(named)
+    index = Index(known)
     schema = T.StructType([
         T.StructField("key", docs.schema[key].dataType), T.StructField("license", T.StringType()),
         T.StructField("begin", T.LongType()), T.StructField("containment", T.DoubleType()),
@@ -195,7 +226,7 @@ def find_licenses(
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 best: dict[tuple[int, str], tuple[float, int]] = {}
-                for row, i, place, share in scan(part["text"], known, containment):
+                for row, i, place, share in scan(part["text"], index, containment):
                     at = (row, known[i].license)
                     best[at] = max(best.get(at, (0.0, 0)), (share, -place))
                 yield pa.RecordBatch.from_arrays([

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from tests.llm.conftest import PROSE
 NOTICES = {
     "MIT": "released under the mit license", "Apache-2.0": "licensed under the apache license, version 2.0",
     "GPL-3.0": "gnu general public license, version 3", "CC-BY-NC-4.0": "licensed under cc by-nc 4.0",
+    "All rights reserved": "all rights reserved",
 }
 
 
@@ -57,7 +59,7 @@ def test_scan_equals_containment_of_every_window():
             at = rng.randrange(len(words) + 1)
             words[at:at] = part
         texts.append(" ".join(words))
-    got = {(row, i): round(share, 9) for row, i, _, share in licenses.scan(pa.array(texts), known)}
+    got = {(row, i): round(share, 9) for row, i, _, share in licenses.scan(pa.array(texts), licenses.Index(known))}
     for row, text in enumerate(texts):
         shingles, _ = licenses._shingles(pa.array([text]))
         for i, template in enumerate(known):
@@ -78,3 +80,16 @@ def test_odd_rows(frame, odd_pairs):
     assert sorted((str(r.doc_id), r.license, r.begin) for r in got) == [
         ("20", "MIT", 0), ("20", "MIT", 0), ("22", "MIT", 0), ("None", "MIT", len(PROSE.split()))]
     assert licenses.find_licenses(frame([])).count() == 0
+
+
+def test_many_templates_of_a_size_cost_little_more_than_few():
+    rng = random.Random(4)
+    texts = pa.array([" ".join(rng.choices("abcdefgh", k=4000)) for _ in range(20)])
+
+    def seconds(n):
+        named = tuple((f"L{i}", " ".join(f"w{i}x{k}" for k in range(30))) for i in range(n))
+        index, begin = licenses.Index(licenses.templates(named)), time.process_time()
+        licenses.scan(texts, index)
+        return time.process_time() - begin
+
+    assert min(seconds(500) for _ in range(3)) < 2 * min(seconds(5) for _ in range(3))
