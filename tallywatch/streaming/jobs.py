@@ -86,20 +86,24 @@ def start_quarantine(
 
 def start_hourly(
     messages: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None,
-    fmt: str = "parquet", trigger: dict[str, Any] | None = None, name: str | None = None,
+    fmt: str = "parquet", trigger: dict[str, Any] | None = None, name: str | None = None, files_per_day: int = 1,
 ) -> StreamingQuery:
     """Hourly counts, each window written once after the watermark has passed its end.
 
     The first start fixes the number of state partitions for the life of the checkpoint. Without
     state_partitions it is the session's spark.sql.shuffle.partitions. The number is a setting of the session while the
     query starts, so start one query at a time in a session.
+
+    The counts of a batch are brought together by day before they are written, or each state partition would leave a file
+    in every day of the batch. A day that closes tens of millions of counts at once wants more than one of files_per_day.
     """
     conf = messages.sparkSession.conf
     usual = conf.get(SHUFFLE_PARTITIONS)
     conf.set(SHUFFLE_PARTITIONS, str(state_partitions or usual))
     try:
         counts = hourly_counts(unify(parse_narrow(messages))).withColumn("day", day_of(F.col("window_start")))
-        return _start(counts, path, checkpoint, fmt, trigger, name, "day")
+        share = F.pmod(F.xxhash64("source", "location_name", "crime_type"), F.lit(files_per_day))
+        return _start(counts.repartition("day", share), path, checkpoint, fmt, trigger, name, "day")
     finally:
         conf.set(SHUFFLE_PARTITIONS, usual)
 
