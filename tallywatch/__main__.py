@@ -1,24 +1,29 @@
-"""Jobs for spark-submit or python -m tallywatch: poll, stream, train, score, report."""
+"""Jobs for spark-submit or python -m tallywatch: poll, stream, train, answer, score, report."""
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallywatch.functions.times import on_report_days
 from tallywatch.operators import reports
+from tallywatch.operators.day_states import add_days
 from tallywatch.operators.scoring import invalid_requests, score_counts, score_requests
 from tallywatch.plans.ingest import poll
-from tallywatch.plans.training import load_latest, save_model, save_run, train
+from tallywatch.plans.training import load_latest, save_model, save_run, train, train_by_days
 from tallywatch.session import build_session
 from tallywatch.sinks.tables import append, replace_days
 from tallywatch.sources.messages import stream_messages
-from tallywatch.sources.tables import read_score_requests, read_table
+from tallywatch.sources.tables import read_score_requests, read_table, stream_score_requests
 from tallywatch.streaming import jobs
-from tallywatch.streaming.polling import start_polling
+from tallywatch.streaming.polling import start_poll_stream, start_polling
+from tallywatch.streaming.progress import ProgressLog
+from tallywatch.streaming.supervision import supervise
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -31,6 +36,11 @@ def days_of(counts: DataFrame, since: date | None) -> DataFrame:
 
 
 def run_poll(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.every and args.landed:
+        start_poll_stream(
+            spark, args.landing, args.checkpoint, args.every, args.messages, args.path, **_options(args.option)
+        ).awaitTermination()
+        return
     if args.every:
         start_polling(
             spark, args.landing, args.checkpoint, args.every, args.messages, args.path, limit=args.limit,
@@ -47,20 +57,35 @@ def run_poll(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = stream_messages(spark, args.messages, args.path, **_options(args.option))
     trigger = jobs.ONCE if args.once else {"processingTime": args.every} if args.every else None
-    started = [
-        start(messages, f"{args.out}/{name}", f"{args.checkpoint}/{name}", fmt=args.format, trigger=trigger)
-        for name, start in (
-            ("raw", jobs.start_raw), ("hourly", jobs.start_hourly), ("quarantine", jobs.start_quarantine))
-    ]
-    if args.once:
-        for running in started:
-            running.awaitTermination()
-    else:
-        jobs.await_all(spark)
+    log = ProgressLog(spark, args.progress) if args.progress else None
+    if log:
+        spark.streams.addListener(log)
+
+    def starter(name: str, start: Callable[..., StreamingQuery]) -> Callable[[], StreamingQuery]:
+        return lambda: start(messages, f"{args.out}/{name}", f"{args.checkpoint}/{name}", fmt=args.format, trigger=trigger, name=name)
+
+    queries = {"raw": jobs.start_raw, "hourly": jobs.start_hourly, "quarantine": jobs.start_quarantine}
+    try:
+        supervise({name: starter(name, start) for name, start in queries.items()}, budget=args.restarts)
+    finally:
+        if log:
+            log.close()
+
+
+def run_answer(spark: SparkSession, args: argparse.Namespace) -> None:
+    model = load_latest(spark, args.models, args.default_model, fmt=args.format)
+    trigger = jobs.ONCE if args.once else None
+    requests = stream_score_requests(spark, args.requests)
+    supervise({"answers": lambda: jobs.start_answers(requests, model, args.out, args.checkpoint, trigger, "answers")}, budget=args.restarts)
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
-    run = train(days_of(read_table(spark, args.hourly, args.format), args.since))
+    hourly = read_table(spark, args.hourly, args.format)
+    if args.states:
+        add_days(spark, hourly, args.states, args.days)
+        run = train_by_days(spark, args.states, since=args.since)
+    else:
+        run = train(days_of(hourly, args.since))
     save_run(spark, run, f"{args.models}/runs", args.format)
     print(save_model(spark, run, args.models, fmt=args.format))
 
@@ -113,12 +138,21 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--checkpoint", help="folder that --every keeps its progress in")
     sub.add_argument("--limit", type=int, help="send only so many of the newest records of an agency polled by day")
     messages(sub)
+    sub.add_argument("--landed", action="store_true", help="with --every: send each record once, by the poll after its landing")
     sub = command("stream", run_stream, "out", "checkpoint")
     messages(sub)
     sub.add_argument("--once", action="store_true", help="end when the input is used up")
+    sub.add_argument("--progress", metavar="DIR", help="keep the numbers of each batch as a table")
+    sub.add_argument("--restarts", type=int, default=3, help="how often a query may fail within an hour")
     sub.add_argument("--every", metavar="INTERVAL", help="start a batch per interval, such as '1 hour'")
     sub = command("train", run_train, "hourly", "models")
     sub.add_argument("--since", type=date.fromisoformat, help="leave out the days before")
+    sub.add_argument("--states", metavar="DIR", help="keep the states of days here and train from them")
+    sub.add_argument("--day", dest="days", type=date.fromisoformat, action="append", default=[], help="with --states: add this day first")
+    sub = command("answer", run_answer, "models", "requests", "out", "checkpoint")
+    sub.add_argument("--default-model")
+    sub.add_argument("--once", action="store_true", help="end when the requests are used up")
+    sub.add_argument("--restarts", type=int, default=3, help="how often the query may fail within an hour")
     sub = command("score", run_score, "models", "out")
     sub.add_argument("--since", type=date.fromisoformat, help="score the hours from this day on; they replace those of the table")
     sub.add_argument("--default-model")

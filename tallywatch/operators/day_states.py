@@ -67,6 +67,8 @@ def add_days(
     A day without rows has no state. Missing counts are 0.
     """
     days = list(days)
+    if not days:
+        return
     rows = of_days(hourly, days).na.fill(0, [COUNT_FEATURE])
     replace_days(day_combinations(rows), f"{state}/combinations")
     while days:

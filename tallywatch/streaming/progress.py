@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import time
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,13 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event: Any) -> None:
         self._end_of(str(event.runId)).set()
 
+    def close(self, seconds: float = 60) -> None:
+        """Stop listening when the ends of all queries heard of have arrived, or the time is over."""
+        until = time.monotonic() + seconds
+        for ended in list(self.ended.values()):
+            ended.wait(max(0.0, until - time.monotonic()))
+        self.spark.streams.removeListener(self)
+
     def wait_for(self, query: StreamingQuery, seconds: float = 60) -> bool:
         """Whether the end of the query, and with it all its batches, has been heard of."""
         return self._end_of(str(query.runId)).wait(seconds)
