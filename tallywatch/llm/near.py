@@ -26,7 +26,7 @@ After it every two nodes of a bucket are in one class, or agree too little, or w
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallywatch.llm.links import classes, stored
+from tallywatch.llm.links import classes, scratch
 from tallywatch.llm.words import mix, rows_of, signed, slices, span_hashes, text_buffer, whole_windows, window_hashes, word_bounds
 
 SHINGLE = 5
@@ -356,7 +356,7 @@ class Profiles:
 
 
 def _joining(
-    spark: SparkSession, members: DataFrame, nodes: DataFrame, texts: DataFrame, found: DataFrame, weights: Weights,
+    keep: Callable[[DataFrame, str], DataFrame], members: DataFrame, nodes: DataFrame, texts: DataFrame, found: DataFrame, weights: Weights,
     similarity: float, agreement: float,
 ) -> DataFrame:
     """Links (a, b) that join all similar nodes of a bucket which `found` leaves in different classes.
@@ -374,7 +374,7 @@ def _joining(
     # Every node stands in one column of cells, those outside the main class also ask in one row of cells.
     of = of.join(sizes, "bucket").withColumn("asks", F.col("class") != F.col("main")).withColumn(
         "column", F.pmod(F.xxhash64("id"), "columns")).withColumn("row", F.pmod(F.xxhash64("id", F.lit(1)), "rows"))
-    of = stored(spark, of, "unsure")
+    of = keep(of, "unsure")
     down = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1), lambda r: F.struct(
         F.col("column").alias("x"), r.alias("y"), F.lit(True).alias("stands"), (F.col("asks") & (r == F.col("row"))).alias("asking")))
     others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("columns") - 1), lambda c: F.col("asks") & (c != F.col("column")))
@@ -383,7 +383,7 @@ def _joining(
     cells = of.select("bucket", "id", "class", "asks", F.inline(F.concat(down, along)))
     own = of.select("id").distinct()
     profiles = nodes.select("id", "draws", "buckets").join(own, "id").join(_payloads(texts.join(own, "id"), "id"), "id")
-    cells = cells.join(stored(spark, profiles, "profiles"), "id")
+    cells = cells.join(keep(profiles, "profiles"), "id")
     kind = to_arrow_type(id_type)
     schema = pa.schema([("a", kind), ("b", kind)])
 
@@ -474,26 +474,27 @@ def near_duplicates(
     """
     docs = _plain(docs, key, text)
     weights = common_shingles(docs, common)
-    sketch = stored(spark, sketches(docs.dropna(subset=["id"]), weights), "sketches")
-    nodes = sketch.groupBy("k1", "k2").agg(
-        F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("draws", "shingles", "buckets", "finer")))
-    nodes = stored(spark, nodes, "nodes")
-    members = nodes.select("id", "draws", "shingles", F.inline(F.arrays_zip("buckets", "finer")).alias("bucket", "finer"))
-    shared = nodes.select("id", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("id").alias("first")).filter("size > 1")
-    centre = F.when(F.col("size") > TOGETHER, F.col("first"))
-    members = members.join(shared, "bucket").select(
-        "bucket", "finer", "id", "draws", "shingles", "size", centre.alias("centre"))
-    members = stored(spark, members, "members")
-    same = sketch.join(nodes.select("k1", "k2", F.col("id").alias("node")), ["k1", "k2"]).select("id", "node")
-    versions = same.filter("id != node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    texts = docs.dropna(subset=["text"]).join(members.select("id").distinct(), "id", "left_semi")
-    texts = stored(spark, texts, "texts")
-
-    pairs = stored(spark, _candidates(members, agreement, nearest), "pairs")
-    found = classes(spark, _similar(pairs, texts, weights, similarity).union(versions))
-    unsure = members.filter(F.col("size") > nearest + 1).select("bucket", "id", "shingles")
-    links = stored(spark, _joining(spark, unsure, nodes, texts, found, weights, similarity, agreement), "links")
-    if not links.isEmpty():
-        found = classes(spark, found.select(F.col("id").alias("a"), F.col("class").alias("b")).union(links))
+    with scratch(spark) as keep:
+        sketch = keep(sketches(docs.dropna(subset=["id"]), weights), "sketches")
+        nodes = sketch.groupBy("k1", "k2").agg(
+            F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("draws", "shingles", "buckets", "finer")))
+        nodes = keep(nodes, "nodes")
+        members = nodes.select("id", "draws", "shingles", F.inline(F.arrays_zip("buckets", "finer")).alias("bucket", "finer"))
+        shared = nodes.select("id", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
+            F.count("*").alias("size"), F.min("id").alias("first")).filter("size > 1")
+        centre = F.when(F.col("size") > TOGETHER, F.col("first"))
+        members = members.join(shared, "bucket").select(
+            "bucket", "finer", "id", "draws", "shingles", "size", centre.alias("centre"))
+        members = keep(members, "members")
+        same = sketch.join(nodes.select("k1", "k2", F.col("id").alias("node")), ["k1", "k2"]).select("id", "node")
+        versions = same.filter("id != node").select(F.col("id").alias("a"), F.col("node").alias("b"))
+        texts = docs.dropna(subset=["text"]).join(members.select("id").distinct(), "id", "left_semi")
+        texts = keep(texts, "texts")
+
+        pairs = keep(_candidates(members, agreement, nearest), "pairs")
+        found = classes(spark, _similar(pairs, texts, weights, similarity).union(versions))
+        unsure = members.filter(F.col("size") > nearest + 1).select("bucket", "id", "shingles")
+        links = keep(_joining(keep, unsure, nodes, texts, found, weights, similarity, agreement), "links")
+        if not links.isEmpty():
+            found = classes(spark, found.select(F.col("id").alias("a"), F.col("class").alias("b")).union(links))
     return docs.select("id").join(found, "id", "left").select("id", F.coalesce("class", "id").alias("class"))

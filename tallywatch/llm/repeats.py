@@ -11,7 +11,8 @@ another with a probability of n / 2^64.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywatch.llm.links import stored
+from tallywatch.llm.links import scratch, stored
 from tallywatch.llm.packing import pack, unpacked_slices
 from tallywatch.llm.words import mix, rows_of, signed, slices, span_hashes, text_buffer, whole_windows, window_hashes, word_bounds
 
 LENGTH = 50
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
 
 def _hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a column, and the number of words before each row."""
@@ -59,14 +62,14 @@ def _among(rows: np.ndarray, keys: np.ndarray, lists: pa.Array) -> np.ndarray:
     return np.isin(keys ^ mix(rows.astype(np.uint64), 4), wanted ^ mix(of.astype(np.uint64), 4))
 
 
-def _shared(spark: SparkSession, windows: DataFrame) -> DataFrame:
+def _shared(keep: Keep, windows: DataFrame) -> DataFrame:
     """Hashes that occur in two documents or more, with the smallest id.
 
     A table of its own: joined from there, both sides of the join are plain exchanges, and the adaptive plan can split
     the partitions of passages that very many documents share.
     """
     spread = windows.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    return stored(spark, spread.filter("low < high").select("h", "low"), "shared")
+    return keep(spread.filter("low < high").select("h", "low"), "shared")
 
 
 def _by_document(windows: DataFrame) -> DataFrame:
@@ -108,12 +111,15 @@ def _extended(packed: DataFrame, parts: DataFrame, length: int, anchored: bool)
     return joined.mapInArrow(run, T.StructType([packed.schema["id"], T.StructField("h", T.LongType())]))
 
 
-def shared_windows(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(id, h, low) of every window of `length` words that two documents or more have, from `docs` (id, text)."""
-    anchors = stored(spark, _anchors(docs, length), "anchors")
-    parts = _by_document(anchors.join(_shared(spark, anchors).select("h"), "h", "left_semi"))
-    windows = stored(spark, _extended(pack(docs, "text"), parts, length, True), "windows")
-    return windows.join(_shared(spark, windows), "h").select("id", "h", "low")
+def shared_windows(keep: Keep, docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(id, h, low) of every window of `length` words that two documents or more have, from `docs` (id, text).
+
+    `keep` stores tables that the result is read from.
+    """
+    anchors = keep(_anchors(docs, length), "anchors")
+    parts = _by_document(anchors.join(_shared(keep, anchors).select("h"), "h", "left_semi"))
+    windows = keep(_extended(pack(docs, "text"), parts, length, True), "windows")
+    return windows.join(_shared(keep, windows), "h").select("id", "h", "low")
 
 
 def longer_windows(spark: SparkSession, docs: DataFrame, windows: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -127,7 +133,7 @@ def longer_windows(spark: SparkSession, docs: DataFrame, windows: DataFrame, len
         levels.append(windows.select("id", F.lit(length).cast("bigint").alias("longest")).distinct())
         length *= 2
         wider = stored(spark, _extended(packed, _by_document(windows), length, False), "windows")
-        windows = stored(spark, wider.join(_shared(spark, wider).select("h"), "h", "left_semi").distinct(), "windows")
+        windows = stored(spark, wider.join(_shared(partial(stored, spark), wider).select("h"), "h", "left_semi").distinct(), "windows")
     if not levels:
         return spark.createDataFrame([], T.StructType([docs.schema["id"], T.StructField("longest", T.LongType())]))
     found = levels[0]
@@ -148,7 +154,9 @@ def without_repeats(
     """
     names, at = docs.columns, docs.columns.index(text)
     texts = docs.select(docs[key].alias("id"), docs[text].alias("text")).dropna(subset=["id"])
-    later = _by_document(shared_windows(spark, texts, length).filter("id > low").select("id", "h"))
+    with scratch(spark) as keep:
+        found = _by_document(shared_windows(keep, texts, length).filter("id > low").select("id", "h"))
+        later = stored(spark, found, "later")
     numbered = docs.toDF(*(f"c{i}" for i in range(len(names))))
     joined = pack(numbered, f"c{at}").join(
         later.withColumnRenamed("id", f"c{names.index(key)}"), f"c{names.index(key)}", "left"

@@ -1,13 +1,16 @@
+import os
 import random
 from collections import defaultdict
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from tallywatch.llm import near
-from tallywatch.llm.links import classes
+from tallywatch.llm.links import classes, stored
 from tallywatch.llm.queries import QUERIES
+from tallywatch.session import shared_folder
 from tests.llm.conftest import PROSE, WORD
 
 PLAIN = near.Weights(np.zeros(0, np.uint64), np.zeros(0), near.COMMON)
@@ -205,7 +208,7 @@ def cells(spark, pairs, monkeypatch, **sizes):
     nodes = near.sketches(docs, weights).cache()
     members = nodes.selectExpr("id", "shingles", "inline(arrays_zip(buckets, finer)) AS (bucket, finer)").select("bucket", "id", "shingles")
     alone = docs.selectExpr("id", "id AS class")
-    links = near._joining(spark, members, nodes, docs, alone, weights, near.SIMILARITY, near.AGREEMENT)
+    links = near._joining(partial(stored, spark), members, nodes, docs, alone, weights, near.SIMILARITY, near.AGREEMENT)
     return members.count(), [tuple(r) for r in links.collect()]
 
 
@@ -221,3 +224,9 @@ def test_a_cell_sends_on_fewer_links_than_it_has_nodes(spark, monkeypatch):
     want = expected(around_the_limit(2))
     got = {r.id: r["class"] for r in classes(spark, spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert {**{i: i for i in want}, **got} == want
+
+
+def test_intermediate_tables_are_removed(spark, frame):
+    before = set(os.listdir(shared_folder(spark)))
+    assert found(spark, frame(around_the_limit(2))) == expected(around_the_limit(2))
+    assert {name.split("-")[0] for name in set(os.listdir(shared_folder(spark))) - before} == {"classes"}

@@ -1,10 +1,12 @@
 import hashlib
 import random
+from functools import partial
 
 import numpy as np
 import pytest
 
 from tallywatch.llm import repeats
+from tallywatch.llm.links import stored
 from tallywatch.llm.queries import QUERIES
 from tests.llm.conftest import PROSE, WORD
 
@@ -62,10 +64,10 @@ def test_levels_go_on_until_nothing_is_shared(spark):
     words = [f"w{rng.randrange(10 ** 6)}" for _ in range(200)]
     texts = [" ".join(words), " ".join(words[20:190]), " ".join(words[90:135]), "a b c", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
-    windows = repeats.shared_windows(spark, docs, 10)
+    windows = repeats.shared_windows(partial(stored, spark), docs, 10)
     got = {r.id: r.longest for r in repeats.longer_windows(spark, docs, windows, 10).collect()}
     assert got == {0: 160, 1: 160, 2: 40}
-    none = repeats.shared_windows(spark, docs.filter("id > 2"), 10)
+    none = repeats.shared_windows(partial(stored, spark), docs.filter("id > 2"), 10)
     assert repeats.longer_windows(spark, docs, none, 10).count() == 0
 
 
