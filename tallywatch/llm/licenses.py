@@ -62,7 +62,6 @@ TEMPLATES = (
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
                 "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
-    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
     ("BSD", "Released under the BSD License."),
@@ -145,18 +144,27 @@ class Index:
             for row in range(ROWS):
                 lowest = np.array([mix(t.shingles, _salt(band, row)).min() for t in known], np.uint64)
                 keys[band] = mix(keys[band] ^ lowest)
+        # Which upper bits the keys of a size and band have: nearly all windows are ruled out by one look.
+        self.coarse: dict[int, list[np.ndarray]] = {}
         for size in self.sizes:
             own = np.array([i for i, t in enumerate(known) if t.size == size])
             orders = [np.argsort(keys[band][own], kind="stable") for band in range(BANDS)]
             self.bands[size] = [(keys[band][own][order], own[order]) for band, order in enumerate(orders)]
+            self.coarse[size] = [np.zeros(1 << 16, dtype=bool) for _ in range(BANDS)]
+            for band in range(BANDS):
+                self.coarse[size][band][(keys[band][own] >> np.uint64(48)).astype(np.int64)] = True
+
+    def sizes_of(self, band: int) -> list[int]:
+        """Window sizes that a band looks at: a window of one shingle is found by the first band if by any."""
+        return [size for size in self.sizes if size > 1 or not band]
 
     def look_up(self, size: int, band: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places among the keys, and the templates of that size that have them."""
         wanted, template = self.bands[size][band]
-        low, high = (np.searchsorted(wanted, keys, side) for side in ("left", "right"))
-        some = np.flatnonzero(high > low)
-        n = (high - low)[some]
-        which = np.repeat(low[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        some = np.flatnonzero(self.coarse[size][band][(keys >> np.uint64(48)).astype(np.int64)])
+        low, high = (np.searchsorted(wanted, keys[some], side) for side in ("left", "right"))
+        n = high - low
+        which = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
         return np.repeat(some, n), template[which]
 
 
@@ -183,14 +191,15 @@ def scan(texts: pa.Array, index: Index, containment: float = CONTAINMENT) -> lis
     candidates: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
     longest = max(sizes)
     for band in range(BANDS):
-        keys = {size: np.zeros(len(places[size]), np.uint64) for size in sizes}
+        looked_at = index.sizes_of(band)
+        keys = {size: np.zeros(len(places[size]), np.uint64) for size in looked_at}
         for row in range(ROWS):
             drawn = np.where(whole, mix(found, _salt(band, row)), np.uint64(2**64 - 1))  # no shingle reaches into the next row
             padded = np.concatenate([drawn, np.full(longest, 2**64 - 1, np.uint64)])
             levels = _levels(padded, longest)
-            for size in sizes:
+            for size in looked_at:
                 keys[size] = mix(keys[size] ^ _minima(levels, size, places[size]))
-        for size in sizes:
+        for size in looked_at:
             at, which = index.look_up(size, band, keys[size])
             candidates.append(np.column_stack([which, places[size][at]]))
     best: dict[tuple[int, int], tuple[float, int]] = {}
